@@ -19,6 +19,11 @@ def from_binary(value: Column) -> Column:
     return F.hex(value)
 
 
+def hex_digits(number: Column, size: int) -> Column:
+    """A whole number as upper-case hex of fixed width."""
+    return F.lpad(F.hex(number), size, "0")
+
+
 def to_text(lsn: Column) -> Column:
     """LN1: the ``0x…`` form used in bookmarks, labels and manifests."""
     return F.concat(F.lit("0x"), F.upper(lsn))
@@ -66,11 +71,10 @@ def following(lsn: Column) -> Column:
     slot = part(17, 4) + 1
     block = part(9, 8) + F.shiftright(slot, 16)
     file = part(1, 8) + F.shiftright(block, 32)
-    text = F.format_string(
-        "%08X%08X%04X",
-        file,
-        block.bitwiseAND(F.lit(0xFFFFFFFF)),
-        slot.bitwiseAND(F.lit(0xFFFF)),
+    text = F.concat(
+        hex_digits(file, 8),
+        hex_digits(block.bitwiseAND(F.lit(0xFFFFFFFF)), 8),
+        hex_digits(slot.bitwiseAND(F.lit(0xFFFF)), 4),
     )
     return F.when(lsn == HIGHEST, F.raise_error(F.lit("no log position follows the highest one"))).when(
         lsn.isNotNull(), text

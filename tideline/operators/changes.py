@@ -93,22 +93,20 @@ def _classify_window(keyed: DataFrame, primary_key: Sequence[str], previous_imag
     # One specification for the running and the whole-group values: one exchange, one sort, one pass.
     change = W.partitionBy(*CHANGE_KEY).orderBy(*_order(keyed, primary_key))
     whole = change.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    # Named first, so that every whole-group value is computed once.
+    # Named first, so that every whole-group value is computed once; plain aggregates share one frame.
+    key = F.struct(*primary_key) if primary_key else F.lit(0)
     values = {
         "serial": F.row_number().over(change).cast("bigint"),
         "has_update_half": F.max(_is_update_half()).over(whole),
         "__size": F.count(F.lit(1)).over(whole),
-        "__first": F.first("operation").over(whole),
-        "__last": F.last("operation").over(whole),
+        "__first": F.min("operation").over(whole),
+        "__last": F.max("operation").over(whole),
+        "__low_key": F.min(key).over(whole),
+        "__high_key": F.max(key).over(whole),
     }
-    for at, name in enumerate(primary_key):
-        values[f"__first_{at}"] = F.first(name).over(whole)
-        values[f"__last_{at}"] = F.last(name).over(whole)
     if previous_image:
         values["previous"] = F.lag(F.struct(*captured_columns(keyed))).over(change)
-    moved = F.lit(False)
-    for at in range(len(primary_key)):
-        moved = moved | ~F.col(f"__first_{at}").eqNullSafe(F.col(f"__last_{at}"))
+    moved = ~F.col("__low_key").eqNullSafe(F.col("__high_key"))
     pair, first, last = F.col("__size") == 2, F.col("__first"), F.col("__last")
     kind = (
         F.when(pair & (first == BEFORE_UPDATE) & (last == AFTER_UPDATE), UPDATE_PAIR)

@@ -146,7 +146,7 @@ def run_incremental(
         finished_at=datetime.now(timezone.utc).isoformat(),
     ).first()
     if options.commit_bookmarks:
-        bookmark_store.save_bookmarks(stage(new, "bookmarks"), bookmark_path)
+        bookmark_store.save_bookmarks(new, bookmark_path)
     return RunResult(
         run_id,
         origin.database,

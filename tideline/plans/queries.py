@@ -20,6 +20,7 @@ from tideline.sinks import json_lines, manifest, paths
 from tideline.sources import bookmarks as bookmark_store
 from tideline.sources.change_tables import landed_all, table_facts
 from tideline.sources.fixtures import ORIGIN, Fixtures
+from tideline.streaming import incremental, pairing
 
 PROCESSED_AT = datetime(2026, 1, 1, tzinfo=timezone.utc)
 STARTED_AT = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
@@ -899,3 +900,56 @@ def multi_instance_events(f: Fixtures) -> DataFrame:
         F.get_json_object("key", "$.id").alias("id"),
         "__op",
     )
+
+
+# --- streaming ---------------------------------------------------------------------------------------------
+
+
+def _land(rows: DataFrame, label: str, order: str, files: int) -> str:
+    """Write change rows as files in log order, the way a capture process leaves them."""
+    path = new_path(rows.sparkSession, label)
+    rows.repartitionByRange(files, order).write.parquet(path)
+    return path
+
+
+_STREAM = "SELECT capture_instance, start_lsn, command_key, seqval, serial, kind, id, name, value, __op FROM ev"
+_STREAM_COLUMNS = ("serial", "kind", "id", "name", "value", "__op")
+
+
+@query(_STREAM)
+def stream_transactions(f: Fixtures) -> DataFrame:
+    """SS1, SS2, SS6: several batches; transactions cut by a file border wait for the next batch."""
+    landing = _land(f.ct, "landing", "seqval", 4)
+    sink = incremental.TransactionSink(
+        new_path(f.spark, "stream"), lambda rows: changes.events(changes.classify(rows, ("id",))), incremental.before_newest
+    )
+    stream = incremental.read_change_stream(f.spark, landing, f.ct.schema, files_per_batch=1)
+    done = incremental.run_available(stream, sink, new_path(f.spark, "stream-checkpoint"))
+    sink.flush(f.spark, f.ct.schema, done.lastProgress["batchId"], lsn.HIGHEST)
+    return sink.events(f.spark).select(*CHANGE_KEY, *_STREAM_COLUMNS)
+
+
+@query(
+    "SELECT e.capture_instance, e.start_lsn, command_key, seqval, serial, kind, id, name, value, __op FROM ev e "
+    "JOIN lsn_time t ON t.start_lsn = e.start_lsn "
+    "WHERE commit_time <= (SELECT max(commit_time) FROM lsn_time) - INTERVAL 11 DAY"
+)
+def stream_pairs(f: Fixtures) -> DataFrame:
+    """SS3: the second half of every change arrives one file (ten days) after the first.
+
+    Changes newer than the watermark (eleven days behind the newest commit) stay open.
+    """
+    timed = f.ct.join(f.lsn_time, "start_lsn").withColumn("commit_time", F.col("commit_time").cast("timestamp"))
+    first = timed.agg(F.min("commit_time")).first()[0]
+    age = F.datediff("commit_time", F.lit(first))
+    arrival = F.least(F.floor(age / 10), F.lit(2)) + F.col("operation").isin(2, 4).cast("int")
+    landing = new_path(f.spark, "landing")
+    for part in range(4):
+        timed.where(arrival == part).coalesce(1).write.mode("append").parquet(landing)
+    landed = f.spark.read.schema(timed.schema).parquet(landing)
+    sink = pairing.PairingSink(new_path(f.spark, "stream"), landed, ("id",))
+    stream = incremental.read_change_stream(f.spark, landing, timed.schema, files_per_batch=1)
+    incremental.run_available(
+        pairing.open_changes(stream, ("id",), "11 days"), sink, new_path(f.spark, "stream-checkpoint")
+    )
+    return f.spark.read.parquet(f"{sink.path}/events").select(*CHANGE_KEY, *_STREAM_COLUMNS)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tideline.functions.lsn import parse, to_text
+from tideline.session import stage
 
 _STORED = "capture_instance string, lsn string, entries bigint, version bigint"
 _BOOKMARKS = "capture_instance string, lsn string"
@@ -45,7 +46,8 @@ def save_bookmarks(bookmarks: DataFrame, path: str) -> int:
     """Write the next version beside the others, so a failed write leaves the last one in force."""
     spark = bookmarks.sparkSession
     version = (_newest_version(spark, path) or 0) + 1
-    entries = bookmarks.count()  # one row per captured table
+    bookmarks = stage(bookmarks, "bookmarks")  # one row per captured table
+    entries = bookmarks.count()
     stored = bookmarks.select("capture_instance", to_text(F.col("lsn")).alias("lsn"), F.lit(entries).alias("entries"))
     # Overwriting a version can only replace the remains of a failed write.
     stored.coalesce(1).write.mode("overwrite").json(f"{path}/version={version}")

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.functions.lsn import hex_digits
 from tideline.model import CapturedTable, Origin
 from tideline.sources.change_tables import ChangeSource
 
@@ -14,7 +15,8 @@ ORIGIN = Origin(topic_prefix="server1", database="sales", timezone="America/New_
 
 
 def _lsn(file: Column | int, tx: Column, slot: Column | int) -> Column:
-    return F.format_string("%08X%08X%04X", *[c if isinstance(c, Column) else F.lit(c) for c in (file, tx, slot)])
+    parts = zip((file, tx, slot), (8, 8, 4), strict=True)
+    return F.concat(*[hex_digits(p if isinstance(p, Column) else F.lit(p), size) for p, size in parts])
 
 
 def _image(op: int, key: Column, value: Column) -> Column:
