@@ -50,9 +50,15 @@ def missing_instances(catalog: DataFrame, include: Iterable[str] = (), exclude:
 
 def strict_order(rows: DataFrame) -> DataFrame:
     """SO1: log order; the command id separates statements of one transaction."""
-    return rows.orderBy("start_lsn", "command_id", "seqval", "operation")
+    return _ordered(rows, ["start_lsn", "command_id", "seqval", "operation"])
 
 
 def best_effort_order(rows: DataFrame) -> DataFrame:
     """SO2: log order for tables without a command id."""
-    return rows.orderBy("start_lsn", "seqval", "operation")
+    return _ordered(rows, ["start_lsn", "seqval", "operation"])
+
+
+def _ordered(rows: DataFrame, leading: list[str]) -> DataFrame:
+    # The log order leaves ties open. Breaking them makes the result repeatable and lets the range split
+    # divide a transaction whose rows share one sequence value.
+    return rows.orderBy(*leading, *[c for c in rows.columns if c not in leading])

@@ -13,20 +13,25 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.json_values import json_columns, json_line
 from tideline.functions.lsn import to_text
-from tideline.model import Origin
+from tideline.model import EVENT_FIELDS, Origin
 from tideline.operators import reports, resume, windows
 from tideline.operators.skew import GROUP_ROWS_PER_TASK
 from tideline.operators.snapshot import snapshot_events
 from tideline.plans.events import event_lines, paired_lines
-from tideline.session import stage
+from tideline.session import stage, staging
 from tideline.sinks import json_lines, manifest
 from tideline.sources import bookmarks as bookmark_store
-from tideline.sources.change_tables import ChangeSource, table_facts
+from tideline.sources.change_tables import ChangeSource, change_rows, table_facts
+
+_FILES = (
+    "capture_instance string, source_schema string, source_table string, from_lsn string, to_lsn string, "
+    "records_written bigint, path string"
+)
 
 
 @dataclass(frozen=True)
@@ -78,8 +83,9 @@ def run_incremental(
     """Extract everything between the bookmarks and one frozen ceiling.
 
     ``lsn_time`` (``start_lsn``, ``commit_time``) is the commit log; its highest position is the ceiling
-    unless one is given, which makes a rerun repeatable. ``low_watermarks`` says what the source still
-    retains; by default the oldest landed change counts.
+    unless one is given, which makes a rerun repeatable. ``low_watermarks`` (``capture_instance``,
+    ``min_lsn``) says what the source still retains. By default that is everything since the oldest position
+    of the commit log; the oldest change of a table would not do, since a quiet table has none.
     """
     started_at = started_at or datetime.now(timezone.utc)
     run_id = run_id or f"{started_at:%Y%m%dT%H%M%SZ}_{uuid.uuid4().hex[:12]}"
@@ -97,175 +103,152 @@ def run_incremental(
         raise reports.OrderingNotReady("no command id in: " + ", ".join(without_command))
     mode = reports.STRICT_MODE if tables and not without_command else reports.BEST_EFFORT_MODE
 
-    # Plan. One row per captured table; the caller listed the tables, so the plan may come to the driver.
-    ceiling = ceiling or resume.freeze_ceiling(lsn_time)
-    if low_watermarks is None:
-        positions = [
-            s.changes.select(F.lit(s.table.capture_instance).alias("capture_instance"), "start_lsn") for s in sources
-        ]
-        low_watermarks = resume.low_watermarks(reduce(DataFrame.unionByName, positions))
-    resume.check_low_watermarks(low_watermarks)
-    old = bookmark_store.load_bookmarks(spark, bookmark_path)
-    plan = stage(
-        resume.resume_plan(
-            low_watermarks.where(F.col("capture_instance").isin([t.capture_instance for t in tables])),
-            old,
-            ceiling,
-            options.snapshot_mode,
-        ),
-        "resume-plan",
-    )
-    if options.strict_gaps:
-        resume.require_no_gaps(plan)
-    steps = {r["capture_instance"]: r for r in plan.collect()}
-
-    facts = table_facts(spark, tables, origin)
-    folders = json_lines.date_columns(started_at, options.partition_by_date)
-    for name, value in folders.items():
-        facts = facts.withColumn(name, F.lit(value))
-    levels = ["topic", *folders, "window"]
-
-    files = [
-        _write_snapshots(spark, sources, steps, facts, origin, output_path, run_id, started_at, levels, options),
-        _write_changes(
-            spark, sources, steps, plan, facts, origin, output_path, run_id, started_at, lsn_time, ceiling, levels, options
-        ),
-    ]
-    listed = reduce(DataFrame.unionByName, [f for f in files if f is not None], _no_files(spark))
-
-    new = resume.merge_bookmarks(old, resume.next_bookmarks(plan))
-    row = manifest.write_manifest(
-        listed,
-        new,
-        output_path,
-        run_id,
-        database_name=origin.database,
-        max_lsn="0x" + ceiling,
-        mode=mode,
-        started_at=started_at.isoformat(),
-        finished_at=datetime.now(timezone.utc).isoformat(),
-    ).first()
-    if options.commit_bookmarks:
-        bookmark_store.save_bookmarks(new, bookmark_path)
+    run = _Run(spark, sources, origin, output_path, run_id, started_at, lsn_time, options)
+    with staging(spark):
+        totals = run.execute(bookmark_path, ceiling, low_watermarks, mode)
     return RunResult(
         run_id,
         origin.database,
-        "0x" + ceiling,
+        totals["max_lsn"],
         mode,
-        row["total_records"],
-        row["files_written"],
+        totals["total_records"],
+        totals["files_written"],
         missing,
         options.commit_bookmarks,
     )
 
 
-def _no_files(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [],
-        "capture_instance string, source_schema string, source_table string, from_lsn string, to_lsn string, "
-        "records_written bigint, path string",
-    )
-
-
-def _path(levels: Sequence[str], run_id: str):
-    parts = [F.concat(F.lit(f"{n}="), F.col(n)) for n in levels]
-    return F.concat_ws("/", F.lit(f"events/run_id={run_id}"), *parts)
-
+def pending(source: ChangeSource, resume_lsn: str, ceiling: str) -> ChangeSource:
+    """SC1, PF4, X13: only what lies between the resume position and the ceiling; literals reach the scan."""
+    return ChangeSource(source.table, change_rows(source, resume_lsn, ceiling), source.current)
+
+
+class _Run:
+    """The steps of one run over what its caller chose."""
+
+    def __init__(self, spark, sources, origin, output_path, run_id, started_at, lsn_time, options) -> None:
+        self.spark, self.sources, self.origin, self.options = spark, sources, origin, options
+        self.output_path, self.run_id, self.started_at, self.lsn_time = output_path, run_id, started_at, lsn_time
+        self.tables = [s.table for s in sources]
+        facts = table_facts(spark, self.tables, origin)
+        folders = json_lines.date_columns(started_at, options.partition_by_date)
+        for name, value in folders.items():
+            facts = facts.withColumn(name, F.lit(value))
+        # One row per captured table, listed by the caller: small by construction.
+        self.facts = F.broadcast(facts)
+        self.levels = ["topic", *folders, "window"]
+
+    def execute(self, bookmark_path: str, ceiling: str | None, low_watermarks: DataFrame | None, mode: str) -> Row:
+        options = self.options
+        ceiling = ceiling or resume.freeze_ceiling(self.lsn_time)
+        old = bookmark_store.load_bookmarks(self.spark, bookmark_path)
+        plan = self._plan(old, ceiling, low_watermarks)
+        # One row per captured table: may come to the driver, where it turns into scan literals.
+        steps = {r["capture_instance"]: r for r in plan.collect()}
+        files = [f for f in (self._write_snapshots(steps), self._write_changes(steps, plan, ceiling)) if f is not None]
+        empty = self.spark.createDataFrame([], _FILES)
+        new = resume.merge_bookmarks(old, resume.next_bookmarks(plan))
+        row = manifest.write_manifest(
+            reduce(DataFrame.unionByName, files, empty),
+            new,
+            self.output_path,
+            self.run_id,
+            database_name=self.origin.database,
+            max_lsn="0x" + ceiling,
+            mode=mode,
+            started_at=self.started_at.isoformat(),
+            finished_at=datetime.now(timezone.utc).isoformat(),
+        ).first()
+        if options.commit_bookmarks:
+            bookmark_store.save_bookmarks(new, bookmark_path)
+        return row
+
+    def _plan(self, old: DataFrame, ceiling: str, low_watermarks: DataFrame | None) -> DataFrame:
+        """Resume plan, with every refusal before the first write."""
+        names = [t.capture_instance for t in self.tables]
+        if low_watermarks is None:
+            each = F.explode(F.array(*[F.lit(n) for n in names]))
+            oldest = self.lsn_time.agg(F.min("start_lsn").alias("min_lsn"))
+            low_watermarks = oldest.select(each.alias("capture_instance"), "min_lsn")
+        resume.check_low_watermarks(low_watermarks)
+        known = low_watermarks.where(F.col("capture_instance").isin(names))
+        plan = stage(resume.resume_plan(known, old, ceiling, self.options.snapshot_mode), "resume-plan")
+        if self.options.strict_gaps:
+            resume.require_no_gaps(plan)
+        return plan
+
+    def _path(self) -> Column:
+        parts = [F.concat(F.lit(f"{n}="), F.col(n)) for n in self.levels]
+        return F.concat_ws("/", F.lit(f"events/run_id={self.run_id}"), *parts)
+
+    def _write_snapshots(self, steps: dict[str, Row]) -> DataFrame | None:
+        """SK3: full reads of the tables that need one; map-only, counted while they are written."""
+        lines, counted = [], {}
+        for source in self.sources:
+            name = source.table.capture_instance
+            if source.current is None or name not in steps or not steps[name]["take_snapshot"]:
+                continue
+            rows = snapshot_events(source.current, source.table, self.origin, self.started_at, steps[name]["min_lsn"])
+            fields = [F.col(c) for c in EVENT_FIELDS]
+            text = json_line([*json_columns(rows, source.table), *fields])
+            counted[name] = Observation(f"snapshot-{self.run_id}-{name}")
+            lines.append(
+                rows.select("capture_instance", text.alias("value")).observe(counted[name], F.count(F.lit(1)).alias("n"))
+            )
+        if not lines:
+            return None
+        union = reduce(DataFrame.unionByName, lines).withColumn("window", F.lit("snapshot"))
+        named = union.join(self.facts, "capture_instance")
+        json_lines.write_lines(named, self.output_path, self.run_id, self.levels, self.options.compress, ordered=False)
+        sizes = [(name, o.get["n"]) for name, o in counted.items()]
+        written = self.spark.createDataFrame(sizes, "capture_instance string, records_written bigint")
+        return (
+            written.where("records_written > 0")
+            .join(self.facts, "capture_instance")
+            .withColumns({n: F.lit("snapshot") for n in ("window", "from_lsn", "to_lsn")})
+            .withColumn("path", self._path())
+            .select(*manifest.FILE_FIELDS)
+        )
 
-def _write_snapshots(spark, sources, steps, facts, origin, output_path, run_id, started_at, levels, options):
-    """SK3: full reads of the tables that need one; map-only, counted while they are written."""
-    wanted = [
-        s
-        for s in sources
-        if s.current is not None and s.table.capture_instance in steps
-        and steps[s.table.capture_instance]["take_snapshot"]
-    ]
-    if not wanted:
-        return None
-    lines, counted = [], {}
-    for source in wanted:
-        name = source.table.capture_instance
-        rows = snapshot_events(source.current, source.table, origin, started_at, steps[name]["min_lsn"])
-        fields = [F.col(c) for c in ("__op", "__table", "__deleted", "__source_ts_ms")]
-        text = json_line([*json_columns(rows, source.table), *fields])
-        counted[name] = Observation(f"snapshot-{run_id}-{name}")
-        lines.append(
-            rows.select("capture_instance", text.alias("value")).observe(counted[name], F.count(F.lit(1)).alias("n"))
+    def _write_changes(self, steps: dict[str, Row], plan: DataFrame, ceiling: str) -> DataFrame | None:
+        """SK1: pending changes of all tables, paired in one job and written by window."""
+        options = self.options
+        todo = [
+            pending(s, steps[s.table.capture_instance]["resume_lsn"], ceiling)
+            for s in self.sources
+            if s.table.capture_instance in steps and not steps[s.table.capture_instance]["is_done"]
+        ]
+        if not todo:
+            return None
+        positions = [
+            s.changes.select(F.lit(s.table.capture_instance).alias("capture_instance"), "start_lsn") for s in todo
+        ]
+        all_positions = reduce(DataFrame.unionByName, positions)
+        numbered = stage(windows.window_plan(all_positions, options.window_size), "window-plan")
+        bounds = windows.window_bounds(numbered, plan.select("capture_instance", "resume_lsn"))
+        label = F.concat_ws("_", to_text(F.col("from_lsn")), to_text(F.col("to_lsn")))
+        labelled = stage(bounds.withColumn("window", label), "windows")
+        # Everything known per transaction is gathered first (narrow), so events are joined only once.
+        transactions = (
+            numbered.join(labelled.select("capture_instance", "window_id", "window"), ["capture_instance", "window_id"])
+            .join(self.lsn_time.select("start_lsn", "commit_time"), "start_lsn", "left")
+            .drop("window_id")
         )
-    union = reduce(DataFrame.unionByName, lines).withColumn("window", F.lit("snapshot"))
-    named = union.join(F.broadcast(facts), "capture_instance")
-    json_lines.write_lines(named, output_path, run_id, levels, options.compress, ordered=False)
-    sizes = [(name, o.get["n"]) for name, o in counted.items()]
-    return (
-        spark.createDataFrame(sizes, "capture_instance string, records_written bigint")
-        .where("records_written > 0")
-        .join(facts, "capture_instance")
-        .withColumn("window", F.lit("snapshot"))
-        .select(
-            "capture_instance",
-            "source_schema",
-            "source_table",
-            F.lit("snapshot").alias("from_lsn"),
-            F.lit("snapshot").alias("to_lsn"),
-            "records_written",
-            _path(levels, run_id).alias("path"),
+        events = (
+            paired_lines(todo, options.strict_pairs, options.group_rows_per_task)
+            .join(transactions, ["capture_instance", "start_lsn"])
+            .join(self.facts, "capture_instance")
         )
-    )
-
-
-def pending(source: ChangeSource, step, ceiling: str) -> ChangeSource:
-    """SC1, PF4, X13: only what lies between the resume position and the ceiling; literals reach the scan."""
-    rows = source.changes.where(F.col("start_lsn").between(step["resume_lsn"], ceiling))
-    return ChangeSource(source.table, rows, source.current)
-
-
-def _write_changes(
-    spark, sources, steps, plan, facts, origin, output_path, run_id, started_at, lsn_time, ceiling, levels, options
-):
-    """SK1: pending changes of all tables, paired in one job and written by window."""
-    todo = [
-        pending(s, steps[s.table.capture_instance], ceiling)
-        for s in sources
-        if s.table.capture_instance in steps and not steps[s.table.capture_instance]["is_done"]
-    ]
-    if not todo:
-        return None
-    positions = reduce(
-        DataFrame.unionByName,
-        [s.changes.select(F.lit(s.table.capture_instance).alias("capture_instance"), "start_lsn") for s in todo],
-    )
-    windowed = windows.window_plan(positions, options.window_size)
-    numbered = stage(windowed, "window-plan")
-    bounds = windows.window_bounds(numbered, plan.select("capture_instance", "resume_lsn"))
-    labelled = stage(
-        bounds.withColumn("window", F.concat_ws("_", to_text(F.col("from_lsn")), to_text(F.col("to_lsn")))), "windows"
-    )
-    # Everything known per transaction is gathered first (narrow), so events are joined only once.
-    transactions = (
-        numbered.join(labelled.select("capture_instance", "window_id", "window"), ["capture_instance", "window_id"])
-        .join(lsn_time.select("start_lsn", "commit_time"), "start_lsn", "left")
-        .drop("window_id")
-    )
-    events = (
-        paired_lines(todo, options.strict_pairs, options.group_rows_per_task)
-        .join(transactions, ["capture_instance", "start_lsn"])
-        .join(F.broadcast(facts), "capture_instance")
-    )
-    lines = event_lines(events, origin, started_at, options.tombstones, options.key_schemas)
-    # Staged once: the range split samples it, the counts prune it, the write reads it.
-    staged = stage(lines.select("capture_instance", *levels, *json_lines.LINE_ORDER, "value"), "lines")
-    json_lines.write_lines(staged, output_path, run_id, levels, options.compress)
-    counts = staged.groupBy("capture_instance", "window").agg(F.count(F.lit(1)).alias("records_written"))
-    return (
-        counts.join(labelled.select("capture_instance", "window", "from_lsn", "to_lsn"), ["capture_instance", "window"])
-        .join(F.broadcast(facts), "capture_instance")
-        .select(
-            "capture_instance",
-            "source_schema",
-            "source_table",
-            to_text(F.col("from_lsn")).alias("from_lsn"),
-            to_text(F.col("to_lsn")).alias("to_lsn"),
-            "records_written",
-            _path(levels, run_id).alias("path"),
+        lines = event_lines(events, self.origin, self.started_at, options.tombstones, options.key_schemas)
+        # Staged once: the range split samples it, the counts prune it, the write reads it.
+        staged = stage(lines.select("capture_instance", *self.levels, *json_lines.LINE_ORDER, "value"), "lines")
+        json_lines.write_lines(staged, self.output_path, self.run_id, self.levels, options.compress)
+        counts = staged.groupBy("capture_instance", "window").agg(F.count(F.lit(1)).alias("records_written"))
+        ranges = labelled.select("capture_instance", "window", "from_lsn", "to_lsn")
+        return (
+            counts.join(ranges, ["capture_instance", "window"])
+            .join(self.facts, "capture_instance")
+            .withColumn("path", self._path())
+            .withColumns({n: to_text(F.col(n)) for n in ("from_lsn", "to_lsn")})
+            .select(*manifest.FILE_FIELDS)
         )
-    )

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_SHARED: dict[str, str] = {}
+_OPEN_SCOPES: list[list[str]] = []
 
 # Above this many rows a helper table is joined by shuffle instead of being broadcast.
 BROADCAST_ROWS = 200_000
@@ -43,10 +46,27 @@ def stage(rows: DataFrame, label: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = new_path(spark, label)
+    for scope in _OPEN_SCOPES:
+        scope.append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside the block when it ends; nothing may read them afterwards."""
+    paths: list[str] = []
+    _OPEN_SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN_SCOPES.remove(paths)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in paths:
+            folder = hadoop.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small_side(rows: DataFrame, label: str, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Stage a helper table and broadcast it only when its counted rows are within ``limit``."""
     table = stage(rows, label)

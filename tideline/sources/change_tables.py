@@ -30,7 +30,10 @@ LANDED_COLUMNS = (*SYSTEM_COLUMNS, "key", "image")
 
 @dataclass(frozen=True)
 class ChangeSource:
-    """One captured table with its change rows and, for snapshots, its current rows."""
+    """One captured table with its change rows and, for snapshots, its current rows.
+
+    ``changes`` may still have the source's own names and binary positions (see ``from_raw``).
+    """
 
     table: CapturedTable
     changes: DataFrame
@@ -53,6 +56,16 @@ def from_raw(rows: DataFrame, capture_instance: str) -> DataFrame:
     return rows.select(F.lit(capture_instance).alias("capture_instance"), *out)
 
 
+def change_rows(source: ChangeSource, low: str, high: str) -> DataFrame:
+    """SC1: change rows of a range. Raw rows are filtered on their binary column, so the scan prunes them too."""
+    rows = source.changes
+    if "__$start_lsn" not in rows.columns:
+        return rows.where(F.col("start_lsn").between(low, high))
+    position = F.col("`__$start_lsn`")
+    ranged = rows.where(position.between(F.lit(bytearray.fromhex(low)), F.lit(bytearray.fromhex(high))))
+    return from_raw(ranged, source.table.capture_instance)
+
+
 def read_changes(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """SC1: landed change rows; range filters and column choices reach this scan."""
     reader = spark.read.format(fmt)
