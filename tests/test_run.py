@@ -194,6 +194,19 @@ def test_large_transaction_run(spark, fixtures, folders):
     assert one.count() == 900 and one.exceptAll(two).count() == 0
 
 
+@pytest.mark.parametrize("hot_rows", [2_000_000, 4])
+def test_typed_and_text_pairing_agree(spark, fixtures, hot_rows):
+    table = CapturedTable.of("dbo_shared", fixtures.ct, ("id",), has_command_id=False)
+    sources = [*fixtures.sources, ChangeSource(table, fixtures.ct_shared_seq)]
+    typed = paired_lines(sources, strict=False, hot_rows=hot_rows)
+    text = paired_lines(sources, strict=False, hot_rows=hot_rows, typed_tables=0).select(*typed.columns)
+    keep = [c for c in typed.columns if c != "serial"]  # ties are broken by different columns
+    assert typed.count() == text.count() > 0
+    assert typed.select(*keep).exceptAll(text.select(*keep)).count() == 0
+    spots = ["capture_instance", "start_lsn", "command_key", "seqval", "serial"]
+    assert typed.select(*spots).exceptAll(text.select(*spots)).count() == 0
+
+
 @pytest.mark.parametrize("raw", [False, True])
 def test_range_reaches_the_scan(spark, fixtures, tmp_path, raw):
     rows = fixtures.ct

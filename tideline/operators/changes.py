@@ -71,9 +71,22 @@ def classify(
     ``has_update_half`` and, on request, ``previous`` (the image one row earlier in the change).
     """
     keyed = with_change_key(rows, use_command_id)
-    hot = hot_groups(
-        keyed, CHANGE_KEY, max(2, hot_rows), F.max(_is_update_half().cast("int")).cast("boolean").alias("has_update_half")
-    )
+    return classify_known(keyed, primary_key, find_hot(keyed, hot_rows), previous_image)
+
+
+def find_hot(keyed: DataFrame, hot_rows: int = GROUP_ROWS_PER_TASK) -> DataFrame | None:
+    """Changes too large for one task, among rows with their change key; None if there are none.
+
+    More than two rows are never a pair, which is what the split in ``classify_known`` builds on.
+    """
+    halves = F.max(_is_update_half().cast("int")).cast("boolean").alias("has_update_half")
+    return hot_groups(keyed, CHANGE_KEY, max(2, hot_rows), halves)
+
+
+def classify_known(
+    keyed: DataFrame, primary_key: Sequence[str], hot: DataFrame | None, previous_image: bool = False
+) -> DataFrame:
+    """``classify`` for rows with their change key, once the large changes are known."""
     if hot is None:
         return _classify_window(keyed, primary_key, previous_image)
     key = list(CHANGE_KEY)

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.json_values import extend_object, json_line
-from tideline.model import CapturedTable, Origin
+from tideline.model import CHANGE_KEY, CapturedTable, Origin
 from tideline.operators import changes, envelope
 from tideline.operators.skew import GROUP_ROWS_PER_TASK
 from tideline.sources.change_tables import ChangeSource, landed_all
 
+# More captured tables than this share one pairing on text.
+TYPED_TABLES = 64
+
 
 def with_commit_time(rows: DataFrame, lsn_time: DataFrame) -> DataFrame:
     """JN1: commit time of every transaction, null if unknown.
@@ -42,10 +46,37 @@ def change_events(
     return envelope.flat_events(kept, table, origin, processed_at)
 
 
-def paired_lines(sources: Iterable[ChangeSource], strict: bool = True, hot_rows: int = GROUP_ROWS_PER_TASK) -> DataFrame:
-    """MS1: events of many tables of any shape, paired together; images are still JSON objects."""
-    found = changes.classify(landed_all(sources), ["key"], True, hot_rows)
-    return changes.events(found, strict)
+def paired_lines(
+    sources: Iterable[ChangeSource],
+    strict: bool = True,
+    hot_rows: int = GROUP_ROWS_PER_TASK,
+    typed_tables: int = TYPED_TABLES,
+) -> DataFrame:
+    """MS1: events of many tables of any shape in one job, with key and image as JSON objects.
+
+    Up to ``typed_tables`` tables are paired side by side in their own columns: the shuffle moves typed values
+    and only surviving rows are turned into text. Beyond that the plan would grow with the number of tables,
+    so all tables become text first and share one pairing.
+    """
+    sources = list(sources)
+    if len(sources) > typed_tables:
+        return changes.events(changes.classify(landed_all(sources), ["key"], True, hot_rows), strict)
+    for source in sources:
+        envelope.check_reserved(source.table)
+    keyed = [changes.with_change_key(s.changes, s.table.has_command_id) for s in sources]
+    keyed = [
+        k.withColumn("capture_instance", F.lit(s.table.capture_instance)) for k, s in zip(keyed, sources, strict=True)
+    ]
+    keys = reduce(DataFrame.unionByName, [k.select(*CHANGE_KEY, "operation") for k in keyed])
+    hot = changes.find_hot(keys, hot_rows)
+    paired = []
+    for rows, source in zip(keyed, sources, strict=True):
+        kept = changes.events(changes.classify_known(rows, source.table.primary_key, hot), strict)
+        key = envelope.key_text(rows, source.table).alias("key")
+        paired.append(
+            kept.select("capture_instance", *envelope.ORDER, "__op", key, envelope.image_text(rows, source.table).alias("image"))
+        )
+    return reduce(DataFrame.unionByName, paired)
 
 
 def event_lines(events: DataFrame, origin: Origin, processed_at: datetime, tombstones: bool, key_schemas: bool) -> DataFrame:
