@@ -1,5 +1,6 @@
 """Pairing: the known cases, then random changes against plain Python rules."""
 
+import json
 import random
 from datetime import datetime, timezone
 
@@ -79,6 +80,40 @@ def test_null_key_values_are_equal(spark):
     assert sorted((e["seqval"][0], e["__op"]) for e in got) == [("0", "u"), ("1", "c"), ("1", "d")]
 
 
+def test_key_documents():
+    document = envelope.key_schema(CUSTOMERS, ORIGIN)
+    assert document == {
+        "type": "struct",
+        "fields": [{"field": "id", "type": "int32", "optional": False, "parameters": {"sqlserver_type": "int"}}],
+        "optional": False,
+        "name": "server1.dbo.sales.customers.Key",
+        "version": 1,
+    }
+    keyless = CapturedTable("dbo_log", "dbo", "log", (ColumnInfo("amount", "decimal", None, 18, 4),))
+    assert envelope.key_schema(keyless, ORIGIN)["fields"] == [] and envelope.key_schema(keyless, ORIGIN)["optional"]
+    assert envelope.field_schema(keyless.columns[0], optional=True)["parameters"] == {
+        "sqlserver_type": "decimal",
+        "numeric_precision": "18",
+        "numeric_scale": "4",
+    }
+
+
+def test_tombstone_lines(spark):
+    rows = change(spark, "0" * 20, "0" * 20, (1, 7, "old"))
+    bare = envelope.tombstone_line(envelope.key_text(rows, CUSTOMERS))
+    wrapped = envelope.tombstone_line(
+        envelope.key_text(rows, CUSTOMERS), F.lit(envelope.key_schema_text(CUSTOMERS, ORIGIN))
+    )
+    keyless = CapturedTable("dbo_log", "dbo", "log", CUSTOMERS.columns)
+    got = rows.select(bare, wrapped, envelope.tombstone_line(envelope.key_text(rows, keyless), F.lit("{}"))).first()
+    assert json.loads(got[0]) == {"key": {"id": 7}, "value": None}
+    assert json.loads(got[1]) == {
+        "key": {"schema": envelope.key_schema(CUSTOMERS, ORIGIN), "payload": {"id": 7}},
+        "value": None,
+    }
+    assert json.loads(got[2]) == {"key": None, "value": None}
+
+
 def test_reserved_column_is_refused(spark):
     rows = change(spark, "0" * 20, "0" * 20, (2, 7, "x")).withColumnRenamed("name", "__op")
     table = CapturedTable.of("dbo_customers", rows, ("id",))

@@ -42,3 +42,40 @@ def test_numbering_spreads_equal_rows(spark):
     assert sorted(r["n"] for r in found if r["g"] == "a") == list(range(1, 2301))
     assert sorted(r["n"] for r in found if (r["g"], r["o"]) == ("a", 1)) == list(range(1, 2001))
     assert sorted(r["n"] for r in found if r["g"] == "b") == [1, 2, 3, 4, 5]
+
+
+def test_runs_of_copies(spark, monkeypatch):
+    monkeypatch.setattr("tideline.operators.skew._COPY_RUN", 64)
+    rows = [("a", 1)] * 1000 + [("a", 2)] * 64 + [("a", 3)] * 65
+    found = number_rows(spark.createDataFrame(rows, "g string, o int"), ["g"], ["o"], "n").collect()
+    assert sorted(r["n"] for r in found) == list(range(1, 1130))
+    assert sorted(r["n"] for r in found if r["o"] == 3) == list(range(1065, 1130))
+
+
+def test_large_transaction_is_split_in_the_time_join(spark):
+    """A third of all rows in one transaction: the join divides that side at run time."""
+    from tideline.plans.events import with_commit_time
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000)
+        rows = spark.range(0, 300_000, 1, 8).select(F.lpad(F.hex(key), 20, "0").alias("start_lsn"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        log = spark.range(1000).select(F.lpad(F.hex("id"), 20, "0").alias("start_lsn"), F.lit("2024-01-01").cast("timestamp_ntz").alias("commit_time"))
+        joined = with_commit_time(rows, log)
+        assert joined.count() == 300_000
+        joined = with_commit_time(rows, log)
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

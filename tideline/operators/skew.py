@@ -14,7 +14,7 @@ from tideline.session import small_side, stage
 GROUP_ROWS_PER_TASK = 2_000_000
 
 # Size of the histogram that bounds every group from above.
-_BUCKETS = 8192
+_BUCKETS = 16_384
 
 # Copies of one row are numbered in runs of this length.
 _COPY_RUN = 100_000
@@ -84,15 +84,23 @@ def number_rows(
 
 
 def _number_copies(rows: DataFrame) -> DataFrame:
-    """Give equal rows a running number; copies are counted before the shuffle, then unfolded in runs."""
+    """Give equal rows a running number. Copies are counted before the shuffle and unfolded after it.
+
+    A row with very many copies is first cut into runs that are spread over the tasks.
+    """
     columns = rows.columns
-    run = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(__copies - 1) div %d" % _COPY_RUN)))
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
+    few = counted.where(F.col("__copies") <= _COPY_RUN).select(*columns, _unfold(F.lit(0), F.col("__copies")))
+    run = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(__copies - 1) div {_COPY_RUN}")))
     runs = (
-        rows.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("__copies"))
+        counted.where(F.col("__copies") > _COPY_RUN)
         .select(*columns, "__copies", run.alias("__run"))
         .repartition(*columns, "__run")
     )
     first = F.col("__run") * _COPY_RUN
-    last = F.least(first + _COPY_RUN, F.col("__copies")) - 1
-    return runs.select(*columns, F.explode(F.sequence(first, last)).alias("__copy"))
+    many = runs.select(*columns, _unfold(first, F.least(first + _COPY_RUN, F.col("__copies"))))
+    return few.unionByName(many)
+
+
+def _unfold(first: Column, end: Column) -> Column:
+    return F.explode(F.sequence(first.cast("bigint"), end - 1)).alias("__copy")

@@ -224,7 +224,7 @@ class _Run:
             s.changes.select(F.lit(s.table.capture_instance).alias("capture_instance"), "start_lsn") for s in todo
         ]
         all_positions = reduce(DataFrame.unionByName, positions)
-        numbered = stage(windows.window_plan(all_positions, options.window_size), "window-plan")
+        numbered = windows.window_plan(all_positions, options.window_size)  # reads a staged table
         bounds = windows.window_bounds(numbered, plan.select("capture_instance", "resume_lsn"))
         label = F.concat_ws("_", to_text(F.col("from_lsn")), to_text(F.col("to_lsn")))
         labelled = stage(bounds.withColumn("window", label), "windows")
