@@ -143,6 +143,31 @@ def test_failed_run_stays_invisible_and_keeps_bookmarks(spark, fixtures, folders
     assert {r["run_id"] for r in json_lines.read_complete_lines(spark, folders[0]).collect()} == {"one"}
 
 
+def test_failed_run_is_cleaned_and_may_be_repeated(spark, fixtures, folders):
+    left = Path(json_lines.run_folder(folders[0], "r"))
+    frame = spark.createDataFrame([("t", "w", "{}")], "topic string, window string, value string")
+    frame.write.partitionBy("topic", "window").text(str(left))
+    bad = ChangeSource(fixtures.events_table, fixtures.ct_badop)
+    keep = RunOptions(snapshot_mode="never", cleanup_failed=False)
+    with pytest.raises(Exception, match="unsupported operation code"):
+        run(spark, fixtures, folders, [bad], run_id="r", lsn_time=fixtures.log)
+    assert not left.exists()
+    frame.write.partitionBy("topic", "window").text(str(left))
+    good = ChangeSource(fixtures.events_table, fixtures.ct)
+    result = run(spark, fixtures, folders, [good], keep, run_id="r", lsn_time=fixtures.log)
+    assert json_lines.read_complete_lines(spark, folders[0]).count() == result.total_records == 1100
+    with pytest.raises(ValueError, match="published before"):
+        run(spark, fixtures, folders, [good], run_id="r", lsn_time=fixtures.log)
+    assert json_lines.read_complete_lines(spark, folders[0]).count() == 1100
+
+
+def test_long_file_list_stays_out_of_the_run_row(spark, fixtures, folders, monkeypatch):
+    monkeypatch.setattr("tideline.sinks.manifest.INLINE_FILES", 2)
+    run(spark, fixtures, folders, run_id="r", lsn_time=fixtures.log)
+    row = manifest.read_runs(spark, folders[0]).first()
+    assert row["files"] is None and row["files_written"] == manifest.read_files(spark, folders[0]).count() > 2
+
+
 def test_gap_refuses_before_writing_or_restarts(spark, fixtures, folders):
     source = [ChangeSource(fixtures.events_table, fixtures.ct)]
     old = spark.createDataFrame([("dbo_events", "00000001000000010001")], "capture_instance string, lsn string")

@@ -23,7 +23,7 @@ from tideline.operators import reports, resume, windows
 from tideline.operators.skew import GROUP_ROWS_PER_TASK
 from tideline.operators.snapshot import snapshot_events
 from tideline.plans.events import event_lines, paired_lines
-from tideline.session import stage, staging
+from tideline.session import remove, stage, staging
 from tideline.sinks import json_lines, manifest
 from tideline.sources import bookmarks as bookmark_store
 from tideline.sources.change_tables import ChangeSource, change_rows, table_facts
@@ -50,6 +50,7 @@ class RunOptions:
     compress: bool = True
     partition_by_date: bool = False
     commit_bookmarks: bool = True
+    cleanup_failed: bool = True
     group_rows_per_task: int = GROUP_ROWS_PER_TASK
 
 
@@ -105,7 +106,12 @@ def run_incremental(
 
     run = _Run(spark, sources, origin, output_path, run_id, started_at, lsn_time, options)
     with staging(spark):
-        totals = run.execute(bookmark_path, ceiling, low_watermarks, mode)
+        try:
+            totals = run.execute(bookmark_path, ceiling, low_watermarks, mode)
+        except Exception:
+            if options.cleanup_failed:
+                run.discard_unpublished()
+            raise
     return RunResult(
         run_id,
         origin.database,
@@ -143,6 +149,9 @@ class _Run:
         ceiling = ceiling or resume.freeze_ceiling(self.lsn_time)
         old = bookmark_store.load_bookmarks(self.spark, bookmark_path)
         plan = self._plan(old, ceiling, low_watermarks)
+        if self._published():
+            raise ValueError(f"run {self.run_id} was published before; give a new run id")
+        self.discard_unpublished()
         # One row per captured table: may come to the driver, where it turns into scan literals.
         steps = {r["capture_instance"]: r for r in plan.collect()}
         files = [f for f in (self._write_snapshots(steps), self._write_changes(steps, plan, ceiling)) if f is not None]
@@ -163,6 +172,15 @@ class _Run:
             bookmark_store.save_bookmarks(new, bookmark_path)
         return row
 
+    def _published(self) -> bool:
+        runs = manifest.read_runs(self.spark, self.output_path)
+        return bool(runs.where(F.col("run_id") == self.run_id).head(1))
+
+    def discard_unpublished(self) -> None:
+        """SK8: remove what an attempt at this run has left, unless its manifest made it visible."""
+        if not self._published():
+            remove(self.spark, json_lines.run_folder(self.output_path, self.run_id))
+
     def _plan(self, old: DataFrame, ceiling: str, low_watermarks: DataFrame | None) -> DataFrame:
         """Resume plan, with every refusal before the first write."""
         names = [t.capture_instance for t in self.tables]

@@ -127,11 +127,11 @@ def row_state(f: Fixtures) -> DataFrame:
 
 @query(
     "SELECT capture_instance, start_lsn, seqval, operation FROM all_ct "
-    f"WHERE start_lsn BETWEEN '{BOOKMARK}' AND '00000028000003E80001'"
+    f"WHERE start_lsn BETWEEN '{BOOKMARK}' AND '00000028FFFFFFFFFFFF'"
 )
 def lsn_range(f: Fixtures) -> DataFrame:
     """PF2."""
-    found = filters.lsn_range(f.both, BOOKMARK, "00000028000003E80001")
+    found = filters.lsn_range(f.both, BOOKMARK, "00000028FFFFFFFFFFFF")
     return found.select("capture_instance", "start_lsn", "seqval", "operation")
 
 

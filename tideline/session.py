@@ -61,10 +61,14 @@ def staging(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _OPEN_SCOPES.remove(paths)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         for path in paths:
-            folder = hadoop.Path(path)
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's own making, if it exists, on whatever file system it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def small_side(rows: DataFrame, label: str, limit: int = BROADCAST_ROWS) -> DataFrame:
