@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.errors import OrderingNotReady
+from tideline.operators.extents import lsn_extent
 
 # Run modes.
 STRICT_MODE, BEST_EFFORT_MODE = "change_table_command_id", "change_table_best_effort"
@@ -13,16 +14,9 @@ STRICT_MODE, BEST_EFFORT_MODE = "change_table_command_id", "change_table_best_ef
 
 def capture_catalog(rows: DataFrame) -> DataFrame:
     """SC3, SC9: captured tables with their retained range, in name order. Summed up before the shuffle."""
-    return (
-        rows.groupBy("capture_instance")
-        .agg(
-            F.min("start_lsn").alias("min_lsn"),
-            F.max("start_lsn").alias("max_lsn"),
-            F.count(F.lit(1)).alias("change_rows"),
-            F.count("command_id").alias("rows_with_command_id"),
-        )
-        .orderBy("capture_instance")
-    )
+    one = F.lit(1).cast("bigint")
+    with_id = F.col("command_id").isNotNull().cast("bigint")
+    return lsn_extent(rows, ["capture_instance"], change_rows=one, rows_with_command_id=with_id).orderBy("capture_instance")
 
 
 def ordering_report(catalog: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tideline.errors import LogGap, MissingPosition
 from tideline.functions.lsn import LOWEST, following, to_text
+from tideline.operators.extents import lsn_extent
+from tideline.session import small_side
 
 SNAPSHOT_MODES = ("initial", "always", "never")
 
@@ -26,7 +28,7 @@ def freeze_ceiling(positions: DataFrame) -> str:
 
 def low_watermarks(rows: DataFrame) -> DataFrame:
     """SC8: oldest retained position per table."""
-    return rows.groupBy("capture_instance").agg(F.min("start_lsn").alias("min_lsn"))
+    return lsn_extent(rows, ["capture_instance"]).select("capture_instance", "min_lsn")
 
 
 def check_low_watermarks(watermarks: DataFrame) -> None:
@@ -99,6 +101,5 @@ def bookmark_text(bookmarks: DataFrame) -> DataFrame:
 
 def late_rows(arrived: DataFrame, bookmarks: DataFrame) -> DataFrame:
     """SS5: newly arrived rows at or below the bookmark; an incremental run will never read them."""
-    return arrived.join(bookmarks.select("capture_instance", "lsn"), "capture_instance").where(
-        F.col("start_lsn") <= F.col("lsn")
-    ).drop("lsn")
+    marks = small_side(bookmarks.select("capture_instance", "lsn"), "bookmarks")  # one row per table
+    return arrived.join(marks, "capture_instance").where(F.col("start_lsn") <= F.col("lsn")).drop("lsn")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.lsn import following
+from tideline.operators.extents import lsn_extent
 from tideline.operators.skew import number_rows
 
 # Fixed value: default number of transactions per window.
@@ -34,9 +35,8 @@ def window_bounds(plan: DataFrame, starts: DataFrame) -> DataFrame:
     ``starts`` has one row per table: ``capture_instance``, ``resume_lsn``. The neighbour comes from an
     equi-join on the window number, so a table with very many windows is not sorted by one task.
     """
-    ends = plan.groupBy("capture_instance", "window_id").agg(
-        F.max("start_lsn").alias("to_lsn"), F.count(F.lit(1)).alias("transactions")
-    )
+    ends = lsn_extent(plan, ["capture_instance", "window_id"], transactions=F.lit(1).cast("bigint"))
+    ends = ends.withColumnRenamed("max_lsn", "to_lsn")
     before = ends.select(
         "capture_instance", (F.col("window_id") + 1).alias("window_id"), following(F.col("to_lsn")).alias("__next")
     )

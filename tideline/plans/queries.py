@@ -34,13 +34,13 @@ ORACLES: dict[str, str] = {}
 Query = Callable[[Fixtures], DataFrame]
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function name, together with its SQL form."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, by default under its function name, together with its SQL form."""
 
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = lambda spark, sf_dir: run(Fixtures(spark, sf_dir))
-        if sql is not None:
-            ORACLES[run.__name__] = with_steps(sql)
+        key = name or run.__name__
+        QUERIES[key] = lambda spark, sf_dir: run(Fixtures(spark, sf_dir))
+        ORACLES[key] = with_steps(sql)
         return run
 
     return register
@@ -777,7 +777,8 @@ def manifest_files(f: Fixtures) -> DataFrame:
 @query(
     f"SELECT '{RUN_ID}' AS run_id, 'sales' AS database_name, CAST(sum(records_written) AS BIGINT) AS total_records, "
     "count(*) AS files_written, (SELECT string_agg(capture_instance || '=0x' || lsn, ',' ORDER BY capture_instance) FROM bookmarks) AS bookmarks, "
-    f"string_agg(path || '=' || records_written, ',' ORDER BY path) AS files FROM ({_FILES}) f"
+    f"string_agg(path || '=' || records_written, ',' ORDER BY path) AS files FROM ({_FILES}) f",
+    name="manifest",
 )
 def manifest_run(f: Fixtures) -> DataFrame:
     """SK6, MD4: the run row as it is stored, with its short file list."""
@@ -796,9 +797,6 @@ def manifest_run(f: Fixtures) -> DataFrame:
     )
 
 
-QUERIES["manifest"], ORACLES["manifest"] = QUERIES.pop("manifest_run"), ORACLES.pop("manifest_run")
-
-
 def _lines(f: Fixtures, tombstones: bool) -> DataFrame:
     """Events of both tables as text, in folders by topic and window."""
     facts = table_facts(f.spark, [s.table for s in f.sources], ORIGIN)
