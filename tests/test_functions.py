@@ -116,6 +116,19 @@ def test_json_values_of_every_type(spark):
     }
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_decimals_are_plain_text(spark, ansi):
+    values = ["0", "0.0000001", "-0.0000000012", "-12345678.5", "1E-10"]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        frame = spark.createDataFrame([(Decimal(v),) for v in values], "d decimal(20,10)")
+        got = [json.loads(r[0])["d"] for r in frame.select(json_line(json_columns(frame, CapturedTable.of("t_t", frame)))).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got == [format(Decimal(v).quantize(Decimal("1E-10")), "f") for v in values]
+
+
 def test_extend_object(spark):
     text = one(spark, extend_object(F.col("a"), F.col("b")), a='{"x":"}"}', b='{"y":1}')
     assert json.loads(text) == {"x": "}", "y": 1}

@@ -15,7 +15,7 @@ def json_value(name: str, data_type: T.DataType, sql_type: str = "") -> Column:
     """The value as it appears in an event: exact decimals, ISO times and base64 bytes as text."""
     value = F.col(f"`{name}`")
     if isinstance(data_type, T.DecimalType):
-        return value.cast("string")
+        return _plain_decimal(value, data_type.scale)
     if isinstance(data_type, T.DateType):
         return F.date_format(value, "yyyy-MM-dd")
     if isinstance(data_type, T.TimestampNTZType):
@@ -48,6 +48,15 @@ def extend_object(text: Column, extra: Column) -> Column:
     return F.concat(opened, F.lit(","), fields)
 
 
+def _plain_decimal(value: Column, scale: int) -> Column:
+    """Decimal text without an exponent, also where ANSI mode is off (it then shows tiny values as ``1.0E-7``)."""
+    text = value.cast("string")
+    digits = F.regexp_replace(F.regexp_extract(text, "^-?([0-9.]+)E", 1), r"\.", "")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    plain = F.concat(sign, F.lit("0."), F.lpad(digits, scale, "0"))
+    return F.when(text.contains("E"), plain).otherwise(text)
+
+
 def _iso(wall: Column) -> Column:
     fraction = F.when(F.date_format(wall, "SSSSSS") == "000000", "").otherwise(F.date_format(wall, ".SSSSSS"))
     return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"), fraction)

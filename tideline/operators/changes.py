@@ -195,7 +195,12 @@ def bad_operations(classified: DataFrame) -> DataFrame:
     return classified.where(is_unknown_operation())
 
 
-def before_after(rows: DataFrame, primary_key: Sequence[str], use_command_id: bool = True, hot_rows: int = GROUP_ROWS_PER_TASK) -> DataFrame:
+def before_after(
+    rows: DataFrame,
+    primary_key: Sequence[str],
+    use_command_id: bool = True,
+    hot_rows: int = GROUP_ROWS_PER_TASK,
+) -> DataFrame:
     """JN7: both images of every update, without a join."""
     found = classify(rows, primary_key, use_command_id, hot_rows, previous_image=True)
     image = captured_columns(with_change_key(rows, use_command_id))

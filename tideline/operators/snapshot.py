@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.model import CapturedTable, Origin
+from tideline.model import CapturedTable
 from tideline.operators.envelope import check_reserved, to_epoch_ms
 from tideline.operators.skew import number_rows
 
@@ -17,7 +17,9 @@ def snapshot_scan(source: DataFrame, table: CapturedTable) -> DataFrame:
     return source.select(*table.column_names)
 
 
-def snapshot_events(source: DataFrame, table: CapturedTable, origin: Origin, processed_at: datetime, min_lsn: str) -> DataFrame:
+def snapshot_events(
+    source: DataFrame, table: CapturedTable, processed_at: datetime, min_lsn: str
+) -> DataFrame:
     """EN8: one ``r`` event per row; no commit time, positions are the low watermark. Map-only."""
     check_reserved(table)
     return snapshot_scan(source, table).select(

@@ -73,13 +73,14 @@ def paired_lines(
     for rows, source in zip(keyed, sources, strict=True):
         kept = changes.events(changes.classify_known(rows, source.table.primary_key, hot), strict)
         key = envelope.key_text(rows, source.table).alias("key")
-        paired.append(
-            kept.select("capture_instance", *envelope.ORDER, "__op", key, envelope.image_text(rows, source.table).alias("image"))
-        )
+        image = envelope.image_text(rows, source.table).alias("image")
+        paired.append(kept.select("capture_instance", *envelope.ORDER, "__op", key, image))
     return reduce(DataFrame.unionByName, paired)
 
 
-def event_lines(events: DataFrame, origin: Origin, processed_at: datetime, tombstones: bool, key_schemas: bool) -> DataFrame:
+def event_lines(
+    events: DataFrame, origin: Origin, processed_at: datetime, tombstones: bool, key_schemas: bool
+) -> DataFrame:
     """SK1: the text of every event and tombstone, in ``value``.
 
     ``events`` comes from ``paired_lines`` together with ``source_table``, ``key_schema`` and, if known,

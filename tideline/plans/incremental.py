@@ -206,7 +206,7 @@ class _Run:
             name = source.table.capture_instance
             if source.current is None or name not in steps or not steps[name]["take_snapshot"]:
                 continue
-            rows = snapshot_events(source.current, source.table, self.origin, self.started_at, steps[name]["min_lsn"])
+            rows = snapshot_events(source.current, source.table, self.started_at, steps[name]["min_lsn"])
             fields = [F.col(c) for c in EVENT_FIELDS]
             text = json_line([*json_columns(rows, source.table), *fields])
             counted[name] = Observation(f"snapshot-{self.run_id}-{name}")

@@ -394,7 +394,7 @@ _SNAPSHOT = (
 @query(_SNAPSHOT)
 def snapshot_events(f: Fixtures) -> DataFrame:
     """EN8."""
-    return snapshot.snapshot_events(f.table("customer"), f.customer_table, ORIGIN, PROCESSED_AT, "00000001000000010001")
+    return snapshot.snapshot_events(f.table("customer"), f.customer_table, PROCESSED_AT, "00000001000000010001")
 
 
 @query("SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey) AS serial FROM customer")
@@ -413,7 +413,7 @@ def snapshot_serial(f: Fixtures) -> DataFrame:
 def snapshot_plus_changes(f: Fixtures) -> DataFrame:
     """ST2."""
     current = f.table("events").select(F.col("event_id").alias("id"), F.col("event_type").alias("name"), "value")
-    first = snapshot.snapshot_events(current, f.events_table, ORIGIN, PROCESSED_AT, "00000001000000010001")
+    first = snapshot.snapshot_events(current, f.events_table, PROCESSED_AT, "00000001000000010001")
     return snapshot.snapshot_plus_changes(first, change_events(f))
 
 

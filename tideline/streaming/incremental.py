@@ -14,7 +14,9 @@ Ready = Callable[[DataFrame], Column]
 Transform = Callable[[DataFrame], DataFrame]
 
 
-def read_change_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+def read_change_stream(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
+) -> DataFrame:
     """SS1: landed change rows as a stream; a source checkpoint plays the part of the bookmark."""
     reader: DataStreamReader = spark.readStream.schema(schema)
     if files_per_batch:
