@@ -75,3 +75,23 @@ def test_source_report(spark):
     frame = spark.createDataFrame(runs, "source string, status string, files_written bigint, total_records bigint")
     found = {r["source"]: (r["runs"], r["failed_runs"], r["total_records"], r["status"]) for r in reports.source_report(frame).collect()}
     assert found == {"a": (2, 1, 10, "failed"), "b": (1, 0, 5, "success")}
+
+
+@pytest.mark.parametrize("hot_rows", [2_000_000, 50])
+def test_log_order_with_equal_rows(spark, hot_rows):
+    rng = random.Random(9)
+    rows = [(f"{rng.randrange(4):020X}", rng.randrange(3), "0" * 20, rng.choice([1, 2]), rng.randrange(2)) for _ in range(3000)]
+    frame = spark.createDataFrame(rows, "start_lsn string, command_id int, seqval string, operation int, id int")
+    strict = [tuple(r) for r in filters.strict_order(frame, hot_rows).collect()]
+    assert sorted(strict) == sorted(rows) and [r[:4] for r in strict] == sorted(r[:4] for r in rows)
+    loose = [tuple(r) for r in filters.best_effort_order(frame.drop("command_id"), hot_rows).collect()]
+    assert [r[:3] for r in loose] == sorted((r[0], r[2], r[3]) for r in rows)
+
+
+def test_snapshot_numbers_without_a_key(spark):
+    from tideline.model import CapturedTable
+    from tideline.operators.snapshot import snapshot_serials
+
+    frame = spark.createDataFrame([("same", 1)] * 500 + [(f"r{n}", n) for n in range(200)], "a string, b int")
+    found = snapshot_serials(frame, CapturedTable.of("t_t", frame)).collect()
+    assert sorted(r["serial"] for r in found) == list(range(1, 701))

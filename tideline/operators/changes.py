@@ -67,7 +67,7 @@ def classify(
 ) -> DataFrame:
     """CP1, CP5, WN3, WN6: every change row with its serial, the kind of its change and what is wrong with it.
 
-    Adds ``serial`` (1-based, by operation, ties broken by key and then the other columns), ``kind``,
+    Adds ``serial`` (1-based, by operation, ties broken by key and then the other columns' hash), ``kind``,
     ``has_update_half`` and, on request, ``previous`` (the image one row earlier in the change).
     """
     keyed = with_change_key(rows, use_command_id)
@@ -97,14 +97,23 @@ def classify_known(
     )
 
 
-def _order(rows: DataFrame, primary_key: Sequence[str]) -> list[str]:
-    rest = [c for c in captured_columns(rows) if c not in primary_key and c != "has_update_half"]
-    return ["operation", *primary_key, *rest]
+def _with_tie(rows: DataFrame, primary_key: Sequence[str], columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Order inside a change: operation, key, then a hash of the other captured columns.
+
+    The hash makes reruns agree and keeps wide columns out of sorts and out of the samples of a range split.
+    """
+    rest = [c for c in columns if c not in primary_key]
+    order = ["operation", *primary_key]
+    if not rest:
+        return rows, order
+    return rows.withColumn("__tie", F.xxhash64(*rest)), [*order, "__tie"]
 
 
 def _classify_window(keyed: DataFrame, primary_key: Sequence[str], previous_image: bool) -> DataFrame:
     # One specification for the running and the whole-group values: one exchange, one sort, one pass.
-    change = W.partitionBy(*CHANGE_KEY).orderBy(*_order(keyed, primary_key))
+    image = captured_columns(keyed)
+    tied, order = _with_tie(keyed, primary_key, image)
+    change = W.partitionBy(*CHANGE_KEY).orderBy(*order)
     whole = change.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     # Named first, so that every whole-group value is computed once; plain aggregates share one frame.
     key = F.struct(*primary_key) if primary_key else F.lit(0)
@@ -118,7 +127,7 @@ def _classify_window(keyed: DataFrame, primary_key: Sequence[str], previous_imag
         "__high_key": F.max(key).over(whole),
     }
     if previous_image:
-        values["previous"] = F.lag(F.struct(*captured_columns(keyed))).over(change)
+        values["previous"] = F.lag(F.struct(*image)).over(change)
     moved = ~F.col("__low_key").eqNullSafe(F.col("__high_key"))
     pair, first, last = F.col("__size") == 2, F.col("__first"), F.col("__last")
     kind = (
@@ -127,13 +136,14 @@ def _classify_window(keyed: DataFrame, primary_key: Sequence[str], previous_imag
         .otherwise(SINGLE)
     )
     kept = [*keyed.columns, "serial", kind.alias("kind"), "has_update_half"]
-    return keyed.withColumns(values).select(*kept, *(["previous"] if previous_image else []))
+    return tied.withColumns(values).select(*kept, *(["previous"] if previous_image else []))
 
 
 def _classify_hot(large: DataFrame, columns: list[str], primary_key: Sequence[str], previous_image: bool) -> DataFrame:
     # More than two rows: always single changes, so only the serial needs the order.
-    numbered = number_rows(large, CHANGE_KEY, _order(large, primary_key), "serial")
     image = [c for c in captured_columns(large) if c != "has_update_half"]
+    tied, order = _with_tie(large, primary_key, image)
+    numbered = number_rows(tied, CHANGE_KEY, order, "serial")
     out = numbered.select(*columns, "serial", F.lit(SINGLE).alias("kind"), "has_update_half")
     if previous_image:
         nothing = F.lit(None).cast(large.select(F.struct(*image)).schema[0].dataType)

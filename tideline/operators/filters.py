@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.model import SYSTEM_COLUMNS, CapturedTable
+from tideline.operators.skew import GROUP_ROWS_PER_TASK, hot_groups, number_copies
 
 
 def lsn_range(rows: DataFrame, low: str, high: str) -> DataFrame:
@@ -48,17 +49,25 @@ def missing_instances(catalog: DataFrame, include: Iterable[str] = (), exclude:
     return configured.join(catalog.select("capture_instance"), "capture_instance", "left_anti")
 
 
-def strict_order(rows: DataFrame) -> DataFrame:
+def strict_order(rows: DataFrame, hot_rows: int = GROUP_ROWS_PER_TASK) -> DataFrame:
     """SO1: log order; the command id separates statements of one transaction."""
-    return _ordered(rows, ["start_lsn", "command_id", "seqval", "operation"])
+    return _ordered(rows, ["start_lsn", "command_id", "seqval", "operation"], hot_rows)
 
 
-def best_effort_order(rows: DataFrame) -> DataFrame:
+def best_effort_order(rows: DataFrame, hot_rows: int = GROUP_ROWS_PER_TASK) -> DataFrame:
     """SO2: log order for tables without a command id."""
-    return _ordered(rows, ["start_lsn", "seqval", "operation"])
-
-
-def _ordered(rows: DataFrame, leading: list[str]) -> DataFrame:
-    # The log order leaves ties open. Breaking them makes the result repeatable and lets the range split
-    # divide a transaction whose rows share one sequence value.
-    return rows.orderBy(*leading, *[c for c in rows.columns if c not in leading])
+    return _ordered(rows, ["start_lsn", "seqval", "operation"], hot_rows)
+
+
+def _ordered(rows: DataFrame, leading: list[str], hot_rows: int) -> DataFrame:
+    # The log order leaves ties open. A hash of the other columns makes the result repeatable and lets the
+    # range split divide a transaction whose rows share one sequence value; equal rows are only told apart
+    # by number, and only if there are too many of them for one task.
+    columns = rows.columns
+    rest = [c for c in columns if c not in leading]
+    order = list(leading)
+    if hot_groups(rows, columns, hot_rows) is not None:
+        rows, order = number_copies(rows), [*order, "__copy"]
+    if rest:
+        rows, order = rows.withColumn("__tie", F.xxhash64(*rest)), [*leading, "__tie", *order[len(leading) :]]
+    return rows.orderBy(*order).select(*columns)

@@ -62,7 +62,7 @@ def number_rows(
     """
     group, order = list(group), list(order)
     if not unique:
-        rows, order = _number_copies(rows), [*order, "__copy"]
+        rows, order = number_copies(rows), [*order, "__copy"]
     ranged = rows.repartitionByRange(*group, *order) if (group or order) else rows
     placed = stage(
         ranged.sortWithinPartitions(*group, *order)
@@ -83,7 +83,7 @@ def number_rows(
     )
 
 
-def _number_copies(rows: DataFrame) -> DataFrame:
+def number_copies(rows: DataFrame) -> DataFrame:
     """Give equal rows a running number. Copies are counted before the shuffle and unfolded after it.
 
     A row with very many copies is first cut into runs that are spread over the tasks.

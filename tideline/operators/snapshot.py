@@ -36,11 +36,13 @@ def snapshot_events(
 def snapshot_serials(source: DataFrame, table: CapturedTable) -> DataFrame:
     """WN5: number the rows of a table in key order, across all tasks.
 
-    Only rows of a table without a key can be equal; only there copies have to be told apart.
+    A table without a key is numbered by a hash of its columns; only there rows can be equal.
     """
-    order = [*table.primary_key, *table.other_columns]
     scan = snapshot_scan(source, table)
-    return number_rows(scan, [], order, "serial", unique=bool(table.primary_key))
+    if table.primary_key:
+        return number_rows(scan, [], table.primary_key, "serial", unique=True)
+    tied = scan.withColumn("__tie", F.xxhash64(*table.column_names))
+    return number_rows(tied, [], ["__tie"], "serial").drop("__tie")
 
 
 def snapshot_plus_changes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
