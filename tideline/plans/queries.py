@@ -733,7 +733,7 @@ def output_path(f: Fixtures) -> DataFrame:
     """SK4, ST3, ST4."""
     table = F.substring_index("capture_instance", "_", -1)
     topic = paths.topic_folder(F.lit(ORIGIN.topic_prefix), F.lit(ORIGIN.database), F.lit("dbo"), table)
-    started = F.lit(STARTED_AT.replace(tzinfo=None)).cast("timestamp_ntz")
+    started = F.lit(f"{STARTED_AT:%Y-%m-%d %H:%M:%S}").cast("timestamp_ntz")
     file = F.concat(paths.window_label(F.col("from_lsn"), F.col("to_lsn"), F.lit(RUN_ID)), F.lit(".json.gz"))
     path = paths.join_path(F.lit("/landing/"), topic, *paths.date_folders(started), F.lit(""), file)
     return _bounds(f).select("capture_instance", "window_id", path.alias("path"))
