@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tideline.llm.language_id import UNKNOWN, held_out, identify, train
+from tideline.llm.language_id import accepted, held_out, train
+from tideline.llm.near_duplicates import one_of_each
 from tideline.session import stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language can't be told: no letter, or no language with half of the weight."""
-    model = train(docs.where(~held_out()))
-    found = identify(docs, model, [F.col(c) for c in docs.columns])
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= 0.5)).select(*docs.columns)
+    return accepted(docs, train(docs.where(~held_out())))
 
 
-STAGES = [("language", language)]
+def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of copies and near copies, the one with the least id."""
+    return one_of_each(docs)
+
+
+STAGES = [("language", language), ("duplicates", duplicates)]
 
 ORACLE_SQL = None
 

@@ -8,6 +8,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 # Text worked on at once inside a task; one longer text is a piece of its own.
 PIECE_BYTES = 4_000_000
@@ -20,7 +21,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def map_batches(rows: DataFrame, work: Callable, schema: str) -> DataFrame:
+def map_batches(rows: DataFrame, work: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose workers find this package where the driver found it.
 
     A cluster that keeps it elsewhere ships it as for any package (``--py-files``).

@@ -208,6 +208,19 @@ def identify(docs: DataFrame, model: Model, keep: list[Column], text: str = "tex
     return map_batches(docs, scored, f"{schema}, lang_pred string, score double, bits double")
 
 
+def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language is told with a share of at least ``least``."""
+    frozen = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, text):
+            lang, score, _ = predictions(frozen.value, texts(piece.column(at)))
+            yield piece.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score, strict=True)], pa.bool_()))
+
+    return map_batches(docs, chosen, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """A quarter of the documents, by the checksum of their id as text; a null id is never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

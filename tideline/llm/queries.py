@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from tideline.llm.language_id import language_of_documents
+from tideline.llm.near_duplicates import near_duplicates_of_documents
 
 QUERIES = {
+    "op7_near_duplicates": near_duplicates_of_documents,
     "op9_language_id": language_of_documents,
 }
 
