@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tideline.llm.decontaminate import clean
 from tideline.llm.language_id import accepted, held_out, train
 from tideline.llm.near_duplicates import one_of_each
 from tideline.session import stage
@@ -19,7 +20,12 @@ def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return one_of_each(docs)
 
 
-STAGES = [("language", language), ("duplicates", duplicates)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold an item of the benchmark."""
+    return clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+STAGES = [("language", language), ("duplicates", duplicates), ("decontamination", decontamination)]
 
 ORACLE_SQL = None
 

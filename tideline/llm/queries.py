@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from tideline.llm.decontaminate import contaminated_documents
 from tideline.llm.language_id import language_of_documents
 from tideline.llm.near_duplicates import near_duplicates_of_documents
 
 QUERIES = {
     "op7_near_duplicates": near_duplicates_of_documents,
+    "op8_decontaminate": contaminated_documents,
     "op9_language_id": language_of_documents,
 }
 
