@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tideline.llm.decontaminate import clean
 from tideline.llm.language_id import accepted, held_out, train
 from tideline.llm.near_duplicates import one_of_each
+from tideline.llm.secret_scan import without_secrets
 from tideline.session import stage
 
 
@@ -25,7 +26,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("language", language), ("duplicates", duplicates), ("decontamination", decontamination)]
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mask secrets in the texts; every document stays."""
+    return without_secrets(docs)
+
+
+STAGES = [("language", language), ("duplicates", duplicates), ("decontamination", decontamination), ("secrets", secrets)]
 
 ORACLE_SQL = None
 
