@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm.decontaminate import clean
 from tideline.llm.language_id import accepted, held_out, train
+from tideline.llm.lexicon_bpe import encoded
 from tideline.llm.near_duplicates import one_of_each
 from tideline.llm.secret_scan import without_secrets
 from tideline.session import stage
@@ -31,7 +32,18 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_secrets(docs)
 
 
-STAGES = [("language", language), ("duplicates", duplicates), ("decontamination", decontamination), ("secrets", secrets)]
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Add the token ids of each text."""
+    return encoded(docs)
+
+
+STAGES = [
+    ("language", language),
+    ("duplicates", duplicates),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("encoding", encoding),
+]
 
 ORACLE_SQL = None
 
