@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from tideline.llm.decontaminate import contaminated_documents
+from tideline.llm.fingerprints import fingerprints_of_documents
 from tideline.llm.language_id import language_of_documents
 from tideline.llm.lexicon_bpe import encoded_documents
 from tideline.llm.near_duplicates import near_duplicates_of_documents
 from tideline.llm.secret_scan import secrets_of_documents
+from tideline.llm.shards import sharded_documents
 
 QUERIES = {
     "op1_lexicon_bpe": encoded_documents,
+    "op3_shards": sharded_documents,
     "op5_secret_scan": secrets_of_documents,
     "op7_near_duplicates": near_duplicates_of_documents,
     "op8_decontaminate": contaminated_documents,
     "op9_language_id": language_of_documents,
+    "op10_fingerprints": fingerprints_of_documents,
 }
 
 ORACLES: dict[str, str] = {}
