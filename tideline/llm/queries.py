@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tideline.llm.decontaminate import contaminated_documents
 from tideline.llm.fingerprints import fingerprints_of_documents
+from tideline.llm.html_text import text_of_pages
 from tideline.llm.language_id import language_of_documents
 from tideline.llm.lexicon_bpe import encoded_documents
 from tideline.llm.near_duplicates import near_duplicates_of_documents
@@ -12,6 +13,7 @@ from tideline.llm.shards import sharded_documents
 
 QUERIES = {
     "op1_lexicon_bpe": encoded_documents,
+    "op2_html_text": text_of_pages,
     "op3_shards": sharded_documents,
     "op5_secret_scan": secrets_of_documents,
     "op7_near_duplicates": near_duplicates_of_documents,
