@@ -10,11 +10,13 @@ from tideline.llm.lexicon_bpe import encoded_documents
 from tideline.llm.near_duplicates import near_duplicates_of_documents
 from tideline.llm.secret_scan import secrets_of_documents
 from tideline.llm.shards import sharded_documents
+from tideline.llm.token_files import ids_of_documents
 
 QUERIES = {
     "op1_lexicon_bpe": encoded_documents,
     "op2_html_text": text_of_pages,
     "op3_shards": sharded_documents,
+    "op4_token_files": ids_of_documents,
     "op5_secret_scan": secrets_of_documents,
     "op7_near_duplicates": near_duplicates_of_documents,
     "op8_decontaminate": contaminated_documents,
