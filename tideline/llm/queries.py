@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tideline.llm.bilinear_lm import scores_of_documents
 from tideline.llm.decontaminate import contaminated_documents
 from tideline.llm.fingerprints import fingerprints_of_documents
 from tideline.llm.html_text import text_of_pages
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_shards": sharded_documents,
     "op4_token_files": ids_of_documents,
     "op5_secret_scan": secrets_of_documents,
+    "op6_bilinear_lm": scores_of_documents,
     "op7_near_duplicates": near_duplicates_of_documents,
     "op8_decontaminate": contaminated_documents,
     "op9_language_id": language_of_documents,
