@@ -139,6 +139,14 @@ def test_unknown_operation_fails(spark, strict):
     assert changes.bad_operations(changes.classify(rows, ("id",))).count() == 1
 
 
+@pytest.mark.parametrize("strict", [True, False])
+@pytest.mark.parametrize("beside", [[], [(1, 7, "x")], [(3, 7, "x"), (4, 7, "y")]])
+def test_a_missing_operation_fails(spark, strict, beside):
+    rows = change(spark, "0" * 20, "0" * 20, (None, 7, "z"), *beside)
+    with pytest.raises(Exception, match="unsupported operation code null|incomplete update pair"):
+        flat(rows, strict).collect()
+
+
 def random_changes(seed, groups, sizes):
     rng = random.Random(seed)
     rows = []

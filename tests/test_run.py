@@ -1,19 +1,22 @@
 """Whole runs: two runs without gap or duplicate, order in files, visibility, refusals."""
 
 import json
+import threading
+import time
 from collections import Counter
+from dataclasses import replace
 from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from tideline.errors import LogGap, MissingPosition, OrderingNotReady
+from tideline.errors import LogGap, MissingPosition, MissingRows, MissingTable, OrderingNotReady
 from tideline.model import CapturedTable, Origin
 from tideline.operators.resume import freeze_ceiling
 from tideline.plans.events import change_events, paired_lines
 from tideline.plans.incremental import RunOptions, pending, run_incremental
-from tideline.session import shared_folder
+from tideline.session import shared_folder, stage, staging
 from tideline.sinks import json_lines, manifest
 from tideline.sources import bookmarks as store
 from tideline.sources.change_tables import ChangeSource
@@ -95,13 +98,15 @@ def test_manifest_lists_windows_and_bookmarks(spark, fixtures, folders):
     top = "0x" + freeze_ceiling(fixtures.log)
     assert (row["run_id"], row["mode"], row["max_lsn"]) == ("r", "change_table_command_id", top)
     assert row["committed_bookmarks"] == {"dbo_events": top, "dbo_orders": top}
-    assert sum(x["records_written"] for x in row["files"]) == row["total_records"]
-    assert len(row["files"]) == row["files_written"] == manifest.read_files(spark, folders[0]).count()
+    files = manifest.read_files(spark, folders[0]).collect()
+    assert row["files_path"] == "manifests/files/run_id=r" and {x["run_id"] for x in files} == {"r"}
+    assert sum(x["records_written"] for x in files) == row["total_records"]
+    assert len(files) == row["files_written"]
     for name in ("dbo_events", "dbo_orders"):
-        mine = sorted((x["from_lsn"], x["to_lsn"]) for x in row["files"] if x["capture_instance"] == name)
+        mine = sorted((x["from_lsn"], x["to_lsn"]) for x in files if x["capture_instance"] == name)
         for (_, end), (start, _) in zip(mine, mine[1:], strict=False):
             assert int(start, 16) == int(end, 16) + 1
-    listed = {(x["path"], x["records_written"]) for x in row["files"]}
+    listed = {(x["path"], x["records_written"]) for x in files}
     found = (
         json_lines.read_complete_lines(spark, folders[0]).groupBy("topic", "window").count().collect()
     )
@@ -161,11 +166,69 @@ def test_failed_run_is_cleaned_and_may_be_repeated(spark, fixtures, folders):
     assert json_lines.read_complete_lines(spark, folders[0]).count() == 1100
 
 
-def test_long_file_list_stays_out_of_the_run_row(spark, fixtures, folders, monkeypatch):
-    monkeypatch.setattr("tideline.sinks.manifest.INLINE_FILES", 2)
-    run(spark, fixtures, folders, run_id="r", lsn_time=fixtures.log)
-    row = manifest.read_runs(spark, folders[0]).first()
-    assert row["files"] is None and row["files_written"] == manifest.read_files(spark, folders[0]).count() > 2
+def test_failed_bookmark_save_hides_the_run(spark, fixtures, folders, monkeypatch):
+    def broken(*_):
+        raise OSError("no space")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("tideline.sources.bookmarks.save_bookmarks", broken)
+        with pytest.raises(OSError):
+            run(spark, fixtures, folders, run_id="r", lsn_time=fixtures.log)
+    assert json_lines.read_all_lines(spark, folders[0]).count() == 0
+    result = run(spark, fixtures, folders, run_id="r2", lsn_time=fixtures.log)
+    assert json_lines.read_complete_lines(spark, folders[0]).count() == result.total_records
+
+
+def test_run_ids_stay_text_and_prune_the_scan(spark, fixtures, folders):
+    result = run(spark, fixtures, folders, run_id="007", lsn_time=fixtures.log)
+    lines = json_lines.read_complete_lines(spark, folders[0])
+    assert lines.count() == result.total_records and {r["run_id"] for r in lines.select("run_id").collect()} == {"007"}
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan or "PartitionFilters: [(run_id" in plan
+
+
+def test_repeated_log_rows_change_nothing(spark, fixtures, folders):
+    twice = fixtures.log.union(fixtures.log)
+    one = run(spark, fixtures, folders, run_id="r", lsn_time=fixtures.log)
+    other = (folders[0] + "2", folders[1] + "2")
+    assert run(spark, fixtures, other, run_id="r", lsn_time=twice).total_records == one.total_records
+
+
+def test_a_run_refuses_what_it_would_lose(spark, fixtures, folders):
+    plain = fixtures.ct.drop("command_id")
+    with pytest.raises(OrderingNotReady):
+        run(spark, fixtures, folders, [ChangeSource(fixtures.events_table, plain)], lsn_time=fixtures.log)
+    one = spark.sql("SELECT 'dbo_orders' AS capture_instance, '00000001000000010001' AS min_lsn")
+    with pytest.raises(MissingPosition, match="dbo_events"):
+        run(spark, fixtures, folders, low_watermarks=one, lsn_time=fixtures.log)
+    with pytest.raises(MissingRows, match="dbo_events"):
+        source = [ChangeSource(fixtures.events_table, fixtures.ct)]
+        run(spark, fixtures, folders, source, RunOptions(snapshot_mode="initial"), lsn_time=fixtures.log)
+    with pytest.raises(MissingTable):
+        run(spark, fixtures, folders, options=RunOptions(include=("dbo_gone",)), lsn_time=fixtures.log)
+    assert not Path(folders[0]).exists()
+
+
+def test_scopes_of_two_threads_do_not_meet(spark):
+    opened, ended = threading.Event(), threading.Event()
+    kept = []
+
+    def other():
+        with staging(spark):
+            opened.wait(60)
+            kept.append(stage(spark.range(3).toDF("i"), "mine"))
+            ended.wait(60)
+            kept.append(kept[0].count())
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    with staging(spark):
+        opened.set()
+        while not kept:
+            time.sleep(0.1)
+    ended.set()
+    thread.join()
+    assert kept[1] == 3
 
 
 def test_gap_refuses_before_writing_or_restarts(spark, fixtures, folders):
@@ -220,16 +283,15 @@ def test_large_transaction_run(spark, fixtures, folders):
 
 
 @pytest.mark.parametrize("hot_rows", [2_000_000, 4])
-def test_typed_and_text_pairing_agree(spark, fixtures, hot_rows):
+def test_other_tables_change_no_event(spark, fixtures, hot_rows):
+    """Many tables in one run give each table what it gives alone, order included."""
     table = CapturedTable.of("dbo_shared", fixtures.ct, ("id",), has_command_id=False)
-    sources = [*fixtures.sources, ChangeSource(table, fixtures.ct_shared_seq)]
-    typed = paired_lines(sources, strict=False, hot_rows=hot_rows)
-    text = paired_lines(sources, strict=False, hot_rows=hot_rows, typed_tables=0).select(*typed.columns)
-    keep = [c for c in typed.columns if c != "serial"]  # ties are broken by different columns
-    assert typed.count() == text.count() > 0
-    assert typed.select(*keep).exceptAll(text.select(*keep)).count() == 0
-    spots = ["capture_instance", "start_lsn", "command_key", "seqval", "serial"]
-    assert typed.select(*spots).exceptAll(text.select(*spots)).count() == 0
+    shared = ChangeSource(table, fixtures.ct_shared_seq)
+    alone = paired_lines([shared], strict=False, hot_rows=hot_rows)
+    few = [replace(shared, table=replace(table, capture_instance=f"dbo_{k}")) for k in range(8)]
+    among = paired_lines([*fixtures.sources, shared, *few], strict=False, hot_rows=hot_rows)
+    mine = among.where("capture_instance = 'dbo_shared'").select(*alone.columns)
+    assert alone.count() == mine.count() > 0 and alone.exceptAll(mine).count() == 0
 
 
 @pytest.mark.parametrize("raw", [False, True])

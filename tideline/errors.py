@@ -23,3 +23,11 @@ class OrderingNotReady(ChangeDataError):
 
 class ReservedColumn(ChangeDataError):
     """A captured column carries the name of a metadata field."""
+
+
+class MissingRows(ChangeDataError):
+    """A snapshot is due, but the run was given no current rows of the table."""
+
+
+class MissingTable(ChangeDataError):
+    """No captured table matches what the run was told to read."""

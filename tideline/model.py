@@ -16,6 +16,9 @@ SYSTEM_COLUMNS = ("capture_instance", "start_lsn", "seqval", "command_id", "oper
 # One logical change: all rows that agree on these columns.
 CHANGE_KEY = ("capture_instance", "start_lsn", "command_key", "seqval")
 
+# Columns that the operators add to change rows beside the captured ones; a captured column of that name is refused.
+WORKING_COLUMNS = (*SYSTEM_COLUMNS, "command_key", "commit_time", "serial", "kind", "has_update_half", "previous")
+
 # Metadata fields of a flat event.
 EVENT_FIELDS = ("__op", "__table", "__deleted", "__source_ts_ms")
 
@@ -47,10 +50,6 @@ class CapturedTable:
     def column_names(self) -> list[str]:
         return [c.name for c in self.columns]
 
-    @property
-    def other_columns(self) -> list[str]:
-        return [c for c in self.column_names if c not in self.primary_key]
-
     @classmethod
     def of(
         cls,
@@ -61,8 +60,9 @@ class CapturedTable:
         source_table: str | None = None,
         has_command_id: bool = True,
     ) -> CapturedTable:
-        """Describe a table from the schema of its change rows (or of the table itself)."""
-        captured = [f for f in rows.schema.fields if f.name not in (*SYSTEM_COLUMNS, "commit_time")]
+        """Describe a table from the schema of its change rows, in either form (or of the table itself)."""
+        own = (*SYSTEM_COLUMNS, "commit_time")
+        captured = [f for f in rows.schema.fields if f.name not in own and not f.name.startswith("__$")]
         return cls(
             capture_instance=capture_instance,
             source_schema=source_schema,

@@ -24,7 +24,8 @@ def _op() -> Column:
 
 
 def _is_update_half() -> Column:
-    return _op().isin(BEFORE_UPDATE, AFTER_UPDATE)
+    """Never null: a row without an operation code is no half of a pair, it is an unknown operation."""
+    return F.coalesce(_op().isin(BEFORE_UPDATE, AFTER_UPDATE), F.lit(False))
 
 
 def with_change_key(rows: DataFrame, use_command_id: bool = True) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tideline.errors import ReservedColumn
 from tideline.functions import lsn, times
 from tideline.functions.json_values import json_columns, json_line
-from tideline.model import EVENT_FIELDS, CapturedTable, ColumnInfo, Origin
+from tideline.model import EVENT_FIELDS, WORKING_COLUMNS, CapturedTable, ColumnInfo, Origin
 
 # Columns that carry the order of events until they are written.
 ORDER = ("start_lsn", "command_key", "seqval", "serial")
@@ -52,7 +52,7 @@ def source_ts_ms(rows: DataFrame, origin: Origin, processed_at: datetime) -> Col
 
 
 def check_reserved(table: CapturedTable) -> None:
-    taken = [c for c in table.column_names if c in EVENT_FIELDS]
+    taken = [c for c in table.column_names if c in EVENT_FIELDS or c in WORKING_COLUMNS or c.startswith("__")]
     if taken:
         raise ReservedColumn(f"{table.capture_instance} captures reserved columns: {', '.join(taken)}")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +33,20 @@ def low_watermarks(rows: DataFrame) -> DataFrame:
     return lsn_extent(rows, ["capture_instance"]).select("capture_instance", "min_lsn")
 
 
-def check_low_watermarks(watermarks: DataFrame) -> None:
-    """SC8: an absent or all-zero low watermark means capture is not ready."""
-    bad = watermarks.where(F.col("min_lsn").isNull() | (F.col("min_lsn") == LOWEST)).limit(20).collect()
+def check_low_watermarks(watermarks: DataFrame, tables: Sequence[str] | None = None) -> None:
+    """SC8: an absent or all-zero low watermark means capture is not ready.
+
+    With ``tables`` (the tables of a run, listed by its caller) a table without a row is refused, too.
+    """
+    known = watermarks.select("capture_instance", "min_lsn")
+    if tables is not None:
+        # One row per captured table.
+        wanted = watermarks.sparkSession.createDataFrame([(t,) for t in tables], "capture_instance string")
+        known = wanted.join(known, "capture_instance", "left")
+    bad = known.where(F.col("min_lsn").isNull() | (F.col("min_lsn") == LOWEST)).orderBy("capture_instance").limit(21).collect()
     if bad:
-        raise MissingPosition("no low watermark for: " + ", ".join(r["capture_instance"] for r in bad))
+        listed = ", ".join(r["capture_instance"] for r in bad[:20])
+        raise MissingPosition(f"no low watermark for: {listed}" + (" and more" if len(bad) > 20 else ""))
 
 
 def resume_plan(

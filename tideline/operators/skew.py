@@ -25,29 +25,25 @@ def hot_groups(rows: DataFrame, keys: Sequence[str], limit: int = GROUP_ROWS_PER
 
     A histogram over hashed keys is summed up before the shuffle, so the common case costs one scan of
     the key columns and moves no rows. A bucket counts at least as many rows as any group in it, so a
-    group above the threshold cannot hide; only rows of suspicious buckets are counted exactly. The
-    threshold never drops below two average buckets, which leaves at most ``_BUCKETS / 2`` groups: that
-    bound is why the result may be broadcast.
+    group above the limit cannot hide; only rows of suspicious buckets are counted exactly. The limit is the
+    same at every size of the input. The result is broadcast only if its counted rows are few.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS))
     histogram = rows.groupBy(bucket.alias("bucket")).count()
-    # One row comes back: the total and the suspicious buckets (never more than _BUCKETS numbers).
-    total, counts = histogram.agg(
-        F.coalesce(F.sum("count"), F.lit(0)),
-        F.collect_list(F.when(F.col("count") > limit, F.struct("bucket", "count"))),
-    ).first()
-    threshold = max(limit, 2 * total // _BUCKETS)
-    suspects = [c["bucket"] for c in counts if c["count"] > threshold]
+    # Never more than _BUCKETS numbers.
+    counts = histogram.where(F.col("count") > limit).collect()
+    suspects = [c["bucket"] for c in counts]
     if not suspects:
         return None
+    if len(suspects) < _BUCKETS // 2:
+        rows = rows.where(bucket.isin(suspects))
     groups = (
-        rows.where(bucket.isin(suspects))
-        .groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("group_rows"), *aggregates)
-        .where(F.col("group_rows") > threshold)
+        .where(F.col("group_rows") > limit)
     )
-    groups = stage(groups, "hot-groups")
-    return F.broadcast(groups) if groups.head(1) else None
+    groups = small_side(groups, "hot-groups")
+    return groups if groups.head(1) else None
 
 
 def number_rows(

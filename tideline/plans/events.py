@@ -13,10 +13,7 @@ from tideline.functions.json_values import extend_object, json_line
 from tideline.model import CHANGE_KEY, CapturedTable, Origin
 from tideline.operators import changes, envelope
 from tideline.operators.skew import GROUP_ROWS_PER_TASK
-from tideline.sources.change_tables import ChangeSource, landed_all
-
-# More captured tables than this share one pairing on text.
-TYPED_TABLES = 64
+from tideline.sources.change_tables import ChangeSource
 
 
 def with_commit_time(rows: DataFrame, lsn_time: DataFrame) -> DataFrame:
@@ -26,7 +23,12 @@ def with_commit_time(rows: DataFrame, lsn_time: DataFrame) -> DataFrame:
     time table if its size allows and otherwise splits the skewed side at run time; it comes after the
     pairing, so its partitioning serves no later step and may be split.
     """
-    return rows.join(lsn_time.select("start_lsn", "commit_time"), "start_lsn", "left")
+    return rows.join(commit_times(lsn_time), "start_lsn", "left")
+
+
+def commit_times(lsn_time: DataFrame) -> DataFrame:
+    """One row per transaction, also if the log was landed more than once: the earliest time it names."""
+    return lsn_time.groupBy("start_lsn").agg(F.min("commit_time").alias("commit_time"))
 
 
 def change_events(
@@ -50,17 +52,14 @@ def paired_lines(
     sources: Iterable[ChangeSource],
     strict: bool = True,
     hot_rows: int = GROUP_ROWS_PER_TASK,
-    typed_tables: int = TYPED_TABLES,
 ) -> DataFrame:
     """MS1: events of many tables of any shape in one job, with key and image as JSON objects.
 
-    Up to ``typed_tables`` tables are paired side by side in their own columns: the shuffle moves typed values
-    and only surviving rows are turned into text. Beyond that the plan would grow with the number of tables,
-    so all tables become text first and share one pairing.
+    All tables are paired side by side in their own columns, however many there are: the shuffle moves typed
+    values, only surviving rows are turned into text, and a table's events and their order don't depend on what
+    else is in the run. The plan grows with the number of tables.
     """
     sources = list(sources)
-    if len(sources) > typed_tables:
-        return changes.events(changes.classify(landed_all(sources), ["key"], True, hot_rows), strict)
     for source in sources:
         envelope.check_reserved(source.table)
     keyed = [changes.with_change_key(s.changes, s.table.has_command_id) for s in sources]

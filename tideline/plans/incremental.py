@@ -9,20 +9,21 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.errors import MissingRows, MissingTable
 from tideline.functions.json_values import json_columns, json_line
 from tideline.functions.lsn import to_text
 from tideline.model import EVENT_FIELDS, Origin
 from tideline.operators import reports, resume, windows
 from tideline.operators.skew import GROUP_ROWS_PER_TASK
 from tideline.operators.snapshot import snapshot_events
-from tideline.plans.events import event_lines, paired_lines
+from tideline.plans.events import commit_times, event_lines, paired_lines
 from tideline.session import remove, stage, staging
 from tideline.sinks import json_lines, manifest
 from tideline.sources import bookmarks as bookmark_store
@@ -98,6 +99,9 @@ def run_incremental(
         if (not options.include or s.table.capture_instance in options.include)
         and s.table.capture_instance not in options.exclude
     ]
+    if not sources:
+        raise MissingTable("no captured table is left to read" + (": missing " + ", ".join(missing) if missing else ""))
+    sources = [_with_real_command_id(s) for s in sources]
     tables = [s.table for s in sources]
     without_command = sorted(t.capture_instance for t in tables if not t.has_command_id)
     if without_command and not options.allow_best_effort:
@@ -129,6 +133,13 @@ def pending(source: ChangeSource, resume_lsn: str, ceiling: str) -> ChangeSource
     return ChangeSource(source.table, change_rows(source, resume_lsn, ceiling), source.current)
 
 
+def _with_real_command_id(source: ChangeSource) -> ChangeSource:
+    """MD1: a table orders strictly only if its rows carry a command id, whatever its description says."""
+    there = bool({"command_id", "__$command_id"} & set(source.changes.columns))
+    table = replace(source.table, has_command_id=source.table.has_command_id and there)
+    return replace(source, table=table)
+
+
 class _Run:
     """The steps of one run over what its caller chose."""
 
@@ -151,9 +162,14 @@ class _Run:
         plan = self._plan(old, ceiling, low_watermarks)
         if self._published():
             raise ValueError(f"run {self.run_id} was published before; give a new run id")
-        self.discard_unpublished()
         # One row per captured table: may come to the driver, where it turns into scan literals.
         steps = {r["capture_instance"]: r for r in plan.collect()}
+        absent = sorted(
+            s.table.capture_instance for s in self.sources if s.current is None and steps[s.table.capture_instance]["take_snapshot"]
+        )
+        if absent:
+            raise MissingRows("a snapshot is due, but there are no current rows of: " + ", ".join(absent))
+        self.discard_unpublished()
         files = [f for f in (self._write_snapshots(steps), self._write_changes(steps, plan, ceiling)) if f is not None]
         empty = self.spark.createDataFrame([], _FILES)
         new = resume.merge_bookmarks(old, resume.next_bookmarks(plan))
@@ -169,17 +185,28 @@ class _Run:
             finished_at=datetime.now(timezone.utc).isoformat(),
         ).first()
         if options.commit_bookmarks:
-            bookmark_store.save_bookmarks(new, bookmark_path)
+            try:
+                bookmark_store.save_bookmarks(new, bookmark_path)
+            except Exception:
+                # The next run would read the same changes again: this one must not stay visible beside it.
+                if options.cleanup_failed:
+                    self._discard()
+                raise
         return row
 
     def _published(self) -> bool:
-        runs = manifest.read_runs(self.spark, self.output_path)
-        return bool(runs.where(F.col("run_id") == self.run_id).head(1))
+        return bool(manifest.read_run(self.spark, self.output_path, self.run_id).head(1))
 
     def discard_unpublished(self) -> None:
         """SK8: remove what an attempt at this run has left, unless its manifest made it visible."""
         if not self._published():
-            remove(self.spark, json_lines.run_folder(self.output_path, self.run_id))
+            self._discard()
+
+    def _discard(self) -> None:
+        # The run row goes first: without it nothing of the run is visible.
+        remove(self.spark, manifest.run_folder(self.output_path, self.run_id))
+        remove(self.spark, manifest.files_folder(self.output_path, self.run_id))
+        remove(self.spark, json_lines.run_folder(self.output_path, self.run_id))
 
     def _plan(self, old: DataFrame, ceiling: str, low_watermarks: DataFrame | None) -> DataFrame:
         """Resume plan, with every refusal before the first write."""
@@ -188,7 +215,7 @@ class _Run:
             each = F.explode(F.array(*[F.lit(n) for n in names]))
             oldest = self.lsn_time.agg(F.min("start_lsn").alias("min_lsn"))
             low_watermarks = oldest.select(each.alias("capture_instance"), "min_lsn")
-        resume.check_low_watermarks(low_watermarks)
+        resume.check_low_watermarks(low_watermarks, names)
         known = low_watermarks.where(F.col("capture_instance").isin(names))
         plan = stage(resume.resume_plan(known, old, ceiling, self.options.snapshot_mode), "resume-plan")
         if self.options.strict_gaps:
@@ -204,7 +231,7 @@ class _Run:
         lines, counted = [], {}
         for source in self.sources:
             name = source.table.capture_instance
-            if source.current is None or name not in steps or not steps[name]["take_snapshot"]:
+            if not steps[name]["take_snapshot"]:
                 continue
             rows = snapshot_events(source.current, source.table, self.started_at, steps[name]["min_lsn"])
             fields = [F.col(c) for c in EVENT_FIELDS]
@@ -234,7 +261,7 @@ class _Run:
         todo = [
             pending(s, steps[s.table.capture_instance]["resume_lsn"], ceiling)
             for s in self.sources
-            if s.table.capture_instance in steps and not steps[s.table.capture_instance]["is_done"]
+            if not steps[s.table.capture_instance]["is_done"]
         ]
         if not todo:
             return None
@@ -246,10 +273,13 @@ class _Run:
         bounds = windows.window_bounds(numbered, plan.select("capture_instance", "resume_lsn"))
         label = F.concat_ws("_", to_text(F.col("from_lsn")), to_text(F.col("to_lsn")))
         labelled = stage(bounds.withColumn("window", label), "windows")
+        # Only the part of the log that the run reads; the literals reach its scan.
+        lowest = min(steps[s.table.capture_instance]["resume_lsn"] for s in todo)
+        log = self.lsn_time.where(F.col("start_lsn").between(lowest, ceiling))
         # Everything known per transaction is gathered first (narrow), so events are joined only once.
         transactions = (
             numbered.join(labelled.select("capture_instance", "window_id", "window"), ["capture_instance", "window_id"])
-            .join(self.lsn_time.select("start_lsn", "commit_time"), "start_lsn", "left")
+            .join(commit_times(log), "start_lsn", "left")
             .drop("window_id")
         )
         events = (

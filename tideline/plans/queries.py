@@ -781,19 +781,19 @@ def manifest_files(f: Fixtures) -> DataFrame:
     name="manifest",
 )
 def manifest_run(f: Fixtures) -> DataFrame:
-    """SK6, MD4: the run row as it is stored, with its short file list."""
-    row = manifest.write_manifest(
-        _written_files(f), f.bookmarks, new_path(f.spark, "output"), RUN_ID, database_name=ORIGIN.database
-    )
+    """SK6, MD4: the run row as it is stored, and the list of files its folder holds."""
+    path = new_path(f.spark, "output")
+    row = manifest.write_manifest(_written_files(f), f.bookmarks, path, RUN_ID, database_name=ORIGIN.database)
     marks = F.transform(F.map_entries("committed_bookmarks"), lambda e: F.concat_ws("=", e["key"], e["value"]))
-    listed = F.transform("files", lambda e: F.concat_ws("=", e["path"], e["records_written"].cast("string")))
-    return row.select(
+    one = F.concat_ws("=", "path", F.col("records_written").cast("string"))
+    files = manifest.read_files(f.spark, path).groupBy("run_id").agg(F.array_sort(F.collect_list(one)).alias("files"))
+    return row.join(files, "run_id").select(
         "run_id",
         "database_name",
         "total_records",
         "files_written",
         F.array_join(F.array_sort(marks), ",").alias("bookmarks"),
-        F.array_join(listed, ",").alias("files"),
+        F.array_join("files", ",").alias("files"),
     )
 
 

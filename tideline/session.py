@@ -6,12 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_SHARED: dict[str, str] = {}
-_OPEN_SCOPES: list[list[str]] = []
+# The scopes open in this thread of work; another thread, such as a stream's, has its own.
+_OPEN_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("tideline_scopes", default=())
 
 # Above this many rows a helper table is joined by shuffle instead of being broadcast.
 BROADCAST_ROWS = 200_000
@@ -46,7 +48,7 @@ def stage(rows: DataFrame, label: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = new_path(spark, label)
-    for scope in _OPEN_SCOPES:
+    for scope in _OPEN_SCOPES.get():
         scope.append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
@@ -56,11 +58,11 @@ def stage(rows: DataFrame, label: str) -> DataFrame:
 def staging(spark: SparkSession) -> Iterator[None]:
     """Remove the tables staged inside the block when it ends; nothing may read them afterwards."""
     paths: list[str] = []
-    _OPEN_SCOPES.append(paths)
+    token = _OPEN_SCOPES.set((*_OPEN_SCOPES.get(), paths))
     try:
         yield
     finally:
-        _OPEN_SCOPES.remove(paths)
+        _OPEN_SCOPES.reset(token)
         for path in paths:
             remove(spark, path)
 

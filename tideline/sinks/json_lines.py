@@ -16,7 +16,8 @@ from pyspark.sql.utils import AnalysisException
 from tideline.sinks.manifest import read_runs
 
 LINE_ORDER = ("start_lsn", "command_key", "seqval", "serial", "tombstone")
-_DATE = {"year": "yyyy", "month": "MM", "day": "dd"}
+
+_LEVELS = ("run_id", "topic", "year", "month", "day", "window")
 
 
 def date_columns(started_at: datetime, by_date: bool) -> dict[str, str]:
@@ -48,20 +49,29 @@ def write_lines(
 
 
 def read_all_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line below a path, with its folder levels as text columns."""
-    empty = "value string, run_id string, topic string, window string"
+    """Every line below a path, with its folder levels as text columns, null where a run has no such level.
+
+    Levels are declared as text, so a run id ``007`` or a day ``01`` comes back as it was written.
+    """
+    schema = ", ".join(f"`{name}` string" for name in ("value", *_LEVELS))
     try:
         rows = spark.read.text(f"{path}/events", wholetext=False)
+        there = [name for name in _LEVELS if name in rows.columns]
+        return spark.read.schema(", ".join(f"`{name}` string" for name in ("value", *there))).text(f"{path}/events")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame([], empty)
+            return spark.createDataFrame([], schema)
         raise
-    return rows.withColumns({n: F.col(n).cast("string") for n in rows.columns})
 
 
 def read_complete_lines(spark: SparkSession, path: str) -> DataFrame:
-    """SK8: only lines of runs that have a manifest. The run is a folder level, so others are not read."""
-    return complete_runs(read_all_lines(spark, path), read_runs(spark, path))
+    """SK8: only lines of runs that have a manifest.
+
+    The ids of the published runs (one small row each) become literals on the run's folder level, so the files of
+    other runs are not opened.
+    """
+    published = [r["run_id"] for r in read_runs(spark, path).select("run_id").distinct().collect()]
+    return read_all_lines(spark, path).where(F.col("run_id").isin(published))
 
 
 def complete_runs(output: DataFrame, runs: DataFrame) -> DataFrame:
