@@ -195,7 +195,7 @@ def identify(docs: DataFrame, model: Model, keep: list[Column], text: str = "tex
     frozen = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.select(*keep, F.col(text).alias("__text"))
     kept = docs.columns[:-1]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields[:-1])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "__text"):
@@ -205,7 +205,7 @@ def identify(docs: DataFrame, model: Model, keep: list[Column], text: str = "tex
                 [*kept, "lang_pred", "score", "bits"],
             )
 
-    return map_batches(docs, scored, f"{schema}, lang_pred string, score double, bits double")
+    return map_batches(docs, scored, f"{schema}lang_pred string, score double, bits double")
 
 
 def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5) -> DataFrame:
