@@ -458,16 +458,25 @@ def window_bounds(f: Fixtures) -> DataFrame:
     return _bounds(f)
 
 
+_ALL_EVENTS = (
+    "SELECT 'dbo_events' AS capture_instance, start_lsn FROM ev UNION ALL "
+    "SELECT 'dbo_orders', start_lsn FROM ct_orders WHERE operation IN (2, 4)"
+)
 _WINDOW_COUNTS = (
-    "SELECT w.capture_instance, window_id, count(*) AS records FROM ev "
-    "JOIN windowed w ON w.start_lsn = ev.start_lsn AND w.capture_instance = ev.capture_instance GROUP BY ALL"
+    f"SELECT w.capture_instance, window_id, count(*) AS records FROM ({_ALL_EVENTS}) e "
+    "JOIN windowed w ON w.start_lsn = e.start_lsn AND w.capture_instance = e.capture_instance GROUP BY ALL"
 )
 
 
+def _all_events(f: Fixtures) -> DataFrame:
+    """Events of both tables."""
+    return paired_lines(f.sources).select("capture_instance", "start_lsn")
+
+
 @query(_WINDOW_COUNTS)
 def window_counts(f: Fixtures) -> DataFrame:
     """AG4, JN8."""
-    return windows.window_counts(_events(f), windows.window_plan(f.ct, WINDOW))
+    return windows.window_counts(_all_events(f), windows.window_plan(f.both, WINDOW))
 
 
 @query(f"SELECT count(*) AS files_written, CAST(sum(records) AS BIGINT) AS total_records FROM ({_WINDOW_COUNTS}) c")
@@ -747,13 +756,13 @@ def window_label(f: Fixtures) -> DataFrame:
 
 
 def _written_files(f: Fixtures) -> DataFrame:
-    """Windows of the events table with the number of their events, as manifest entries."""
+    """Windows of both tables with the number of their events, as manifest entries."""
     plan = stage(windows.window_plan(f.both, WINDOW), "window-plan")
-    counts = windows.window_counts(_events(f), plan)
+    counts = windows.window_counts(_all_events(f), plan)
     return counts.join(_bounds(f, plan), ["capture_instance", "window_id"]).select(
         "capture_instance",
         F.lit("dbo").alias("source_schema"),
-        F.lit("events").alias("source_table"),
+        F.substring("capture_instance", 5, 20).alias("source_table"),
         lsn.to_text(F.col("from_lsn")).alias("from_lsn"),
         lsn.to_text(F.col("to_lsn")).alias("to_lsn"),
         F.col("records").alias("records_written"),
@@ -762,7 +771,7 @@ def _written_files(f: Fixtures) -> DataFrame:
 
 
 _FILES = (
-    "SELECT b.capture_instance, 'dbo' AS source_schema, 'events' AS source_table, '0x' || from_lsn AS from_lsn, "
+    "SELECT b.capture_instance, 'dbo' AS source_schema, substr(b.capture_instance, 5) AS source_table, '0x' || from_lsn AS from_lsn, "
     f"'0x' || to_lsn AS to_lsn, c.records AS records_written, '0x' || from_lsn || '_0x' || to_lsn || '_{RUN_ID}' AS path "
     f"FROM full_bounds b JOIN ({_WINDOW_COUNTS}) c ON c.capture_instance = b.capture_instance AND c.window_id = b.window_id"
 )
