@@ -27,8 +27,12 @@ def with_commit_time(rows: DataFrame, lsn_time: DataFrame) -> DataFrame:
 
 
 def commit_times(lsn_time: DataFrame) -> DataFrame:
-    """One row per transaction, also if the log was landed more than once: the earliest time it names."""
-    return lsn_time.groupBy("start_lsn").agg(F.min("commit_time").alias("commit_time"))
+    """One row per transaction, also if the log was landed more than once: the earliest time it names.
+
+    The rebalance keeps the exchange of this aggregate apart from that of a join above, which Spark can only
+    split where a transaction is large if nothing else relies on it. It moves the narrow log once more.
+    """
+    return lsn_time.groupBy("start_lsn").agg(F.min("commit_time").alias("commit_time")).hint("rebalance")
 
 
 def change_events(
