@@ -35,6 +35,9 @@ HEADLINES = (
     "capture_catalog",
     "snapshot_events",
     "resume_plan",
+    "strict_order",
+    "before_after",
+    "snapshot_serial",
 )
 
 

@@ -54,10 +54,6 @@ def _events(f: Fixtures) -> DataFrame:
     return changes.events(_kinds(f))
 
 
-def _hex_number(text: Column) -> Column:
-    return F.conv(text, 16, 10).cast("bigint")
-
-
 # --- scans and sources -------------------------------------------------------------------------------------
 
 
@@ -293,6 +289,35 @@ def lenient_events(f: Fixtures) -> DataFrame:
     return found.select(*CHANGE_KEY, "serial", "id", "name", "value", "__op")
 
 
+@query(
+    "SELECT start_lsn, id AS key_id, 'struct' AS kind, 'server1.dbo.sales.events.Key' AS name, 1 AS version, "
+    "false AS optional, 'id' AS field, 'int64' AS field_type, false AS field_optional, 'bigint' AS sql_type, "
+    "true AS no_value FROM ev WHERE __op = 'd'"
+)
+def key_schemas(f: Fixtures) -> DataFrame:
+    """EN5, EN7, EN9: tombstones whose key comes with its schema document, as they are written and read back."""
+    schema = F.lit(envelope.key_schema_text(f.events_table, ORIGIN))
+    line = envelope.tombstone_line(envelope.key_text(f.ct, f.events_table), schema)
+    fields = "array<struct<field:string,type:string,optional:boolean,parameters:struct<sqlserver_type:string>>>"
+    document = f"struct<type:string,fields:{fields},optional:boolean,name:string,version:int>"
+    parsed = F.from_json("line", f"key struct<schema:{document},payload:struct<id:bigint>>, value string")
+    rows = _events(f).where("__op = 'd'").select("start_lsn", line.alias("line")).select("start_lsn", parsed.alias("e"))
+    document, field = F.col("e.key.schema"), F.col("e.key.schema.fields")[0]
+    return rows.select(
+        "start_lsn",
+        F.col("e.key.payload.id").alias("key_id"),
+        document["type"].alias("kind"),
+        document["name"].alias("name"),
+        document["version"].alias("version"),
+        document["optional"].alias("optional"),
+        field["field"].alias("field"),
+        field["type"].alias("field_type"),
+        field["optional"].alias("field_optional"),
+        field["parameters"]["sqlserver_type"].alias("sql_type"),
+        F.col("e.value").isNull().alias("no_value"),
+    )
+
+
 @query(
     "SELECT start_lsn, command_key, seqval, serial, tombstone, __op, id AS key_id, "
     "CASE WHEN NOT tombstone THEN name END AS name, CASE WHEN NOT tombstone THEN value END AS value FROM ("

@@ -28,7 +28,3 @@ def date_folders(started_at: Column) -> list[Column]:
 def window_label(from_lsn: Column, to_lsn: Column, run_id: Column) -> Column:
     """SK5."""
     return F.concat_ws("_", to_text(from_lsn), to_text(to_lsn), run_id)
-
-
-def snapshot_label(run_id: Column) -> Column:
-    return F.concat(F.lit("snapshot_"), run_id)
