@@ -90,17 +90,19 @@ def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rows = rows.withColumn("key", F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.hex("text_hash")))
     order = neighbours(rows.select("key", "doc_id", "text_hash", F.length("text").cast("bigint").alias("n_chars")))
     full = rows.select("doc_id", "key", "text", anchors(F.col("text")).alias("anchors"))
-    # The text is shuffled once: both uses below read the same exchange.
-    full = full.join(order.hint("merge"), "key")
-    heads = full.select(
-        F.col("before").alias("key"), F.substring(F.col("text"), F.lit(1), F.col("cut")).alias("head"), F.col("anchors").alias("next_anchors")
+    # The text is shuffled once: both uses ask the same columns of it, so both read the same exchange.
+    heads = full.join(order.hint("merge"), "key").select(
+        F.col("before").alias("key"),
+        F.substring(F.col("text"), F.lit(1), F.col("cut")).alias("head"),
+        F.col("anchors").alias("next_anchors"),
+        F.col("doc_id").alias("next_id"),
     )
     if order.where("copies > 1").head(1):
         heads = heads.dropDuplicates(["key"])
+    both = full.join(heads.hint("merge"), "key")
     n = F.length("text")
-    both = full.select("doc_id", "key", "text", "anchors").join(heads.hint("merge"), "key")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 3).cast("int")), F.col("head"))
-    both = both.select("doc_id", n.cast("bigint").alias("n_chars"), "anchors", "next_anchors", edited.alias("edited"))
+    both = both.select("doc_id", n.cast("bigint").alias("n_chars"), "anchors", "next_anchors", "next_id", edited.alias("edited"))
     both = both.withColumn("edited_anchors", anchors(F.col("edited")))
     return both.select(
         "doc_id",
@@ -110,6 +112,7 @@ def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         printed(F.col("edited_anchors")).alias("edited_fingerprint"),
         likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
         likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
+        F.col("next_id").alias("next_doc_id"),
     )
 
 
