@@ -8,7 +8,7 @@ step, in numpy. Words outside the lexicon are merged one by one, exactly, pair o
 remembers them.
 
 Words are cut as the vocabulary file says: special tokens first, wherever they stand; then NFC, lower case and the
-pattern. Texts with characters from U+0240 on leave normalising and cutting to the library itself; below that, NFC
+pattern. Texts with characters from U+0180 on leave normalising and cutting to the library itself; below that, NFC
 changes nothing and lower case maps character by character.
 
 Null text counts as empty and gives no ids. Every row gets a row, whether it repeats or not, and an empty table an
@@ -21,6 +21,7 @@ import hashlib
 import json
 import mmap
 import os
+import re
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tideline.llm.batches import map_batches, pieces, texts
+from tideline.session import stage
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -65,7 +67,11 @@ class Scheme:
         self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
         self.names = {i: t for t, i in {**self.ids, **self.special}.items()}
         pattern = next(p["pattern"]["Regex"] for p in told["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pattern = regex.compile(pattern)
+        # Below U+0180 the classes of the pattern are short enough to be written out, which the plain matcher is faster at.
+        low = [chr(c) for c in range(0x180)]
+        letters, numbers, space = (re.escape("".join(c for c in low if regex.match(k, c))) for k in (r"\p{L}", r"\p{N}", r"\s"))
+        written = pattern.replace(r"\p{L}", letters).replace(r"\p{N}", numbers).replace(r"\s", space)
+        self.pattern = re.compile(written)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         # The letters that stand for bytes: printable Latin-1 for itself, the others from U+0100 on, in order.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -90,7 +96,7 @@ class Scheme:
         return out
 
     def _plain(self, text: str, row: bytes) -> list[str]:
-        if not row or np.frombuffer(row, np.uint8).max() < 0xC9:
+        if not row or np.frombuffer(row, np.uint8).max() < 0xC6:
             return self.pattern.findall(text.lower())
         normal = self.library.normalizer.normalize_str(text)
         back = {c: b for b, c in enumerate(self.letters)}
@@ -279,11 +285,20 @@ def _counted(path: str):
 
 
 def lexicon(docs: DataFrame, path: str, text: str = "text", words: int = LEXICON_WORDS) -> dict[str, np.ndarray]:
-    """The automaton of the most frequent words of all texts, with their ids; ties go to the word that sorts first."""
+    """The automaton of the most frequent words of all texts, ``words`` at most, with their ids."""
     counts = map_batches(docs.select(F.col(text).alias("text")), _counted(path), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    short = counts.where(F.octet_length("word") <= LEXICON_BYTES).orderBy(F.desc("n"), "word").limit(words)
+    counts = stage(counts.where(F.octet_length("word") <= LEXICON_BYTES), "word-counts")
+    # Words by sixteenths of an octave of their count: a table of a few hundred rows tells which count leaves few
+    # enough words above it, and only those come to the driver.
+    octave = F.floor(F.log2("n") * 16).cast("int")
+    above, least = 0, 1 << 30
+    for step, count in sorted(counts.groupBy(octave.alias("step")).count().collect(), reverse=True):
+        above += count
+        if above > words:
+            break
+        least = step
     scheme = Scheme(path)
-    listed = sorted(r["word"].encode() for r in short.select("word").collect() if r["word"] not in scheme.special)
+    listed = sorted(r["word"].encode() for r in counts.where(octave >= least).collect() if r["word"] not in scheme.special)
     ids = [scheme.merged(w.decode()) for w in listed]
     begins = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int64)
     return {**compiled(listed), "ids": np.array([i for x in ids for i in x], np.uint32), "begins": begins}
