@@ -39,12 +39,12 @@ END = 0
 LONGEST = 20
 EVERY = 1024
 
-REMEMBERED = 300_000
-#: Pieces of text a worker remembers before it starts anew.
+REMEMBERED = 400_000
+#: Pieces of text a worker remembers at most, but for those of the text at hand.
 
 
-class Encoder(dict):
-    """Ids of pieces of text as bytes (32-bit, little-endian); unknown pieces go to the library."""
+class Encoder:
+    """The library, and a table of the ids of pieces met before (32-bit, little-endian), without their leading blank."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
@@ -52,22 +52,44 @@ class Encoder(dict):
         self.library.no_padding()
         special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([r" (?:\s|\Z)", *special]))
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self[piece] = self.alone(piece)
-        return ids
-
-    def alone(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, row: bytes) -> bytes:
-        text = row.decode()
-        if self.whole.search(text):
-            return self.alone(text)
-        first, *rest = text.split(" ")
-        return self[first] + b"".join([self[" " + piece] for piece in rest])
+        vocabulary = self.library.get_vocab()
+        # A token of a byte-level vocabulary is written with one letter a byte.
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.known: dict[str, bytes] = {}
+
+    def alone(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, unknown: list[str]) -> None:
+        """Encode pieces in one go; the ends of pieces are those of tokens."""
+        # No piece has a blank in it, so the blanks are where the pieces begin.
+        text = " " + " ".join(unknown)
+        ids = self.alone(text)
+        data = np.frombuffer(text.encode(), np.uint8)
+        ends = np.append(np.flatnonzero(data == 32)[1:], len(data))
+        ends = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1
+        raw, begin = ids.tobytes(), 0
+        for piece, end in zip(unknown, (4 * ends).tolist(), strict=True):
+            self.known[piece] = raw[begin:end]
+            begin = end
+
+    def encode(self, rows: list[bytes]) -> list[bytes]:
+        """Ids of each text as bytes."""
+        texts_of = [row.decode() for row in rows]
+        split = [None if self.whole.search(text) else text.split(" ") for text in texts_of]
+        first = [None if parts is None else self.alone(parts.pop(0)).tobytes() for parts in split]
+        seen = set().union(*[parts for parts in split if parts])
+        unknown = list(seen.difference(self.known))
+        if len(self.known) + len(unknown) > REMEMBERED:
+            self.known = {p: ids for p, ids in self.known.items() if p in seen}
+        if unknown:
+            self._learn(unknown)
+        ids = self.known.__getitem__
+        return [
+            self.alone(text).tobytes() if parts is None else begin + b"".join(map(ids, parts))
+            for text, begin, parts in zip(texts_of, first, split, strict=True)
+        ]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -78,7 +100,7 @@ def _tokenized(path: str):
         encoder = _ENCODERS.setdefault(path, Encoder(path)) if path not in _ENCODERS else _ENCODERS[path]
         end = np.array([END], "<u4").tobytes()
         for piece in pieces(batches):
-            ids = [_narrow(encoder.encode(row) + end) for row in texts(piece.column(1))]
+            ids = [_narrow(row + end) for row in encoder.encode(texts(piece.column(1)))]
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return work
@@ -209,19 +231,18 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, doc_id:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    batch.column(2),
                     pa.array([len(r) for r in rows], pa.int64()),
                     pa.array([b[1] for b in blocks], pa.list_(pa.int64())),
                     pa.array([b[0] for b in blocks], pa.binary()),
                 ],
-                ["doc_id", "place", "n_tokens", "offsets", "payload"],
+                ["doc_id", "n_tokens", "offsets", "payload"],
             )
 
-    # The hash splits a range of many rows with one id, such as null.
-    blocks = map_batches(
-        ids.select("doc_id", "ids", F.xxhash64("ids").alias("place")), coded, f"doc_id {kind}, place long, n_tokens long, offsets array<bigint>, payload binary"
-    )
-    ordered = blocks.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place").drop("place")
+    # Sorted before they are coded, so that finding the ranges reads ids and hashes only. The hash splits a range of
+    # many rows with one id, such as null.
+    hashed = ids.select("doc_id", "ids", F.xxhash64("ids").alias("place"))
+    ordered = hashed.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place").select("doc_id", "ids")
+    ordered = map_batches(ordered, coded, f"doc_id {kind}, n_tokens long, offsets array<bigint>, payload binary")
     ordered = ordered.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
     ordered.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
