@@ -15,19 +15,20 @@ def components(links: DataFrame) -> DataFrame:
     with before, and then follows its label once; the number of rounds grows with the logarithm of the longest path.
     Every round is written to the shared folder. Links may repeat, in either direction; no links give no rows.
     """
-    both = stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = stage(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels"
-    )
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").select(F.col("a").alias("node"), "label")
-        least = near.union(labels).groupBy("node").agg(F.min("label").alias("label"))
+    both = links.select(F.col("a").alias("node"), F.col("b").alias("near"))
+    both = stage(both.union(both.select("near", "node")).distinct(), "links")
+    first = both.groupBy("node").agg(F.min("near").alias("least"))
+    labels = stage(first.select("node", F.least("node", "least").alias("label"), F.col("node").alias("before")), "labels")
+    while labels.where("label <> before").head(1):
+        known = labels.select("node", "label")
+        near = both.join(known.select(F.col("node").alias("near"), "label"), "near").select("node", "label")
+        least = near.groupBy("node").agg(F.min("label").alias("least"))
+        told = known.join(least, "node").select("node", "label", F.least("label", "least").alias("least"))
         # What a node learnt also goes to the node that stood for it.
-        told = labels.select("node", F.col("label").alias("root")).join(least, "node").select(F.col("root").alias("node"), "label")
-        hooked = stage(told.union(least).groupBy("node").agg(F.min("label").alias("label")), "hooked")
-        jumped = hooked.alias("h").join(hooked.select(F.col("node").alias("label"), F.col("label").alias("next")), "label", "left")
-        after = stage(jumped.select("node", F.coalesce("next", "label").alias("label")), "labels")
-        changed = after.join(labels.withColumnRenamed("label", "before"), "node").where("label <> before").limit(1).count()
-        if not changed:
-            return after
-        labels = after
+        own = told.select("node", F.col("least").alias("new"), F.col("label").alias("before"))
+        roots = told.select(F.col("label").alias("node"), F.col("least").alias("new"), F.lit(None).cast("bigint").alias("before"))
+        hooked = stage(own.union(roots).groupBy("node").agg(F.min("new").alias("label"), F.max("before").alias("before")), "hooked")
+        jump = hooked.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        jumped = hooked.join(jump, "label", "left")
+        labels = stage(jumped.select("node", F.coalesce("further", "label").alias("label"), "before"), "labels")
+    return labels.select("node", "label")

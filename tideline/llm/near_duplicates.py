@@ -10,9 +10,13 @@ a document are not made at all, which leaves about one point per shingle beyond
 an open component are gone over again with a later end.
 
 **Candidates.** Signatures are cut into bands; contents that share a band meet in a bucket. All rows with the same
-words are one content, so copies meet nowhere. In a bucket no pairs are made: each round one leader is compared with
-every other member that is not yet in its component, and is then taken out. Buckets whose members are all in one component are
-finished. A pair is left out only if a chain of verified links already joins it.
+words are one content, so copies meet nowhere. Contents that share no band with any other are done. A passage that
+many contents hold brings contents together that are not alike otherwise, so the others are dealt again to buckets by
+their rarest shingles: of two sets as alike as asked for, the rarest members always have one in common, and its place
+bounds the overlap. In a bucket no pairs are made: each round a leader is compared with every other member that is not
+yet in its component, and is then taken out. Buckets whose members are all in one component are finished; in the others
+the number of leaders grows from round to round, so the rounds are few. A pair is left out only if a chain of verified
+links already joins it, or if its bound is too low.
 
 **Verification.** The exact multiset overlap of the candidates' shingles decides.
 
@@ -37,8 +41,14 @@ from tideline.session import small_side, stage
 WORDS = 5
 SIMILARITY = 0.8
 
-BANDS, ROWS = 24, 5
-#: At a similarity of 0.8 a pair shares no band with probability (1 - 0.8**5)**24, less than 1 in 10,000.
+BANDS, ROWS = 30, 5
+#: At a similarity of 0.8 a pair shares no band with probability (1 - 0.8**5)**30, less than 1 in 100,000.
+
+SKETCHED_BYTES = 1_000_000
+#: Text sketched at once; a signature needs about a thousand points while it is made, however short its text.
+
+LEADERS_GROW = 8
+#: Leaders of a bucket in the first round: one; in each later round so many times more.
 
 _LATE = 3.0
 #: How far past the expected last component points are made at first, in expected points per component.
@@ -135,34 +145,34 @@ def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in pieces(batches, "__text"):
+    for piece in pieces(batches, "__text", SKETCHED_BYTES):
         rows = texts(piece.column(piece.num_columns - 1))
         owner, value, content = shingles(rows)
         element, distinct, weight = weighted(owner, value)
         bands = band_hashes(signatures(element, distinct, weight, len(rows)))
         n = np.bincount(owner, minlength=len(rows))
-        order = np.lexsort((value, owner))
+        # The k-th occurrence of a shingle is a member of its own, so that overlaps of multisets are those of sets; 32
+        # bits tell the members of two documents apart well enough.
+        turn = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+        with np.errstate(over="ignore"):
+            members = (mix(np.repeat(distinct, weight) + mix(turn.astype(np.uint64))) >> np.uint64(32)).astype(np.uint32)
         yield pa.RecordBatch.from_arrays(
             [
                 *piece.columns[:-1],
                 pa.array(content[:, 0].view(np.int64)),
                 pa.array(content[:, 1].view(np.int64)),
                 _lists(bands.reshape(-1).view(np.int64), np.arange(1, len(rows) + 1) * BANDS),
-                # 32 bits tell the shingles of two documents apart well enough to count those they share.
-                _lists((value[order] >> np.uint64(32)).astype(np.uint32).view(np.int32), np.cumsum(n)),
+                _lists(members.view(np.int32), np.cumsum(n)),
             ],
             ["doc_id", "text_hash", "c0", "c1", "bands", "items"],
         )
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two sorted multisets."""
+    """Weighted Jaccard similarity of two multisets whose repeated members are numbered."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    left, of_a = np.unique(a, return_counts=True)
-    right, of_b = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(left, right, assume_unique=True, return_indices=True)
-    shared = int(np.minimum(of_a[i], of_b[j]).sum())
+    shared = len(np.intersect1d(a, b))
     return shared / (len(a) + len(b) - shared)
 
 
@@ -180,86 +190,128 @@ def _verified(least: float):
 
 
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, text_hash, key, bands, items)`` of every row, written once; ``key`` stands for the words of the text."""
+    """``(row, doc_id, text_hash, c0, c1, bands, items)`` of every row, written once; ``c0, c1`` stand for its words."""
     kind = docs.schema[doc_id].dataType.simpleString()
     named = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), F.col(text).alias("__text"))
     schema = f"doc_id {kind}, text_hash long, c0 long, c1 long, bands array<long>, items array<int>"
-    found = map_batches(named, _sketched, schema).withColumn("key", F.struct("c0", "c1"))
-    return stage(found.drop("c0", "c1"), "sketches")
-
-
-def linked(rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``(node, label)`` of all contents that have a near duplicate with other words."""
-    spark = rows.sparkSession
-    entries = rows.where(F.size("items") > 0).select(F.explode("bands").alias("bucket"), "key")
-    shared = entries.groupBy("bucket").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least <> most").select("bucket")
-    members = stage(entries.join(shared, "bucket").distinct().withColumn("label", F.col("key")), "members")
-    items = None
-    links = None
-    turn = 0
+    return stage(map_batches(named, _sketched, schema).withColumn("row", F.monotonically_increasing_id()), "sketches")
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one component."""
+    spread = members.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    return stage(members.join(spread.where("least <> most").select("bucket"), "bucket"), "members")
+
+
+def _shared(entries: DataFrame) -> DataFrame:
+    """``entries (bucket, node)`` of buckets with more than one content, with their size, written once."""
+    sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return stage(entries.join(sizes, "bucket"), "met")
+
+
+def _rarest(all_items: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """``(bucket, node, n, left)``: a bucket for each of the rarest shingles of the ``nodes``.
+
+    Two sets of similarity ``least`` have one of their ``n - ceil(least * n) + 1`` rarest members in common, if both
+    are sorted the same way, so nothing is lost. Shingles of one node only count, but need no bucket.
+    """
+    held = all_items.join(small_side(nodes, "met-nodes"), "node")
+    held = stage(held.select("node", F.size("items").alias("n"), F.explode("items").alias("item")), "held")
+    common = stage(held.groupBy("item").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1"), "common")
+    by_node = held.join(common, "item").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("holders", "item"))).alias("shared"))
+    alone = F.col("n") - F.size("shared")
+    # The small part taken off keeps the bound whole where the product is, but for rounding, a whole number.
+    take = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1 - alone
+    rarest = F.slice("shared", F.lit(1), F.greatest(take, F.lit(0)).cast("int"))
+    placed = by_node.select(F.posexplode(rarest).alias("at", "s"), "node", "n", alone.alias("alone"))
+    placed = placed.select(
+        F.xxhash64(F.lit("item"), "s.item").alias("bucket"), "node", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left")
+    )
+    # From its place in a bucket on a node has ``left`` members; they have to do for the shortest it meets there.
+    shortest = placed.groupBy("bucket").agg(F.min("n").alias("shortest"))
+    other = F.greatest(F.ceil(F.col("n") * least - 1e-9), "shortest")
+    return placed.join(shortest, "bucket").where(F.col("left") >= (F.col("n") + other) * (least / (1 + least)) - 1e-9).drop("shortest")
+
+
+def linked(entries: DataFrame, all_items: DataFrame, least: float = SIMILARITY) -> DataFrame | None:
+    """``(node, label)`` of all contents with a near duplicate; None if no two contents share a bucket.
+
+    ``entries (bucket, node)`` are the buckets of each content, without repeats; ``all_items (node, items)`` holds their shingles.
+    """
+    met = _shared(entries)
+    # A band of a passage that many contents hold brings contents together that are not alike otherwise. Those that
+    # met any other meet again by their rarest shingles, which misses no pair and leaves few to compare.
+    met = _shared(_rarest(all_items, met.select("node").distinct(), least))
+    # Contents that meet many others are likely close to all of a group, so they lead.
+    degree = met.groupBy("node").agg(F.sum("size").alias("degree"))
+    members = _open(met.drop("size").join(degree, "node").withColumn("label", F.col("node")))
+    items = links = labels = None
+    leaders_each = 1
     while members.head(1):
-        pick = F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("place"), "key", "label"))
-        leaders = members.groupBy("bucket").agg(pick.alias("pick"))
-        leaders = stage(leaders.select("bucket", F.col("pick.key").alias("leader"), F.col("pick.label").alias("its_label")), "leaders")
-        pairs = stage(
-            members.join(leaders, "bucket")
-            .where("label <> its_label")
-            .select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))
-            .distinct(),
-            "pairs",
-        )
+        # One leader for each of ``leaders_each`` slots that the members of a bucket are dealt to.
+        slot = F.pmod(F.xxhash64("node", F.lit(leaders_each)), F.lit(leaders_each)).alias("slot")
+        best = F.max(F.struct("degree", "node", "label", "n", "left")).alias("best")
+        leaders = members.groupBy("bucket", slot).agg(best)
+        told = [F.col(f"best.{c}").alias(f"its_{c}") for c in ("label", "n", "left")]
+        leaders = stage(leaders.select("bucket", F.col("best.node").alias("leader"), *told), "leaders")
+        enough = F.least("left", "its_left") >= (F.col("n") + F.col("its_n")) * (least / (1 + least)) - 1e-9
+        met = members.join(leaders, "bucket").where((F.col("label") != F.col("its_label")) & enough)
+        pairs = stage(met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), "pairs")
         if items is None:
-            wanted = small_side(members.select("key").distinct(), "wanted")
-            items = stage(rows.select("key", "items").join(wanted, "key").groupBy("key").agg(F.max("items").alias("items")), "items")
-        both = pairs.join(items.select(F.col("key").alias("a"), F.col("items").alias("x")), "a").join(
-            items.select(F.col("key").alias("b"), F.col("items").alias("y")), "b"
+            wanted = small_side(members.select("node").distinct(), "wanted")
+            items = stage(all_items.join(wanted, "node"), "items")
+        both = pairs.join(items.select(F.col("node").alias("a"), F.col("items").alias("x")), "a").join(
+            items.select(F.col("node").alias("b"), F.col("items").alias("y")), "b"
         )
-        new = stage(map_batches(both.select("a", "b", "x", "y"), _verified(least), "a struct<c0:long,c1:long>, b struct<c0:long,c1:long>"), "new-links")
-        links = new if links is None else stage(links.union(new), "links")
+        new = map_batches(both.select("a", "b", "x", "y"), _verified(least), "a long, b long")
+        links = stage(new if links is None else links.union(new), "links")
         labels = components(links)
-        left = members.drop("label").join(leaders, "bucket").where("key <> leader").select("bucket", "key")
-        left = left.join(labels, left["key"] == labels["node"], "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
-        left = stage(left, "left")
-        opened = left.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("bucket")
-        members = stage(left.join(opened, "bucket"), "members")
-        turn += 1
-    if links is None:
-        return spark.createDataFrame([], "node struct<c0:long,c1:long>, label struct<c0:long,c1:long>")
+        rest = members.drop("label").join(leaders.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
+        members = _open(rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+        leaders_each *= LEADERS_GROW
     return labels
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """``(doc_id, text_hash, class_id, first_hash)`` of every row.
+    """``(doc_id, text_hash, class_id, label)`` of every row, written once.
 
-    ``class_id`` is the least id in the class (null only if all its ids are null), ``first_hash`` the hash of the text
-    of that row, the least if several rows carry the id.
+    ``class_id`` is the least id in the class (null only if all its ids are null), ``label`` names the class.
     """
     rows = sketches(docs, doc_id, text)
-    labels = linked(rows, least)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    contents = rows.groupBy("key").agg(first).join(labels, F.col("key") == F.col("node"), "left")
-    contents = stage(contents.select("key", "first", F.coalesce("label", "key").alias("label")), "contents")
-    heads = stage(contents.groupBy("label").agg(F.min("first").alias("head")), "heads")
-    heads = stage(contents.join(heads, "label").select("key", "head"), "heads-by-content")
-    return rows.select("doc_id", "text_hash", "key").join(heads, "key").select(
-        "doc_id", "text_hash", F.col("head.doc_id").alias("class_id"), F.col("head.text_hash").alias("first_hash")
-    )
+    nodes = stage(rows.groupBy("c0", "c1").agg(F.min("row").alias("node")), "nodes")
+    own = rows.where(F.size("items") > 0).select(F.col("row").alias("node"), "bands").join(nodes.select("node"), "node")
+    entries = own.select(F.explode("bands").alias("bucket"), "node")
+    labels = linked(entries, rows.select(F.col("row").alias("node"), "items"), least)
+    named = nodes.withColumn("label", F.col("node"))
+    if labels is not None:
+        named = nodes.join(labels, "node", "left").select("c0", "c1", F.coalesce("label", "node").alias("label"))
+    named = stage(named.select("c0", "c1", "label"), "named")
+    placed = stage(rows.select("doc_id", "text_hash", "c0", "c1").join(named, ["c0", "c1"]).drop("c0", "c1"), "placed")
+    heads = stage(placed.groupBy("label").agg(F.min("doc_id").alias("class_id")), "heads")
+    return stage(placed.join(heads, "label").select("doc_id", "text_hash", "class_id", "label"), "classes")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stand for their class; of rows that repeat id and text, one."""
-    found = stage(classes(docs, doc_id, text, least), "classes")
+    found = classes(docs, doc_id, text, least)
+    # Several rows may carry the least id; the one with the least hash of its text stands for them.
+    heads = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    chosen = stage(heads.groupBy("label").agg(F.min("text_hash").alias("first_hash")), "chosen")
+    marked = found.join(chosen, "label")
     first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("first_hash"))
-    dropped = found.where(~first).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    here = F.xxhash64(F.coalesce(docs[text], F.lit("")))
-    dropped = small_side(dropped, "dropped")
-    kept = docs.join(dropped, docs[doc_id].eqNullSafe(dropped["__id"]) & (here == dropped["__hash"]), "left_anti")
-    repeated = found.where(first).groupBy("doc_id", "text_hash").count().where("count > 1").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    name = (F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    dropped = small_side(marked.where(~first).select(*name).distinct(), "dropped")
+    repeated = marked.where(first).groupBy(*name).count().where("count > 1").drop("count")
     repeated = small_side(repeated, "repeated")
+
+    def same(rows: DataFrame, other: DataFrame):
+        return rows[doc_id].eqNullSafe(other["__id"]) & (F.xxhash64(F.coalesce(rows[text], F.lit(""))) == other["__hash"])
+
+    kept = docs.join(dropped, same(docs, dropped), "left_anti")
     if not repeated.head(1):
         return kept
-    same = kept[doc_id].eqNullSafe(repeated["__id"]) & (F.xxhash64(F.coalesce(kept[text], F.lit(""))) == repeated["__hash"])
-    return kept.join(repeated, same, "left_anti").union(kept.join(repeated, same, "left_semi").dropDuplicates([doc_id, text]))
+    copies = kept.join(repeated, same(kept, repeated), "left_semi").dropDuplicates([doc_id, text])
+    return kept.join(repeated, same(kept, repeated), "left_anti").union(copies)
 
 
 def near_duplicates_of_documents(spark, sf_dir: str) -> DataFrame:
