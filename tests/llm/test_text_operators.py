@@ -201,3 +201,20 @@ def test_anchors_are_closed_syncmers(spark):
     rows = spark.createDataFrame([(inner,), (f"one two three {inner} four five",)], "text string")
     small, large = (r[0] for r in rows.select(fingerprints.anchors(F.col("text"))).collect())
     assert small and set(small) <= set(large)
+
+
+def test_fingerprints_are_comparable_at_every_length(spark):
+    """Long texts without blanks, and pairs on both sides of 256 code points."""
+    rng = random.Random(4)
+    han = lambda n: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
+    word = lambda n: " ".join(f"w{rng.randrange(10**4)}" for _ in range(n))[:n]
+    base, line = han(900), word(260)
+    texts = [word(40), word(300), base, base[:400] + "x" + base[400:], line, line[:250], han(7), han(3), han(2000).lower() + " a"]
+    rows = fingerprints.fingerprinted(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    found = {r["doc_id"]: r for r in rows}
+    assert all(found[k]["near_edited"] > 0.3 for k in (1, 2, 3, 4, 5))
+    assert found[3]["near_next"] > 0.9 and found[5]["near_next"] > 0.9 and found[4]["near_next"] < 0.1
+    edited = [(k, t[: len(t) - len(t) // 3] + texts[k - 1][: len(t) // 3]) for k, t in enumerate(texts)]
+    frame = spark.createDataFrame(edited, "doc_id int, text string")
+    for r in frame.select("doc_id", fingerprints.printed(fingerprints.anchors(F.col("text")))).collect():
+        assert found[r[0]]["edited_fingerprint"] == r[1]

@@ -5,9 +5,9 @@ the least hash among them belongs to the first or the last. Whether a run is an
 a passage has the same anchors wherever it stands, and no two neighbouring anchors lie far apart. The
 fingerprint is the row of anchor hashes; likeness is the share of distinct anchors that two fingerprints have in common.
 
-Units are words (runs without white space) for texts of more than ``SHORT`` code points, and single code points
-otherwise. A text of fewer than ``K`` units, or without any unit, has one anchor: all of it. Null and empty texts
-have none; two fingerprints without anchors are alike.
+Units are single code points, in texts of every length, so that texts of different sizes and scripts can be compared. A
+text of fewer than ``K`` code points has one anchor: all of it. Null and empty texts have none; two fingerprints without
+anchors are alike.
 
 Rows that repeat id and text are one document in the order of documents and each get its result. Null ids come last in
 descending order. One document alone is its own neighbour. An empty table gives an empty result; columns besides id
@@ -23,7 +23,6 @@ from tideline.operators.skew import number_rows
 from tideline.session import stage
 
 K, S = 8, 2
-SHORT = 256
 
 
 def _let(value: Column, body) -> Column:
@@ -31,27 +30,40 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def anchors(text: Column) -> Column:
-    """``array<int>`` of the anchor hashes of a text, in order of place."""
+def _runs(text: Column) -> Column:
+    """``array<struct<at, anchor>>``: place and hash of the anchors among the runs of ``K`` units."""
     runs = K - S + 1
 
     def chosen(inner: Column) -> Column:
-        def at_edge(i: Column) -> Column:
-            edge = F.least(F.get(inner, i), F.get(inner, i + (runs - 1)))
-            return edge <= F.least(*[F.get(inner, i + k) for k in range(1, runs - 1)])
-
+        def least(edge: Column, i: Column) -> Column:
+            found = edge <= F.get(inner, i + 1)
+            for k in range(2, runs - 1):
+                found = found & (edge <= F.get(inner, i + k))
+            return found
+
+        # Comparisons that stop at the first that fails take less time than the least of all.
+        at_edge = lambda i: least(F.get(inner, i), i) | least(F.get(inner, i + (runs - 1)), i)
         # Every S-th inner run tells all units of the run.
-        whole = lambda i: F.hash(*[F.get(inner, i + k) for k in range(0, runs, S)])
+        whole = lambda i: F.struct(i.alias("at"), F.hash(*[F.get(inner, i + k) for k in range(0, runs, S)]).alias("anchor"))
         return F.transform(F.filter(F.sequence(F.lit(0), F.size(inner) - runs), at_edge), whole)
 
-    def paired(small: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(0), F.size(small) - S), lambda i: F.xxhash64(*[F.get(small, i + k) for k in range(S)]))
-        return F.when(F.size(small) < K, F.array(F.hash(text))).otherwise(_let(pairs, chosen))
+    def paired(units: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(0), F.size(units) - S), lambda i: F.xxhash64(*[F.get(units, i + k) for k in range(S)]))
+        return _let(pairs, chosen)
+
+    none = F.array().cast("array<struct<at:int,anchor:int>>")
+    return F.when(F.length(text) < K, none).otherwise(_let(F.split(text, ""), paired))
 
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    units = F.when(F.length(text) > SHORT, words).otherwise(F.split(text, ""))
-    found = _let(F.transform(units, lambda u: F.xxhash64(u)), paired)
-    return F.when(F.length(text) == 0, F.array().cast("array<int>")).otherwise(found)
+
+def _whole(text: Column, found: Column) -> Column:
+    """The anchors of a text whose runs are known."""
+    short = F.when(F.length(text) == 0, F.array().cast("array<int>")).otherwise(F.array(F.hash(text)))
+    return F.when(F.length(text) < K, short).otherwise(found)
+
+
+def anchors(text: Column) -> Column:
+    """``array<int>`` of the anchor hashes of a text, in order of place."""
+    return _whole(text, F.transform(_runs(text), lambda r: r["anchor"]))
 
 
 def printed(found: Column) -> Column:
@@ -89,21 +101,44 @@ def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("text_hash"))
     rows = rows.withColumn("key", F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.hex("text_hash")))
     order = neighbours(rows.select("key", "doc_id", "text_hash", F.length("text").cast("bigint").alias("n_chars")))
-    full = rows.select("doc_id", "key", "text", anchors(F.col("text")).alias("anchors"))
+    full = rows.select("doc_id", "key", "text")
     # The text is shuffled once: both uses ask the same columns of it, so both read the same exchange.
     heads = full.join(order.hint("merge"), "key").select(
         F.col("before").alias("key"),
-        F.substring(F.col("text"), F.lit(1), F.col("cut")).alias("head"),
-        F.col("anchors").alias("next_anchors"),
+        F.col("cut"),
+        F.col("text").alias("next_text"),
         F.col("doc_id").alias("next_id"),
     )
     if order.where("copies > 1").head(1):
         heads = heads.dropDuplicates(["key"])
     both = full.join(heads.hint("merge"), "key")
     n = F.length("text")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 3).cast("int")), F.col("head"))
-    both = both.select("doc_id", n.cast("bigint").alias("n_chars"), "anchors", "next_anchors", "next_id", edited.alias("edited"))
-    both = both.withColumn("edited_anchors", anchors(F.col("edited")))
+    both = both.select(
+        "doc_id",
+        "text",
+        "next_text",
+        "next_id",
+        F.substring(F.col("text"), F.lit(1), n - F.floor(n / 3).cast("int")).alias("kept"),
+        F.substring(F.col("next_text"), F.lit(1), F.col("cut")).alias("head"),
+        _runs(F.col("text")).alias("runs"),
+        _runs(F.col("next_text")).alias("next_runs"),
+    )
+    # The runs inside either part are known from the two texts; only those across the seam are new.
+    kept, head = F.length("kept"), F.length("head")
+    seam = F.concat(F.substring(F.col("kept"), F.greatest(kept - (K - 2), F.lit(1)), F.lit(K - 1)), F.substring("head", 1, K - 1))
+    inside = lambda found, size: _let(size - K, lambda last: F.filter(found, lambda r: r["at"] <= last))
+    edited_runs = F.concat(inside(F.col("runs"), kept), _runs(seam), inside(F.col("next_runs"), head))
+    hashes = lambda found: F.transform(found, lambda r: r["anchor"])
+    edited = F.concat("kept", "head")
+    both = both.select(
+        "doc_id",
+        n.cast("bigint").alias("n_chars"),
+        "next_id",
+        edited.alias("edited"),
+        _whole(F.col("text"), hashes(F.col("runs"))).alias("anchors"),
+        _whole(F.col("next_text"), hashes(F.col("next_runs"))).alias("next_anchors"),
+        _whole(edited, hashes(edited_runs)).alias("edited_anchors"),
+    )
     return both.select(
         "doc_id",
         "n_chars",
