@@ -196,3 +196,14 @@ def test_pipeline_stages(spark, docs):
     found = {r["doc_id"]: r for r in rows.collect()}
     assert set(found) == {None, 1, 6, 8, 9} and found[8]["text"] == "[secret] and [secret] tail [secret]"
     assert all(len(r["ids"]) > 0 for r in found.values())
+
+
+def test_class_model_learns_every_counted_pair():
+    """Few distinct pairs are passed over until they are learned, rare ones beyond their share of all tokens."""
+    classes = bilinear_lm.CLASSES
+    before, last = np.divmod(np.arange(8 * classes), classes)
+    gram = (before * classes + last) * classes + (last + 1) % classes
+    n = np.where(last % 16 == 5, 1, 40)
+    found = bilinear_lm.fitted(gram, n).reshape(-1)[gram]
+    assert found[n == 40].mean() > -0.3 and found[n == 1].mean() > np.log10(1 / n.sum()) + 0.5
+    assert np.array_equal(found, bilinear_lm.fitted(gram[::-1], n[::-1]).reshape(-1)[gram])

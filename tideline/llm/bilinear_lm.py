@@ -8,8 +8,11 @@ classes of their own and the remainder one class. The probability of a token is
 **Classes.** The log-bilinear model predicts a vector from the vectors of the context, each through a matrix of its
 own, and scores a class by the product with the class's vector, plus its bias. Training is noise-contrastive: each
 pair of context and class, as often as the whole training text has it, is to be told from ``NOISE`` pairs whose class
-comes from the class frequencies. Counts of all pairs are summed up by Spark and are at most ``CLASSES`` **
-(``CONTEXT`` + 1) numbers, whatever the input, so the fit is one numpy program over all training tokens. Scores are normalised
+comes from the class frequencies. Nothing is drawn: each pass takes every counted pair with its count and every noise pair
+with its expected number, and passes go on until one no longer lowers the loss by a share of ``ENOUGH``. Counts of all
+pairs are summed up by Spark and are at most ``CLASSES`` ** (``CONTEXT`` + 1) numbers, whatever the input, so the fit is
+one numpy program over all training tokens. The number of classes is fixed and does not grow with the text; words in a
+class share its context scores. Scores are normalised
 afterwards: one batched matrix product gives the log-probabilities of all classes after all contexts.
 
 **Words.** In a class, a word has the share (count + 1) / (tokens of the class + words of the class + 1); the last part is for all
@@ -48,7 +51,12 @@ FREQUENT = 200_000
 
 SIZE = 24
 NOISE = 16
-ROUNDS, BATCH, RATE = 6, 4096, 0.05
+RATE = 0.05
+PART = 1024
+#: Contexts whose scores are held at once.
+
+ENOUGH = 1e-5
+#: Training ends when a pass over all pairs lowers the loss by less than this share.
 
 END = b""
 #: The end mark; no word is empty.
@@ -149,31 +157,38 @@ def fitted(gram: np.ndarray, n: np.ndarray, seed: int = 1) -> np.ndarray:
     params = [told, wanted, through, bias]
     squares = [np.zeros_like(p) + 1e-6 for p in params]
     log_noise = np.log(NOISE * noise)
-    cumulative, noise_cumulative = np.cumsum(share), np.cumsum(noise)
-    batches = ROUNDS * max(1, min(400, len(gram) // BATCH + 1)) if len(gram) else 0
-    for turn in range(batches):
-        pick = gram[np.minimum(np.searchsorted(cumulative, rng.random(BATCH) * cumulative[-1]), len(gram) - 1)]
-        context = np.stack([pick // CLASSES**k % CLASSES for k in range(1, CONTEXT + 1)])
-        drawn = np.minimum(np.searchsorted(noise_cumulative, rng.random((BATCH, NOISE))), CLASSES - 1)
-        target = np.concatenate([(pick % CLASSES)[:, None], drawn], axis=1)
-        vectors = [told[c] for c in context]
-        guess = sum(v @ m for v, m in zip(vectors, through, strict=True))
-        score = np.einsum("bd,bkd->bk", guess, wanted[target]) + bias[target] - log_noise[target]
-        # The gradient of the two-way decision: one minus the belief for the true class, minus the belief for noise.
-        slope = -1 / (1 + np.exp(-np.clip(score, -30, 30)))
-        slope[:, 0] += 1
-        to_guess = np.einsum("bk,bkd->bd", slope, wanted[target])
-        steps = [np.zeros_like(p) for p in params]
-        np.add.at(steps[1], target.reshape(-1), (slope[:, :, None] * guess[:, None, :]).reshape(-1, SIZE))
-        np.add.at(steps[3], target.reshape(-1), slope.reshape(-1))
-        for k in range(CONTEXT):
-            steps[2][k] = vectors[k].T @ to_guess
-            np.add.at(steps[0], context[k], to_guess @ through[k].T)
-        rate = RATE * (1 - turn / batches)
+    order = np.argsort(gram)
+    gram, share = gram[order], share[order]
+    seen, row = np.unique(gram // CLASSES, return_inverse=True)
+    column, weight = gram % CLASSES, np.bincount(row, weights=share, minlength=len(seen))
+    parts = [(begin, min(begin + PART, len(seen))) for begin in range(0, len(seen), PART)]
+    last = np.inf
+    while parts:
+        loss, steps = 0.0, [np.zeros_like(p) for p in params]
+        for begin, end in parts:
+            context = [seen[begin:end] // CLASSES**k % CLASSES for k in range(CONTEXT)]
+            vectors = [told[c] for c in context]
+            guess = sum(v @ m for v, m in zip(vectors, through, strict=True))
+            score = np.clip(guess @ wanted.T + bias - log_noise, -30, 30)
+            true = np.zeros(score.shape)
+            low, high = np.searchsorted(row, [begin, end])
+            true[row[low:high] - begin, column[low:high]] = share[low:high]
+            false = weight[begin:end, None] * (NOISE * noise)
+            loss += float((true * np.log1p(np.exp(-score)) + false * np.log1p(np.exp(score))).sum())
+            # The gradient of the two-way decision: pairs of the text by their count, noise pairs by what is expected of them.
+            slope = true - (true + false) / (1 + np.exp(-score))
+            to_guess = slope @ wanted
+            steps[1] += slope.T @ guess
+            steps[3] += slope.sum(axis=0)
+            for k in range(CONTEXT):
+                steps[2][k] += vectors[k].T @ to_guess
+                np.add.at(steps[0], context[k], to_guess @ through[k].T)
+        if not loss < last * (1 - ENOUGH):
+            break
+        last = loss
         for param, square, step in zip(params, squares, steps, strict=True):
-            step /= BATCH
             square += step * step
-            param += rate * step / np.sqrt(square)
+            param += RATE * step / np.sqrt(square)
     contexts = np.arange(CLASSES**CONTEXT)
     guess = sum(told[contexts // CLASSES**k % CLASSES] @ through[k] for k in range(CONTEXT))
     score = guess @ wanted.T + bias
