@@ -77,6 +77,17 @@ def test_main_text_of_a_page():
     )
 
 
+LONG = "".join(f"<p>Paragraph {k}, with commas, and so many words that it counts as a good one.</p>" for k in range(10))
+
+
+@pytest.mark.parametrize("around", ["<div class=story>{}</div>", "<body>{}</body>", "<div><div>{}</div><ul><li><a href=x>Other page of the site</a></ul></div>"])
+def test_main_text_without_an_article_element_is_whole(around):
+    """Headings, short sections, lists and short paragraphs beside the best container belong to the article."""
+    inner = "<h1>Title</h1><section>" + LONG + "</section><section><p>Short closing paragraph.</p></section><ul><li>One<li>Two</ul><p>End <a href=x>here</a>.</p>"
+    found = html_text.main_text(around.format("<div><a href=x>Home</a></div>" + inner))
+    assert found.startswith("Title Paragraph 0, with") and found.endswith("counts as a good one. Short closing paragraph. One Two End here.")
+
+
 @pytest.mark.parametrize(
     "page, text",
     [("", ""), ("plain  text\n here", "plain text here"), ("<article><p>hi", "hi"), ("</div></p>x<", "x<"), ("<script>a", ""), ("<!-- c", ""), ("&eacute; <b>b</b>c", "é bc")],

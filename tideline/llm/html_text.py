@@ -4,8 +4,8 @@ The page is read into a tree; elements that never hold the article (scripts, sty
 those whose class or id names a menu, advert, notice, sidebar or comment section) are left out with all below them.
 Each paragraph gives points to its ancestors: one, one more for each comma, and up to three for its length; the parent
 gets all, each further ancestor a share that falls with distance. Points are discounted by link density, the share of
-the text that lies in links. The container with the most points is kept, and of its siblings those with enough points
-of their own or good single paragraphs. What remains is cut into blocks at block elements; white space inside a block becomes one
+the text that lies in links. Points only find the container. An <article> or <main> is kept as it is; any other container is kept with all
+that lies beside it and beside its ancestors, however short, except parts that are mostly links. What remains is cut into blocks at block elements; white space inside a block becomes one
 space, character references are decoded, empty blocks go, and the blocks are joined by one space in page order.
 
 Broken pages are read as they come: end tags without a start are skipped, missing end tags are supplied, and what
@@ -181,7 +181,7 @@ def _density(node: Node) -> float:
 
 
 def _kept(root: Node) -> list[Node]:
-    """The best container and those of its siblings that belong to it, in page order."""
+    """The best container; outside an article element with what lies beside it and its ancestors and is not mostly links."""
     scored = _measured(root)
     if not scored:
         # No paragraph is long enough to tell: an article element, else the whole page.
@@ -201,18 +201,28 @@ def _kept(root: Node) -> list[Node]:
         if up.name in ("article", "main") or up.score >= best.score * 0.75:
             best = up
         up = up.parent
-    if best.parent is None:
+    if best.name in ("article", "main"):
         return [best]
-    enough = max(10.0, best.score * 0.2)
-    kept = []
-    for node in best.parent.inside:
-        if node is best:
-            kept.append(node)
-        elif isinstance(node, Node) and not node.out and best.name not in ("article", "main"):
-            long = node.name == "p" and node.chars > 80 and _density(node) < 0.25
-            if node.score >= enough and _density(node) < MOST_LINKED or long:
-                kept.append(node)
-    return kept
+    while best.parent is not None:
+        best.parent.inside = [c for part in _parts(best.parent) if best in part or not _link_dense(part) for c in part]
+        best = best.parent
+    return [best]
+
+
+def _parts(node: Node) -> list[list[Node | str]]:
+    """What is in a node: each block element on its own, what stands between them together."""
+    parts: list[list[Node | str]] = [[]]
+    for child in node.inside:
+        if isinstance(child, Node) and child.name in BLOCK:
+            parts += [[child], []]
+        else:
+            parts[-1].append(child)
+    return parts
+
+
+def _link_dense(part: list[Node | str]) -> bool:
+    chars = sum(len(c.strip()) if isinstance(c, str) else 0 if c.out else c.chars for c in part)
+    return sum(c.linked for c in part if isinstance(c, Node) and not c.out) > chars * MOST_LINKED
 
 
 def main_text(page: str) -> str:
