@@ -116,3 +116,23 @@ def test_second_run_reads_only_new_files(spark, tmp_path):
         incremental.run_available(stream, sink, str(tmp_path / "check"))
     got = spark.read.parquet(out + "/events").select("id", "batch_id").collect()
     assert sorted(map(tuple, got)) == [(n, n // 3) for n in range(6)]
+
+
+def test_flush_brings_out_every_change_and_lists_late_rows(spark, tmp_path):
+    def row(number, day, operation=2, name="a"):
+        time = None if day is None else datetime(2024, 1, 1) + timedelta(days=day)
+        return ("t", f"{number:020X}", "0" * 20, 1, operation, number, name, "x", time)
+
+    path = str(tmp_path / "landing")
+    land(spark, [row(1, 0), row(2, 50), row(6, 1, 1)], path)
+    land(spark, [row(4, 90), row(7, None, 3), row(7, None, 4, "b")], path)
+    land(spark, [row(3, 1), row(5, 91), row(6, 1, 2)], path)
+    landed = spark.read.schema(SCHEMA).parquet(path)
+    stream = incremental.read_change_stream(spark, path, landed.schema, files_per_batch=1)
+    sink = pairing.PairingSink(str(tmp_path / "out"), landed, ("id",))
+    done = incremental.run_available(pairing.open_changes(stream, ("id",), "10 days"), sink, str(tmp_path / "check"))
+    for _ in range(2):
+        sink.flush(done.lastProgress["batchId"])
+    got = spark.read.parquet(str(tmp_path / "out" / "events")).collect()
+    assert sorted((r["id"], r["__op"]) for r in got) == [(1, "c"), (2, "c"), (3, "c"), (4, "c"), (5, "c"), (6, "d"), (7, "u")]
+    assert sorted((r["id"], r["operation"]) for r in spark.read.parquet(str(tmp_path / "out" / "late")).collect()) == [(6, 1), (6, 2)]

@@ -971,9 +971,22 @@ def stream_pairs(f: Fixtures) -> DataFrame:
 
     Changes newer than the watermark (eleven days behind the newest commit) stay open.
     """
-    timed = f.ct.join(f.lsn_time, "start_lsn").withColumn("commit_time", F.col("commit_time").cast("timestamp"))
+    sink, _ = _paired_stream(f, f.ct.join(f.lsn_time, "start_lsn"))
+    return f.spark.read.parquet(f"{sink.path}/events").select(*CHANGE_KEY, *_STREAM_COLUMNS)
+
+
+@query(_STREAM)
+def stream_pairs_flushed(f: Fixtures) -> DataFrame:
+    """SS3: as ``stream_pairs``, but with all changes: those without a commit time and those open at the end too."""
+    sink, last_batch = _paired_stream(f, f.ct.join(f.lsn_time, "start_lsn", "left"))
+    sink.flush(last_batch)
+    return f.spark.read.parquet(f"{sink.path}/events").select(*CHANGE_KEY, *_STREAM_COLUMNS)
+
+
+def _paired_stream(f: Fixtures, timed: DataFrame) -> tuple[pairing.PairingSink, int]:
+    timed = timed.withColumn("commit_time", F.col("commit_time").cast("timestamp"))
     first = timed.agg(F.min("commit_time")).first()[0]
-    age = F.datediff("commit_time", F.lit(first))
+    age = F.coalesce(F.datediff("commit_time", F.lit(first)), F.lit(0))
     arrival = F.least(F.floor(age / 10), F.lit(2)) + F.col("operation").isin(2, 4).cast("int")
     landing = new_path(f.spark, "landing")
     for part in range(4):
@@ -981,7 +994,7 @@ def stream_pairs(f: Fixtures) -> DataFrame:
     landed = f.spark.read.schema(timed.schema).parquet(landing)
     sink = pairing.PairingSink(new_path(f.spark, "stream"), landed, ("id",))
     stream = incremental.read_change_stream(f.spark, landing, timed.schema, files_per_batch=1)
-    incremental.run_available(
+    done = incremental.run_available(
         pairing.open_changes(stream, ("id",), "11 days"), sink, new_path(f.spark, "stream-checkpoint")
     )
-    return f.spark.read.parquet(f"{sink.path}/events").select(*CHANGE_KEY, *_STREAM_COLUMNS)
+    return sink, done.lastProgress["batchId"]

@@ -20,8 +20,8 @@ def open_changes(rows: DataFrame, primary_key: Sequence[str], delay: str, no_tim
     """Collect changes until the watermark passes their commit time.
 
     ``rows`` need ``commit_time`` as a timestamp. A row without one would keep its change open for ever, so
-    it gets ``no_time``: with the default it is late as soon as a watermark exists; give it the time of the
-    run to keep it.
+    it gets ``no_time``: with the default it is late as soon as a watermark exists, and only ``PairingSink.flush``
+    brings it out; give it the time of the run to keep it in the stream.
     """
     keyed = changes.with_change_key(rows)
     image = [c for c in changes.captured_columns(keyed)]
@@ -97,5 +97,33 @@ class PairingSink:
         self.path, self.landed, self.primary_key, self.strict = path, landed, primary_key, strict
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = stage(batch, "closed-batch")
+        batch.select(*CHANGE_KEY, "size").write.mode("overwrite").parquet(f"{self.path}/sizes/batch_id={batch_id}")
         events = closed_events(batch, self.landed, self.primary_key, self.strict)
         events.write.mode("overwrite").parquet(f"{self.path}/events/batch_id={batch_id}")
+
+    def flush(self, last_batch: int) -> None:
+        """After a stream has stopped for good: pair the landed changes that the stream never closed.
+
+        These are the newest ones, those without a commit time and those that came late as a whole. A change that was
+        closed before all of its rows had come keeps its events, and all of its landed rows are written below ``late``.
+        Uses the batch number after ``last_batch``; a stream that goes on later must use another folder.
+        """
+        keyed = changes.with_change_key(self.landed)
+        closed = keyed.sparkSession.read.parquet(f"{self.path}/sizes").where(F.col("batch_id") <= last_batch)
+        closed = closed.groupBy(*CHANGE_KEY).agg(F.sum("size").alias("closed_rows"))
+        found = keyed.groupBy(*CHANGE_KEY).agg(F.count(F.lit(1)).alias("landed_rows")).alias("f")
+        same = [F.col(f"f.{c}").eqNullSafe(F.col(f"c.{c}")) for c in CHANGE_KEY]
+        found = found.join(closed.alias("c"), same, "left").select("f.*", "closed_rows")
+        found = stage(found.where("closed_rows IS NULL OR closed_rows < landed_rows"), "not-closed")
+
+        def rows_of(groups: DataFrame) -> DataFrame:
+            same = [F.col(f"k.{c}").eqNullSafe(F.col(f"g.{c}")) for c in CHANGE_KEY]
+            return keyed.alias("k").join(groups.alias("g"), same, "left_semi").drop("command_key")
+
+        rows_of(found.where("closed_rows IS NOT NULL")).write.mode("overwrite").parquet(f"{self.path}/late")
+        rows = rows_of(found.where("closed_rows IS NULL"))
+        times = rows.groupBy("start_lsn").agg(F.max("commit_time").alias("commit_time"))
+        events = changes.events(changes.classify(rows.drop("commit_time"), self.primary_key), self.strict)
+        events = events.join(times, "start_lsn", "left")
+        events.write.mode("overwrite").parquet(f"{self.path}/events/batch_id={last_batch + 1}")
