@@ -9,8 +9,10 @@ from tideline.llm.html_text import text_of_pages
 from tideline.llm.language_id import language_of_documents
 from tideline.llm.lexicon_bpe import encoded_documents
 from tideline.llm.near_duplicates import near_duplicates_of_documents
+from tideline.llm.periodic_runs import runs_of_documents
 from tideline.llm.secret_scan import secrets_of_documents
 from tideline.llm.shards import sharded_documents
+from tideline.llm.spelling import variants_of_documents
 from tideline.llm.token_files import ids_of_documents
 
 QUERIES = {
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_decontaminate": contaminated_documents,
     "op9_language_id": language_of_documents,
     "op10_fingerprints": fingerprints_of_documents,
+    "op11_spelling_variants": variants_of_documents,
+    "op13_periodic_runs": runs_of_documents,
 }
 
 ORACLES: dict[str, str] = {}
