@@ -10,6 +10,7 @@ from tideline.llm.language_id import language_of_documents
 from tideline.llm.lexicon_bpe import encoded_documents
 from tideline.llm.near_duplicates import near_duplicates_of_documents
 from tideline.llm.periodic_runs import runs_of_documents
+from tideline.llm.quality import quality_of_documents
 from tideline.llm.secret_scan import secrets_of_documents
 from tideline.llm.shards import sharded_documents
 from tideline.llm.spelling import variants_of_documents
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_language_id": language_of_documents,
     "op10_fingerprints": fingerprints_of_documents,
     "op11_spelling_variants": variants_of_documents,
+    "op12_quality": quality_of_documents,
     "op13_periodic_runs": runs_of_documents,
 }
 
