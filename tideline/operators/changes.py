@@ -191,6 +191,35 @@ def events(classified: DataFrame, strict: bool = True) -> DataFrame:
     return classified.where(keep).withColumn("__op", op)
 
 
+def event_counts(rows: DataFrame, key: Column, use_command_id: bool = True, strict: bool = True) -> DataFrame:
+    """AG4: the number of ``events`` of every transaction, without pairing its rows.
+
+    One hash aggregate per change counts its rows by operation and takes the lowest and highest 64-bit hash of ``key``;
+    that tells how many events it is. No row is sorted, and no image is read. A moved key passes for a kept one only if
+    both have the same hash. Refuses what ``events`` refuses.
+    """
+    keyed = with_change_key(rows, use_command_id).select(*CHANGE_KEY, "operation", F.xxhash64(key).alias("__key"))
+    ops = {code: F.count_if(_op() == code).alias(f"__{code}") for code in (DELETE, INSERT, BEFORE_UPDATE, AFTER_UPDATE)}
+    counted = keyed.groupBy(*CHANGE_KEY).agg(
+        F.count(F.lit(1)).alias("__rows"), *ops.values(), F.min("__key").alias("__low"), F.max("__key").alias("__high")
+    )
+    n = lambda code: F.col(f"__{code}")
+    size = F.col("__rows")
+    update = (size == 2) & (n(BEFORE_UPDATE) == 1) & (n(AFTER_UPDATE) == 1)
+    both = (size == 2) & (n(DELETE) == 1) & (n(INSERT) == 1)
+    halves = n(BEFORE_UPDATE) + n(AFTER_UPDATE)
+    unknown = size > n(DELETE) + n(INSERT) + halves
+    where = F.concat_ws(" ", "capture_instance", "start_lsn", "seqval")
+    events = F.when(update, F.lit(1)).when(both & (F.col("__low") == F.col("__high")), F.lit(1))
+    if strict:
+        half = F.raise_error(F.concat(F.lit("incomplete update pair: "), where)).cast("bigint")
+        events = events.when(halves > 0, half)
+    code = F.raise_error(F.concat(F.lit("unsupported operation code in: "), where)).cast("bigint")
+    events = events.when(unknown, code).otherwise(n(DELETE) + n(INSERT))
+    counts = counted.select("capture_instance", "start_lsn", events.cast("bigint").alias("events"))
+    return counts.groupBy("capture_instance", "start_lsn").agg(F.sum("events").alias("events"))
+
+
 def _unknown(where: Column) -> Column:
     text = F.concat(F.lit("unsupported operation code "), F.coalesce(_op().cast("string"), F.lit("null")), F.lit(": "))
     return F.raise_error(F.concat(text, where)).cast("boolean")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tideline.errors import ReservedColumn
 from tideline.functions import lsn, times
-from tideline.functions.json_values import json_columns, json_line
+from tideline.functions.json_values import extend_object, json_columns, json_line
 from tideline.model import EVENT_FIELDS, WORKING_COLUMNS, CapturedTable, ColumnInfo, Origin
 
 # Columns that carry the order of events until they are written.
@@ -136,10 +136,8 @@ def tombstone_line(key: Column, schema: Column | None = None) -> Column:
     return F.concat(F.lit('{"key":'), F.coalesce(wrapped, F.lit("null")), F.lit(',"value":null}'))
 
 
-def full_envelopes(events: DataFrame, table: CapturedTable, origin: Origin, processed_at: datetime) -> DataFrame:
-    """EN4: ``before``, ``after``, ``source`` and times. ``events`` must come with ``previous`` images."""
-    image = F.struct(*table.column_names)
-    op = F.col("__op")
+def source_fields(events: DataFrame, origin: Origin, source_schema: Column, source_table: Column) -> list[Column]:
+    """EN4: the fields of the source block; the times are null where the commit time is unknown."""
     zoned = "commit_time" in events.columns and isinstance(events.schema["commit_time"].dataType, T.TimestampType)
     if "commit_time" not in events.columns:
         micros = F.lit(None).cast("bigint")
@@ -147,7 +145,7 @@ def full_envelopes(events: DataFrame, table: CapturedTable, origin: Origin, proc
         micros = F.unix_micros("commit_time")
     else:
         micros = times.epoch_us(F.col("commit_time"), origin.timezone)
-    source = F.struct(
+    return [
         F.lit(SOURCE_VERSION).alias("version"),
         F.lit(SOURCE_CONNECTOR).alias("connector"),
         F.lit(origin.topic_prefix).alias("name"),
@@ -156,13 +154,48 @@ def full_envelopes(events: DataFrame, table: CapturedTable, origin: Origin, proc
         (micros * 1000).alias("ts_ns"),
         F.lit(False).alias("snapshot"),
         F.lit(origin.database).alias("db"),
-        F.lit(table.source_schema).alias("schema"),
-        F.lit(table.source_table).alias("table"),
+        source_schema.alias("schema"),
+        source_table.alias("table"),
         lsn.to_colon_text(F.col("seqval")).alias("change_lsn"),
         lsn.to_colon_text(F.col("start_lsn")).alias("commit_lsn"),
         F.col("serial").cast("string").alias("event_serial_no"),
-    )
+    ]
+
+
+def processed_fields(processed_at: datetime) -> list[Column]:
+    """EN4: when an event was made, in three units."""
     now = to_epoch_ms(processed_at)
+    units = (("ts_ms", 1), ("ts_us", 1_000), ("ts_ns", 1_000_000))
+    return [F.lit(now * unit).cast("bigint").alias(name) for name, unit in units]
+
+
+def full_line(
+    events: DataFrame, origin: Origin, processed_at: datetime, before: Column, after: Column, op: Column | None = None
+) -> Column:
+    """EN4, EN8: the whole envelope as one JSON object, from images that are JSON objects or null.
+
+    ``events`` has the order columns, ``source_schema``, ``source_table`` and, if known, ``commit_time``.
+    """
+    source = json_line(source_fields(events, origin, F.col("source_schema"), F.col("source_table")))
+    rest = json_line([(F.col("__op") if op is None else op).alias("op"), *processed_fields(processed_at)])
+    none = F.lit("null")
+    head = F.concat(
+        F.lit('{"before":'),
+        F.coalesce(before, none),
+        F.lit(',"after":'),
+        F.coalesce(after, none),
+        F.lit(',"source":'),
+        source,
+        F.lit("}"),
+    )
+    return extend_object(head, rest)
+
+
+def full_envelopes(events: DataFrame, table: CapturedTable, origin: Origin, processed_at: datetime) -> DataFrame:
+    """EN4: ``before``, ``after``, ``source`` and times. ``events`` must come with ``previous`` images."""
+    image = F.struct(*table.column_names)
+    op = F.col("__op")
+    source = F.struct(*source_fields(events, origin, F.lit(table.source_schema), F.lit(table.source_table)))
     previous = F.struct(*[F.col(f"previous.{c}").alias(c) for c in table.column_names])
     return events.select(
         "capture_instance",
@@ -171,7 +204,5 @@ def full_envelopes(events: DataFrame, table: CapturedTable, origin: Origin, proc
         F.when(op != "d", image).alias("after"),
         source.alias("source"),
         op.alias("op"),
-        F.lit(now).cast("bigint").alias("ts_ms"),
-        F.lit(now * 1_000).cast("bigint").alias("ts_us"),
-        F.lit(now * 1_000_000).cast("bigint").alias("ts_ns"),
+        *processed_fields(processed_at),
     )

@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.model import CapturedTable
-from tideline.operators.envelope import check_reserved, to_epoch_ms
+from tideline.model import CapturedTable, Origin
+from tideline.operators.envelope import check_reserved, full_line, image_text, to_epoch_ms
 from tideline.operators.skew import number_rows
 
 
@@ -45,6 +45,29 @@ def snapshot_serials(source: DataFrame, table: CapturedTable) -> DataFrame:
     return number_rows(tied, [], ["__tie"], "serial").drop("__tie")
 
 
+def snapshot_envelopes(
+    source: DataFrame, table: CapturedTable, origin: Origin, processed_at: datetime, min_lsn: str
+) -> DataFrame:
+    """EN4, EN8, WN5: whole envelopes of a full read as JSON lines, in ``value``, beside their order columns.
+
+    Both positions of the source block are the low watermark, and the serial numbers the rows in key order.
+    """
+    check_reserved(table)
+    rows = snapshot_serials(source, table)
+    image = image_text(rows, table)
+    rows = rows.select(
+        F.lit(table.capture_instance).alias("capture_instance"),
+        F.lit(table.source_schema).alias("source_schema"),
+        F.lit(table.source_table).alias("source_table"),
+        F.lit(min_lsn).alias("start_lsn"),
+        F.lit(min_lsn).alias("seqval"),
+        "serial",
+        image.alias("image"),
+    )
+    line = full_line(rows, origin, processed_at, F.lit(None).cast("string"), F.col("image"), F.lit("r"))
+    return rows.select("capture_instance", "start_lsn", "serial", line.alias("value"))
+
+
 def snapshot_plus_changes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     """ST2: both kinds of events of one table in one table."""
     shared = [c for c in snapshot.columns if c in changes.columns]

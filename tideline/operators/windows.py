@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideline.functions.lsn import following
@@ -29,6 +30,43 @@ def window_plan(rows: DataFrame, size: int = WINDOW_SIZE) -> DataFrame:
     return numbered.select("capture_instance", "start_lsn", window.alias("window_id"))
 
 
+def sized_plan(rows: DataFrame, size: int = WINDOW_SIZE) -> DataFrame:
+    """WN1 with the change rows of every transaction, in ``rows``."""
+    sizes = rows.groupBy("capture_instance", "start_lsn").agg(F.count(F.lit(1)).alias("rows"))
+    numbered = number_rows(sizes, ["capture_instance"], ["start_lsn"], "__n", unique=True)
+    window = F.call_function("div", F.col("__n") - 1, F.lit(size).cast("bigint"))
+    return numbered.select("capture_instance", "start_lsn", "rows", window.alias("window_id"))
+
+
+def file_parts(sized: DataFrame, rows_per_file: int, tasks: int) -> tuple[DataFrame, int, bool]:
+    """AG4: the writing task of every transaction, from the counts of a ``sized_plan``.
+
+    Returns the plan with ``part`` and ``large``, the number of parts, and whether a window is ``large``. The transactions of a
+    window fill its files one after the other, so the parts of a window ascend with its positions; windows begin at hashed parts.
+    A window in which one transaction alone is more than a file is ``large``: its positions don't tell where to cut.
+    """
+    window = W.partitionBy("capture_instance", "window_id")
+    before = F.sum("rows").over(window.orderBy("start_lsn").rowsBetween(W.unboundedPreceding, -1))
+    of_window = window.orderBy("start_lsn").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    placed = sized.select(
+        "capture_instance",
+        "start_lsn",
+        "rows",
+        "window_id",
+        F.call_function("div", F.coalesce(before, F.lit(0)), F.lit(rows_per_file).cast("bigint")).alias("__file"),
+        (F.max("rows").over(of_window) > rows_per_file).alias("large"),
+    )
+    usual = F.when(~F.col("large"), F.col("__file"))
+    # One row.
+    total, files, windows, large = placed.agg(
+        F.sum("rows"), F.max(usual), F.countDistinct("capture_instance", "window_id"), F.max("large")
+    ).first()
+    starts = max(-(-(total or 0) // rows_per_file), min(windows, tasks), 1)
+    parts = starts + (files or 0)
+    part = F.pmod(F.xxhash64("capture_instance", "window_id"), F.lit(starts)) + F.least("__file", F.lit(files or 0))
+    return placed.select("capture_instance", "start_lsn", "window_id", "large", part.cast("int").alias("part")), parts, bool(large)
+
+
 def window_bounds(plan: DataFrame, starts: DataFrame) -> DataFrame:
     """WN2: the first window begins at the resume position, each further one right after the one before.
 
@@ -63,11 +101,16 @@ def next_window_end(rows: DataFrame, low: str, high: str, size: int) -> DataFram
 
 def window_counts(events: DataFrame, plan: DataFrame) -> DataFrame:
     """AG4, JN8: events per window; events are counted per transaction before they meet the plan."""
-    per_transaction = events.groupBy("capture_instance", "start_lsn").agg(F.count(F.lit(1)).alias("n"))
+    return window_totals(events.groupBy("capture_instance", "start_lsn").agg(F.count(F.lit(1)).alias("events")), plan)
+
+
+def window_totals(per_transaction: DataFrame, plan: DataFrame) -> DataFrame:
+    """AG4, JN8: the same from the number of ``events`` of every transaction; a window without events has no row."""
     return (
-        per_transaction.join(plan, ["capture_instance", "start_lsn"])
+        per_transaction.where("events > 0")
+        .join(plan, ["capture_instance", "start_lsn"])
         .groupBy("capture_instance", "window_id")
-        .agg(F.sum("n").alias("records"))
+        .agg(F.sum("events").alias("records"))
     )
 
 

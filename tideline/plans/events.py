@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.json_values import extend_object, json_line
-from tideline.model import CHANGE_KEY, CapturedTable, Origin
+from tideline.model import CapturedTable, Origin
 from tideline.operators import changes, envelope
 from tideline.operators.skew import GROUP_ROWS_PER_TASK
-from tideline.sources.change_tables import ChangeSource
+from tideline.sources.change_tables import LANDED_COLUMNS, ChangeSource, landed_all
 
 
 def with_commit_time(rows: DataFrame, lsn_time: DataFrame) -> DataFrame:
@@ -56,48 +55,54 @@ def paired_lines(
     sources: Iterable[ChangeSource],
     strict: bool = True,
     hot_rows: int = GROUP_ROWS_PER_TASK,
+    before: bool = False,
 ) -> DataFrame:
     """MS1: events of many tables of any shape in one job, with key and image as JSON objects.
 
-    All tables are paired side by side in their own columns, however many there are: the shuffle moves typed
-    values, only surviving rows are turned into text, and a table's events and their order don't depend on what
-    else is in the run. The plan grows with the number of tables.
+    Every table is brought into one form where it is scanned; then all of them are one DataFrame keyed by
+    ``capture_instance``, with one exchange and one window however many tables there are.
     """
-    sources = list(sources)
-    for source in sources:
-        envelope.check_reserved(source.table)
-    keyed = [changes.with_change_key(s.changes, s.table.has_command_id) for s in sources]
-    keyed = [
-        k.withColumn("capture_instance", F.lit(s.table.capture_instance)) for k, s in zip(keyed, sources, strict=True)
-    ]
-    keys = reduce(DataFrame.unionByName, [k.select(*CHANGE_KEY, "operation") for k in keyed])
-    hot = changes.find_hot(keys, hot_rows)
-    paired = []
-    for rows, source in zip(keyed, sources, strict=True):
-        kept = changes.events(changes.classify_known(rows, source.table.primary_key, hot), strict)
-        key = envelope.key_text(rows, source.table).alias("key")
-        image = envelope.image_text(rows, source.table).alias("image")
-        paired.append(kept.select("capture_instance", *envelope.ORDER, "__op", key, image))
-    return reduce(DataFrame.unionByName, paired)
+    return paired_landed(landed_all(sources, before_images=before), strict, hot_rows, before)
+
+
+def paired_landed(
+    rows: DataFrame, strict: bool = True, hot_rows: int = GROUP_ROWS_PER_TASK, before: bool = False
+) -> DataFrame:
+    """MS1: the same for change rows of many tables that are one DataFrame already (``LANDED_COLUMNS``).
+
+    Rows of a change with equal operations are ordered by the text of their key, then by a hash of the image. With
+    ``before`` each event also has the image that it replaced or deleted.
+    """
+    keyed = changes.with_change_key(rows.select(*LANDED_COLUMNS))
+    kept = changes.events(changes.classify_known(keyed, ("key",), changes.find_hot(keyed, hot_rows), before), strict)
+    columns = ["capture_instance", *envelope.ORDER, "__op", "key", "image"]
+    if before:
+        replaced = F.when(F.col("__op") == "u", F.col("previous.image")).when(F.col("__op") == "d", F.col("image"))
+        columns.append(replaced.alias("before"))
+    return kept.select(*columns)
 
 
 def event_lines(
-    events: DataFrame, origin: Origin, processed_at: datetime, tombstones: bool, key_schemas: bool
+    events: DataFrame, origin: Origin, processed_at: datetime, tombstones: bool, key_schemas: bool, full: bool = False
 ) -> DataFrame:
     """SK1: the text of every event and tombstone, in ``value``.
 
-    ``events`` comes from ``paired_lines`` together with ``source_table``, ``key_schema`` and, if known,
-    ``commit_time``.
+    ``events`` comes from ``paired_lines`` together with ``source_schema``, ``source_table``, ``key_schema`` and, if
+    known, ``commit_time``. ``full`` writes whole envelopes (EN4) and needs the ``before`` images.
     """
-    fields = json_line(
-        [
-            F.col("__op"),
-            F.col("source_table").alias("__table"),
-            envelope.deleted_flag().alias("__deleted"),
-            envelope.source_ts_ms(events, origin, processed_at).alias("__source_ts_ms"),
-        ]
-    )
-    event = extend_object(F.col("image"), fields)
+    if full:
+        after = F.when(F.col("__op") != "d", F.col("image"))
+        event = envelope.full_line(events, origin, processed_at, F.col("before"), after)
+    else:
+        fields = json_line(
+            [
+                F.col("__op"),
+                F.col("source_table").alias("__table"),
+                envelope.deleted_flag().alias("__deleted"),
+                envelope.source_ts_ms(events, origin, processed_at).alias("__source_ts_ms"),
+            ]
+        )
+        event = extend_object(F.col("image"), fields)
     if not tombstones:
         return events.select("*", F.lit(False).alias("tombstone"), event.alias("value"))
     grave = envelope.tombstone_line(F.col("key"), F.col("key_schema") if key_schemas else None)

@@ -13,12 +13,14 @@ from tideline.functions.json_values import json_columns, json_line
 from tideline.model import CHANGE_KEY, ColumnInfo, CapturedTable
 from tideline.operators import changes, envelope, filters, reports, resume, snapshot, windows
 from tideline.plans.events import change_events as typed_events
-from tideline.plans.events import event_lines, paired_lines, with_commit_time
+from tideline.plans.events import event_lines, paired_landed, paired_lines, with_commit_time
+from tideline.plans.incremental import RunOptions, run_incremental
 from tideline.plans.oracle import with_steps
 from tideline.session import new_path, stage
 from tideline.sinks import json_lines, manifest, paths
 from tideline.sources import bookmarks as bookmark_store
-from tideline.sources.change_tables import landed_all, table_facts
+from tideline.sources import landing
+from tideline.sources.change_tables import table_facts
 from tideline.sources.fixtures import ORIGIN, Fixtures
 from tideline.streaming import incremental, pairing
 
@@ -493,15 +495,16 @@ _WINDOW_COUNTS = (
 )
 
 
-def _all_events(f: Fixtures) -> DataFrame:
-    """Events of both tables."""
-    return paired_lines(f.sources).select("capture_instance", "start_lsn")
+def _event_counts(f: Fixtures) -> DataFrame:
+    """Events of every transaction of both tables, counted without pairing them."""
+    counts = [changes.event_counts(s.changes, F.struct(*s.table.primary_key), s.table.has_command_id) for s in f.sources]
+    return counts[0].unionByName(counts[1])
 
 
 @query(_WINDOW_COUNTS)
 def window_counts(f: Fixtures) -> DataFrame:
     """AG4, JN8."""
-    return windows.window_counts(_all_events(f), windows.window_plan(f.both, WINDOW))
+    return windows.window_totals(_event_counts(f), windows.window_plan(f.both, WINDOW))
 
 
 @query(f"SELECT count(*) AS files_written, CAST(sum(records) AS BIGINT) AS total_records FROM ({_WINDOW_COUNTS}) c")
@@ -783,7 +786,7 @@ def window_label(f: Fixtures) -> DataFrame:
 def _written_files(f: Fixtures) -> DataFrame:
     """Windows of both tables with the number of their events, as manifest entries."""
     plan = stage(windows.window_plan(f.both, WINDOW), "window-plan")
-    counts = windows.window_counts(_all_events(f), plan)
+    counts = windows.window_totals(_event_counts(f), plan)
     return counts.join(_bounds(f, plan), ["capture_instance", "window_id"]).select(
         "capture_instance",
         F.lit("dbo").alias("source_schema"),
@@ -934,6 +937,133 @@ def multi_instance_events(f: Fixtures) -> DataFrame:
     )
 
 
+@query(
+    "SELECT start_lsn, seqval, serial, __op, CAST(id AS VARCHAR) AS id, capture_instance FROM ev UNION ALL "
+    "SELECT start_lsn, seqval, CAST(CASE WHEN operation = 4 THEN 2 ELSE 1 END AS BIGINT), "
+    "CASE WHEN operation = 4 THEN 'u' ELSE 'c' END, CAST(id AS VARCHAR), capture_instance FROM ct_orders WHERE operation IN (2, 4)"
+)
+def landed_events(f: Fixtures) -> DataFrame:
+    """MS1: the events of all tables of a landed log, in one plan of fixed size."""
+    path = _landed_log(f)
+    log = landing.open_log(f.spark, path, [s.table for s in f.sources])
+    return paired_landed(log.rows).select(
+        "start_lsn", "seqval", "serial", "__op", F.get_json_object("key", "$.id").alias("id"), "capture_instance"
+    )
+
+
+@query(
+    "SELECT capture_instance, start_lsn, seqval, operation, CAST(id AS VARCHAR) AS id FROM ct WHERE start_lsn BETWEEN "
+    f"'{BOOKMARK}' AND '00000028FFFFFFFFFFFF' UNION ALL SELECT capture_instance, start_lsn, seqval, operation, CAST(id AS VARCHAR) "
+    f"FROM ct_orders WHERE start_lsn BETWEEN '{BOOKMARK}' AND '00000028FFFFFFFFFFFF'"
+)
+def landed_range(f: Fixtures) -> DataFrame:
+    """SC1, PF2: a range of a landed log, from the files that the position index names."""
+    rows = landing.read_range(f.spark, _landed_log(f), BOOKMARK, "00000028FFFFFFFFFFFF")
+    return rows.select("capture_instance", "start_lsn", "seqval", "operation", F.get_json_object("key", "$.id").alias("id"))
+
+
+@query("SELECT capture_instance, min_lsn, max_lsn, change_rows, rows_with_command_id FROM catalog")
+def landed_catalog(f: Fixtures) -> DataFrame:
+    """SC3, SC8, SC9: the catalogue of a landed log, from its index alone."""
+    return landing.landed_catalog(f.spark, _landed_log(f))
+
+
+def _landed_log(f: Fixtures) -> str:
+    """Both tables in one log, landed in two batches."""
+    path = new_path(f.spark, "landed-log")
+    for batch, source in enumerate(f.sources):
+        landing.land([source], path, str(batch))
+    return path
+
+
+# --- full envelopes as output ------------------------------------------------------------------------------
+
+
+_FULL_SCHEMA = (
+    "before struct<id:bigint,value:double,status:string>, after struct<id:bigint,value:double,status:string>, "
+    "source struct<version:string,connector:string,name:string,ts_ms:bigint,ts_us:bigint,ts_ns:bigint,snapshot:boolean,db:string,"
+    "schema:string,table:string,change_lsn:string,commit_lsn:string,event_serial_no:string>, op string, ts_ms bigint, "
+    "ts_us bigint, ts_ns bigint"
+)
+
+
+def _full_columns(rows: DataFrame, *more: str) -> DataFrame:
+    """The fields of full envelopes that were read back, side by side."""
+    return rows.select(F.from_json("value", _FULL_SCHEMA).alias("e"), *more).select(
+        *more,
+        "e.op",
+        F.col("e.before.id").alias("before_id"),
+        F.col("e.before.value").alias("before_value"),
+        F.col("e.before.status").alias("before_status"),
+        F.col("e.after.id").alias("after_id"),
+        F.col("e.after.value").alias("after_value"),
+        F.col("e.after.status").alias("after_status"),
+        *[F.col(f"e.source.{n}").alias(f"source_{n}") for n in ("version", "connector", "name", "ts_ms", "ts_us", "ts_ns")],
+        *[F.col(f"e.source.{n}").alias(f"source_{n}") for n in ("snapshot", "db", "schema", "table")],
+        *[F.col(f"e.source.{n}").alias(n) for n in ("change_lsn", "commit_lsn", "event_serial_no")],
+        *[F.col(f"e.{n}").alias(n) for n in ("ts_ms", "ts_us", "ts_ns")],
+    )
+
+
+def _full_sql(source: str, table: str) -> str:
+    """Columns of a full envelope beside its images, for rows with seqval, start_lsn, serial and commit_time."""
+    micros = "epoch_us(commit_time + INTERVAL 5 HOUR)" if source == "changes" else "CAST(NULL AS BIGINT)"
+    return (
+        f"'3.0.0.Final-simulated' AS source_version, 'sqlserver' AS source_connector, 'server1' AS source_name, "
+        f"{micros} // 1000 AS source_ts_ms, {micros} AS source_ts_us, {micros} * 1000 AS source_ts_ns, false AS source_snapshot, "
+        f"'sales' AS source_db, 'dbo' AS source_schema, '{table}' AS source_table, {_colon('seqval')} AS change_lsn, "
+        f"{_colon('start_lsn')} AS commit_lsn, CAST(serial AS VARCHAR) AS event_serial_no, 1767225600000 AS ts_ms, "
+        "1767225600000000 AS ts_us, 1767225600000000000 AS ts_ns"
+    )
+
+
+_FULL_EVENTS = (
+    "SELECT e.start_lsn, e.seqval, e.serial, commit_time, e.__op AS op, b.id AS before_id, b.value AS before_value, "
+    "CASE WHEN e.__op <> 'd' THEN e.id END AS after_id, CASE WHEN e.__op <> 'd' THEN e.value END AS after_value "
+    "FROM ev e LEFT JOIN lsn_time t ON t.start_lsn = e.start_lsn "
+    "LEFT JOIN kinds b ON b.start_lsn = e.start_lsn AND b.command_key = e.command_key AND b.seqval = e.seqval AND "
+    "(CASE WHEN e.__op = 'u' THEN b.serial = e.serial - 1 WHEN e.__op = 'd' THEN b.serial = e.serial ELSE false END)"
+)
+_FULL_ORDERS = (
+    "SELECT o.start_lsn, o.seqval, CAST(CASE WHEN operation = 4 THEN 2 ELSE 1 END AS BIGINT) AS serial, commit_time, "
+    "CASE WHEN operation = 4 THEN 'u' ELSE 'c' END AS op, CASE WHEN operation = 4 THEN id END AS before_id, "
+    "CASE WHEN operation = 4 THEN 'O' END AS before_status, id AS after_id, status AS after_status "
+    "FROM ct_orders o LEFT JOIN lsn_time t ON t.start_lsn = o.start_lsn WHERE operation IN (2, 4)"
+)
+
+
+@query(
+    "SELECT 'server1.sales.dbo.events' AS topic, op, before_id, before_value, CAST(NULL AS VARCHAR) AS before_status, after_id, "
+    f"after_value, CAST(NULL AS VARCHAR) AS after_status, {_full_sql('changes', 'events')} FROM ({_FULL_EVENTS}) e UNION ALL "
+    "SELECT 'server1.sales.dbo.orders', op, before_id, CAST(NULL AS DOUBLE), before_status, after_id, CAST(NULL AS DOUBLE), "
+    f"after_status, {_full_sql('changes', 'orders')} FROM ({_FULL_ORDERS}) o"
+)
+def full_envelope_json(f: Fixtures) -> DataFrame:
+    """EN4, SK1: a run of both tables with whole envelopes, read back from its files."""
+    path, log = new_path(f.spark, "output"), f.both.select("start_lsn").distinct().join(f.lsn_time, "start_lsn", "left")
+    options = RunOptions(window_size=WINDOW, snapshot_mode="never", envelope="full")
+    run_incremental(f.spark, f.sources, ORIGIN, path, new_path(f.spark, "marks"), log, started_at=PROCESSED_AT, run_id=RUN_ID, options=options)
+    return _full_columns(json_lines.read_complete_lines(f.spark, path), "topic")
+
+
+@query(
+    "SELECT 'r' AS op, CAST(NULL AS BIGINT) AS before_id, CAST(NULL AS DOUBLE) AS before_value, CAST(NULL AS VARCHAR) AS before_status, "
+    "event_id AS after_id, value AS after_value, CAST(NULL AS VARCHAR) AS after_status, "
+    + _full_sql("snapshot", "events")
+    + " FROM (SELECT event_id, value, row_number() OVER (ORDER BY event_id) AS serial, "
+    "'00000001000000010001' AS start_lsn, '00000001000000010001' AS seqval FROM events) s"
+)
+def snapshot_envelope(f: Fixtures) -> DataFrame:
+    """EN4, EN8, WN5, SK3: a full read as whole envelopes, each with its serial."""
+    current = f.table("events").select(F.col("event_id").alias("id"), F.col("event_type").alias("name"), "value")
+    lines = snapshot.snapshot_envelopes(current, f.events_table, ORIGIN, PROCESSED_AT, "00000001000000010001")
+    path = new_path(f.spark, "output")
+    topic = F.lit(ORIGIN.topic(f.events_table)).alias("topic")
+    named = lines.select(topic, F.lit("snapshot").alias("window"), "value")
+    json_lines.write_lines(named, path, RUN_ID, ["topic", "window"], ordered=False)
+    return _full_columns(json_lines.read_all_lines(f.spark, path))
+
+
 # --- streaming ---------------------------------------------------------------------------------------------
 
 

@@ -30,14 +30,24 @@ def run_folder(path: str, run_id: str) -> str:
 
 
 def write_lines(
-    lines: DataFrame, path: str, run_id: str, levels: Sequence[str], compress: bool = True, ordered: bool = True
+    lines: DataFrame,
+    path: str,
+    run_id: str,
+    levels: Sequence[str],
+    compress: bool = True,
+    ordered: bool = True,
+    parts: int | None = None,
 ) -> None:
-    """Write ``value`` below the folder ``levels``. With ``ordered``, ranges of the log order become files.
+    """Write ``value`` below the folder ``levels``, files in log order unless ``ordered`` is off.
 
-    Ranges, unlike hashing by window, also split a window that holds one very large transaction.
+    With ``parts``, each line says in ``part`` which of so many tasks writes it (see ``windows.file_parts``), and lines are
+    read once. Without, Spark samples the lines for ranges of the log order, so they are read twice; ranges also split a window
+    that holds one very large transaction.
     """
     levels = list(levels)
-    if ordered:
+    if parts is not None:
+        lines = lines.repartitionById(parts, "part").sortWithinPartitions(*levels, *LINE_ORDER)
+    elif ordered:
         lines = lines.repartitionByRange(*levels, *LINE_ORDER).sortWithinPartitions(*levels, *LINE_ORDER)
     (
         lines.select(*levels, "value")

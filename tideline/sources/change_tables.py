@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.lsn import from_binary
-from tideline.model import SYSTEM_COLUMNS, CapturedTable, Origin
+from tideline.model import BEFORE_UPDATE, SYSTEM_COLUMNS, CapturedTable, Origin
 from tideline.operators.envelope import check_reserved, image_text, key_schema_text, key_text
 
 # System columns as a change table of the source names them.
@@ -40,6 +40,20 @@ class ChangeSource:
     current: DataFrame | None = None
 
 
+@dataclass(frozen=True)
+class LandedLog:
+    """Change rows of any number of captured tables as one DataFrame (``LANDED_COLUMNS``), keyed by ``capture_instance``.
+
+    A run over it has a plan of the same size however many tables there are. ``catalog`` (see ``capture_catalog``) spares
+    a scan where it is kept beside the rows; ``current`` has the current rows of tables that may need a snapshot.
+    """
+
+    tables: tuple[CapturedTable, ...]
+    rows: DataFrame
+    current: Mapping[str, DataFrame] = field(default_factory=dict)
+    catalog: DataFrame | None = None
+
+
 def from_raw(rows: DataFrame, capture_instance: str) -> DataFrame:
     """Change rows as the source stores them (binary positions, ``__$`` names) in this package's form."""
     types = {f.name: f.dataType for f in rows.schema.fields}
@@ -85,12 +99,18 @@ def read_jdbc(spark: SparkSession, url: str, table: str, bounds: dict | None = N
     return reader.load()
 
 
-def landed(source: ChangeSource) -> DataFrame:
-    """Change rows of one table with key and image as JSON objects, ready to be united with other tables."""
+def landed(source: ChangeSource, before_images: bool = True) -> DataFrame:
+    """Change rows of one table with key and image as JSON objects, ready to be united with other tables.
+
+    Without ``before_images`` the image of an update's first half, which flat events never show, is left out.
+    """
     check_reserved(source.table)
     rows = source.changes
     has_command = source.table.has_command_id and "command_id" in rows.columns
     command = F.col("command_id") if has_command else F.lit(None)
+    image = image_text(rows, source.table)
+    if not before_images:
+        image = F.when(~F.col("operation").eqNullSafe(BEFORE_UPDATE), image)
     return rows.select(
         F.lit(source.table.capture_instance).alias("capture_instance"),
         "start_lsn",
@@ -98,13 +118,16 @@ def landed(source: ChangeSource) -> DataFrame:
         command.cast("int").alias("command_id"),
         "operation",
         key_text(rows, source.table).alias("key"),
-        image_text(rows, source.table).alias("image"),
+        image.alias("image"),
     )
 
 
-def landed_all(sources: Iterable[ChangeSource]) -> DataFrame:
-    """MS1: all captured tables of a source as one table, so one job pairs them in parallel."""
-    return reduce(DataFrame.unionByName, [landed(s) for s in sources])
+def landed_all(sources: Iterable[ChangeSource], before_images: bool = True) -> DataFrame:
+    """MS1: all captured tables of a source as one table keyed by ``capture_instance``.
+
+    Each table adds its scan and one projection; whatever follows is one plan for all of them.
+    """
+    return reduce(DataFrame.unionByName, [landed(s, before_images) for s in sources])
 
 
 def table_facts(spark: SparkSession, tables: Sequence[CapturedTable], origin: Origin) -> DataFrame:
