@@ -46,7 +46,7 @@ SAMPLE, MOST_CELLS = 400_000, 6_000
 #: Words that the driver sees to place the borders of cells, and how many cells it makes at most (the borders that are
 #: broadcast are no more than that); beyond ``CELL * MOST_CELLS`` words, cells are cut into blocks.
 
-LEAF = 24
+LEAF = 96
 _LETTERS = 26 + 64
 _LOWER = str.maketrans({chr(65 + k): chr(97 + k) for k in range(26)})
 # a-z and then the upper half of Latin-1, in code-point order.
@@ -174,16 +174,42 @@ class Tree:
 _SLACK = {0: (1, 1), 1: (1, 0), -1: (0, 1)}
 
 
+_ONES = np.uint64(0x0101010101010101)
+_LOW, _HIGH = _ONES * np.uint64(0x7F), _ONES * np.uint64(0x80)
+
+
+def _packed(letters: np.ndarray) -> list[np.ndarray]:
+    """Eight letters to a number, the first in the lowest byte."""
+    wide = np.zeros((len(letters), -(-letters.shape[1] // 8) * 8), np.uint8)
+    wide[:, : letters.shape[1]] = letters
+    return list(wide.view("<u8").T)
+
+
+def _unlike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The top bit of each byte in which ``a`` (rows) and ``b`` (columns) differ."""
+    x = a[:, None] ^ b[None, :]
+    return (((x & _LOW) + _LOW) | x) & _HIGH
+
+
 def _one_edit(asked: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Which of ``asked`` (rows) and ``known`` (columns) are one edit apart."""
     k, m = asked.shape[1], known.shape[1]
-    a, b = asked[:, None, :], known[None, :, :]
     if k == m:
-        return (a != b).sum(axis=2) == 1
-    long, short, size = (a, b, m) if k > m else (b, a, k)
-    head = np.logical_and.accumulate(long[..., :-1] == short, axis=2).sum(axis=2)
-    tail = np.logical_and.accumulate((long[..., 1:] == short)[..., ::-1], axis=2).sum(axis=2)
-    return head + tail >= size
+        return sum(np.bitwise_count(_unlike(a, b)) for a, b in zip(_packed(asked), _packed(known), strict=True)) == 1
+    # The letters before the place of the extra one agree from the start, those after it from the end.
+    if k > m:
+        heads, tails = ((_packed(x), _packed(known)) for x in (asked[:, :-1], asked[:, 1:]))
+    else:
+        heads, tails = ((_packed(asked), _packed(x)) for x in (known[:, :-1], known[:, 1:]))
+    good, seen = np.ones((len(asked), len(known)), bool), np.zeros((len(asked), len(known)), bool)
+    for head, tail in zip(zip(*heads, strict=True), zip(*tails, strict=True), strict=True):
+        from_start, from_end = _unlike(*head), _unlike(*tail)
+        here = from_start != 0
+        # Behind the first letter that differs from the start, and at it, none may differ from the end.
+        first = from_start & (~from_start + np.uint64(1))
+        good &= np.where(seen, from_end == 0, ~here | (from_end < first))
+        seen |= here
+    return good
 
 
 def _keys(letters: np.ndarray, place: bool) -> Iterator[tuple[int, tuple[int, bytes]]]:
@@ -229,7 +255,7 @@ class Cell:
                 left.append(rows[at])
                 right.append(members[to])
                 continue
-            step = max(1, 4_000_000 // (len(members) * self.points.size))
+            step = max(1, 200_000 // len(members))
             for begin in range(0, len(rows), step):
                 part = rows[begin : begin + step]
                 at, to = np.nonzero(_one_edit(asked.letters[part], self.points.letters[members]))
