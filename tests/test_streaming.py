@@ -136,3 +136,94 @@ def test_flush_brings_out_every_change_and_lists_late_rows(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out" / "events")).collect()
     assert sorted((r["id"], r["__op"]) for r in got) == [(1, "c"), (2, "c"), (3, "c"), (4, "c"), (5, "c"), (6, "d"), (7, "u")]
     assert sorted((r["id"], r["operation"]) for r in spark.read.parquet(str(tmp_path / "out" / "late")).collect()) == [(6, 1), (6, 2)]
+
+
+def held_bytes(folder):
+    return {p.name: sum(f.stat().st_size for f in p.glob("part-*")) for p in (folder / "segments").iterdir() if p.is_dir()}
+
+
+def test_open_transaction_is_written_once(spark, tmp_path):
+    """A large transaction stays open over 20 batches: its rows lie in one segment, which no later batch writes again."""
+    schema = SCHEMA.rsplit(",", 1)[0]
+    big = spark.range(20_000).select(
+        F.lit("t").alias("capture_instance"), F.lit("F" * 20).alias("start_lsn"), F.format_string("%020X", "id").alias("seqval"),
+        F.lit(1).alias("command_id"), F.lit(2).alias("operation"), F.col("id").cast("int"), F.sha2(F.col("id").cast("string"), 256).alias("name"),
+        F.lit("x").alias("email"),
+    )
+    sink = incremental.TransactionSink(
+        str(tmp_path / "out"), lambda rows: changes.events(changes.classify(rows, ("id",))), incremental.before_newest, most_segments=4
+    )
+    sink(big, 0)
+    first = held_bytes(tmp_path / "out")["batch_id=0"]
+    written = 0
+    for batch in range(1, 21):
+        one = spark.createDataFrame([("t", f"{batch:020X}", "0" * 20, 1, 2, batch, "a", "x")], schema)
+        for _ in range(2 if batch in (3, 20) else 1):
+            sink(one, batch)
+        written += held_bytes(tmp_path / "out")[f"batch_id={batch}"]
+    assert first > 500_000 and written < first / 5
+    assert set(held_bytes(tmp_path / "out")) == {"batch_id=0", "batch_id=20"}
+    index = sink.open_transactions(spark, 20).collect()
+    assert [(r["start_lsn"], r["rows"], r["segments"]) for r in index] == [("F" * 20, 20_000, [0])]
+    sink.flush(spark, big.schema, 20, "F" * 20)
+    assert sink.events(spark).count() == 20_020 and sink.open_transactions(spark, 21).count() == 0
+
+
+def test_many_segments_are_gathered(spark, tmp_path):
+    """A transaction that grows in every batch is gathered when it lies in too many segments; nothing is lost or doubled."""
+    schema = SCHEMA.rsplit(",", 1)[0]
+    sink = incremental.TransactionSink(
+        str(tmp_path / "out"), lambda rows: changes.events(changes.classify(rows, ("id",))), incremental.before_newest, most_segments=3
+    )
+    for batch in range(8):
+        rows = [("t", "F" * 20, f"{batch:020X}", 1, 2, batch, "a", "x"), ("t", f"{batch:020X}", "0" * 20, 1, 2, 100 + batch, "a", "x")]
+        for _ in range(1 + batch % 2):
+            sink(spark.createDataFrame(rows, schema), batch)
+        assert len(sink.open_transactions(spark, batch).first()["segments"]) <= 3
+    sink.flush(spark, spark.createDataFrame([], schema).schema, 7, "F" * 20)
+    assert sorted(r["id"] for r in sink.events(spark).collect()) == [*range(8), *range(100, 108)]
+
+
+def test_watermark_splits_late_rows_off_and_flush_brings_out_the_rest(spark, tmp_path):
+    from datetime import timedelta
+
+    from tideline.streaming.watermark import WatermarkSink
+
+    def row(number, day, operation=2, name="a"):
+        time = None if day is None else datetime(2024, 1, 1) + timedelta(days=day)
+        return ("t", f"{number:020X}", "0" * 20, 1, operation, number, name, "x", time)
+
+    def frame(*rows):
+        return spark.createDataFrame(list(rows), SCHEMA)
+
+    pair = lambda rows: changes.events(changes.classify(rows.drop("commit_time"), ("id",)))
+    sink = WatermarkSink(str(tmp_path / "out"), pair, timedelta(days=10))
+    batches = [
+        frame(row(1, 0), row(2, 50), row(6, 1, 1)),
+        frame(row(4, 90), row(7, None, 3), row(7, None, 4, "b"), row(8, 48, 1)),
+        frame(row(3, 1), row(5, 91), row(6, 1, 2)),
+        frame(),
+    ]
+    for n, batch in enumerate(batches):
+        for _ in range(1 + n % 2):
+            sink(batch, n)
+    assert sorted(r["id"] for r in sink.events(spark).collect()) == [1, 2, 6, 8]
+    assert sorted((r["batch_id"], r["id"]) for r in sink.late_rows(spark).collect()) == [(2, 3), (2, 6)]
+    assert [tuple(r) for r in sink.late_counts(spark).collect()] == [(2, "t", 2)]
+    for _ in range(2):
+        sink.flush(spark, batches[0].schema, 3)
+    got = sorted((r["id"], r["__op"]) for r in sink.events(spark).collect())
+    assert got == [(1, "c"), (2, "c"), (3, "c"), (4, "c"), (5, "c"), (6, "d"), (7, "u"), (8, "d")]
+    assert sorted((r["batch_id"], r["id"]) for r in sink.late_rows(spark).collect()) == [(2, 3), (2, 6)]
+
+
+def test_watermark_sink_without_rows(spark, tmp_path):
+    from datetime import timedelta
+
+    from tideline.streaming.watermark import WatermarkSink
+
+    sink = WatermarkSink(str(tmp_path / "out"), lambda rows: changes.events(changes.classify(rows.drop("commit_time"), ("id",))), timedelta(days=1))
+    empty = spark.createDataFrame([], SCHEMA)
+    sink(empty, 0)
+    sink.flush(spark, empty.schema, 0)
+    assert sink.events(spark).count() == sink.late_rows(spark).count() == 0

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tideline.functions import lsn, times
 from tideline.functions.json_values import json_columns, json_line
@@ -22,7 +23,7 @@ from tideline.sources import bookmarks as bookmark_store
 from tideline.sources import landing
 from tideline.sources.change_tables import table_facts
 from tideline.sources.fixtures import ORIGIN, Fixtures
-from tideline.streaming import incremental, pairing
+from tideline.streaming import incremental, pairing, watermark
 
 PROCESSED_AT = datetime(2026, 1, 1, tzinfo=timezone.utc)
 STARTED_AT = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
@@ -1091,39 +1092,69 @@ def stream_transactions(f: Fixtures) -> DataFrame:
     return sink.events(f.spark).select(*CHANGE_KEY, *_STREAM_COLUMNS)
 
 
-@query(
-    "SELECT e.capture_instance, e.start_lsn, command_key, seqval, serial, kind, id, name, value, __op FROM ev e "
-    "JOIN lsn_time t ON t.start_lsn = e.start_lsn "
-    "WHERE commit_time <= (SELECT max(commit_time) FROM lsn_time) - INTERVAL 11 DAY"
-)
+@query(_STREAM)
 def stream_pairs(f: Fixtures) -> DataFrame:
-    """SS3: the second half of every change arrives one file (ten days) after the first.
+    """SS3: the second half of every change arrives one file (ten days) after the first; all changes come out.
 
-    Changes newer than the watermark (eleven days behind the newest commit) stay open.
+    The watermark stays eleven days behind the newest commit. Changes without a commit time and those that it has not passed
+    when the stream ends are closed by the flush.
     """
-    sink, _ = _paired_stream(f, f.ct.join(f.lsn_time, "start_lsn"))
-    return f.spark.read.parquet(f"{sink.path}/events").select(*CHANGE_KEY, *_STREAM_COLUMNS)
+    sink, schema, last_batch = _watermarked_stream(f, timedelta(days=11), strict=True)
+    sink.flush(f.spark, schema, last_batch)
+    return sink.events(f.spark).select(*CHANGE_KEY, *_STREAM_COLUMNS)
+
+
+_ARRIVALS = (
+    "SELECT ct.*, commit_time, least(coalesce(date_diff('day', (SELECT min(commit_time) FROM lsn_time), commit_time), 0) // 10, 2) "
+    "+ CASE WHEN operation IN (2, 4) THEN 1 ELSE 0 END AS batch FROM ct LEFT JOIN lsn_time t ON t.start_lsn = ct.start_lsn"
+)
+
+
+@query(
+    f"SELECT CAST(batch AS BIGINT) AS batch, capture_instance, start_lsn, seqval, operation, id FROM ({_ARRIVALS}) a WHERE commit_time <= "
+    f"(SELECT max(b.commit_time) FROM ({_ARRIVALS}) b WHERE b.batch < a.batch) - INTERVAL 5 DAY"
+)
+def stream_late_rows(f: Fixtures) -> DataFrame:
+    """SS5: with a watermark five days behind, the halves that come a file later are late; the stream tells them apart."""
+    sink, _, _ = _watermarked_stream(f, timedelta(days=5), strict=False)
+    batch = F.col("batch_id").cast("bigint").alias("batch")
+    return sink.late_rows(f.spark).select(batch, "capture_instance", "start_lsn", "seqval", "operation", "id")
 
 
 @query(_STREAM)
 def stream_pairs_flushed(f: Fixtures) -> DataFrame:
-    """SS3: as ``stream_pairs``, but with all changes: those without a commit time and those open at the end too."""
+    """SS3: the same with the state of Spark's own watermark, flushed from the landed table."""
     sink, last_batch = _paired_stream(f, f.ct.join(f.lsn_time, "start_lsn", "left"))
     sink.flush(last_batch)
     return f.spark.read.parquet(f"{sink.path}/events").select(*CHANGE_KEY, *_STREAM_COLUMNS)
 
 
-def _paired_stream(f: Fixtures, timed: DataFrame) -> tuple[pairing.PairingSink, int]:
+def _watermarked_stream(f: Fixtures, delay: timedelta, strict: bool) -> tuple[watermark.WatermarkSink, StructType, int]:
+    landing, schema = _halves_apart(f.ct.join(f.lsn_time, "start_lsn", "left"))
+    pair = lambda rows: changes.events(changes.classify(rows.drop("commit_time"), ("id",)), strict)
+    sink = watermark.WatermarkSink(new_path(f.spark, "stream"), pair, delay)
+    stream = incremental.read_change_stream(f.spark, landing, schema, files_per_batch=1)
+    done = incremental.run_available(stream, sink, new_path(f.spark, "stream-checkpoint"))
+    return sink, schema, done.lastProgress["batchId"]
+
+
+def _halves_apart(timed: DataFrame) -> tuple[str, StructType]:
+    """Land change rows as four files; the second half of every change comes one file (ten days) after the first."""
     timed = timed.withColumn("commit_time", F.col("commit_time").cast("timestamp"))
     first = timed.agg(F.min("commit_time")).first()[0]
     age = F.coalesce(F.datediff("commit_time", F.lit(first)), F.lit(0))
     arrival = F.least(F.floor(age / 10), F.lit(2)) + F.col("operation").isin(2, 4).cast("int")
-    landing = new_path(f.spark, "landing")
+    landing = new_path(timed.sparkSession, "landing")
     for part in range(4):
         timed.where(arrival == part).coalesce(1).write.mode("append").parquet(landing)
-    landed = f.spark.read.schema(timed.schema).parquet(landing)
+    return landing, timed.schema
+
+
+def _paired_stream(f: Fixtures, timed: DataFrame) -> tuple[pairing.PairingSink, int]:
+    landing, schema = _halves_apart(timed)
+    landed = f.spark.read.schema(schema).parquet(landing)
     sink = pairing.PairingSink(new_path(f.spark, "stream"), landed, ("id",))
-    stream = incremental.read_change_stream(f.spark, landing, timed.schema, files_per_batch=1)
+    stream = incremental.read_change_stream(f.spark, landing, schema, files_per_batch=1)
     done = incremental.run_available(
         pairing.open_changes(stream, ("id",), "11 days"), sink, new_path(f.spark, "stream-checkpoint")
     )

@@ -73,6 +73,14 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def numbers(spark: SparkSession, path: str) -> list[int]:
+    """The ``n`` of all folders ``…=n`` directly below a folder, none if it does not exist."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.split("=", 1)[-1].isdigit() and "=" in n)
+
+
 def small_side(rows: DataFrame, label: str, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Stage a helper table and broadcast it only when its counted rows are within ``limit``."""
     table = stage(rows, label)

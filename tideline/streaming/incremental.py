@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
-# Decides, for the rows of a batch and those held so far, which transactions are complete.
+from tideline.session import numbers, remove, small_side, stage, staging
+
+# Decides which of the open transactions (``start_lsn`` and how many ``rows`` there are so far) are complete.
 Ready = Callable[[DataFrame], Column]
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -38,28 +40,87 @@ def before_newest(rows: DataFrame) -> Column:
 class TransactionSink:
     """``foreachBatch`` target that holds incomplete transactions back for a later batch.
 
-    Batch ``n`` reads the rows held by batch ``n - 1`` and overwrites its own ``held`` and ``events``
-    folders, so a batch that is repeated after a failure replaces its earlier attempt.
+    Held rows lie in segments: batch ``n`` appends the rows of transactions that stay open to ``segments/batch_id=n``, once.
+    ``open/batch_id=n`` is the index after the batch: one row for each open transaction with its position, its rows so far
+    and the segments that have some of them. A transaction that is closed is read from its segments and leaves the index;
+    no row is moved. Segments that the index no longer names are removed a batch later, and when more than
+    ``most_segments`` are in use their open rows are gathered in the newest one.
+
+    Batch ``n`` reads only what batch ``n - 1`` left and overwrites folders of its own number, so a batch that is repeated
+    after a failure replaces its earlier attempt. ``ready`` sees the index, not the rows.
     """
 
-    def __init__(self, path: str, transform: Transform, ready: Ready) -> None:
-        self.path, self.transform, self.ready = path, transform, ready
+    def __init__(self, path: str, transform: Transform, ready: Ready, most_segments: int = 64) -> None:
+        self.path, self.transform, self.ready, self.most_segments = path, transform, ready, most_segments
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self._handle(batch, batch_id, self.ready)
 
     def _handle(self, batch: DataFrame, batch_id: int, ready: Ready) -> None:
-        earlier = self._held(batch.sparkSession, batch_id - 1, batch.schema)
-        rows = batch if earlier is None else batch.unionByName(earlier)
-        complete = ready(rows)
-        rows.where(~complete).write.mode("overwrite").parquet(f"{self.path}/held/batch_id={batch_id}")
-        done = self.transform(rows.where(complete))
-        done.write.mode("overwrite").parquet(f"{self.path}/events/batch_id={batch_id}")
-
-    def _held(self, spark: SparkSession, batch_id: int, schema: T.StructType) -> DataFrame | None:
+        spark = batch.sparkSession
+        with staging(spark):
+            earlier = self.open_transactions(spark, batch_id - 1)
+            index = stage(self._with_arrived(earlier, batch, batch_id), "open-transactions")
+            complete = ready(index)
+            held = self._held(spark, earlier.where(complete), batch.schema)
+            rows = batch.where(complete)
+            rows = rows if held is None else rows.unionByName(held)
+            self.transform(rows).write.mode("overwrite").parquet(f"{self.path}/events/batch_id={batch_id}")
+            self._keep(batch.where(~complete), index.where(~complete), earlier, complete, batch_id)
+        self._remove_unused(spark, batch_id)
+
+    def _with_arrived(self, earlier: DataFrame, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The index with the rows of this batch counted in."""
+        arrived = batch.groupBy("start_lsn").agg(F.count(F.lit(1)).alias("rows"), *self._facts())
+        arrived = arrived.withColumn("segments", F.array(F.lit(batch_id).cast("bigint")))
+        merged = earlier.unionByName(arrived).groupBy("start_lsn")
+        segments = F.array_sort(F.array_distinct(F.flatten(F.collect_list("segments"))))
+        return merged.agg(F.sum("rows").alias("rows"), segments.alias("segments"), *self._facts())
+
+    def _facts(self) -> list[Column]:
+        """More columns of the index: aggregates over columns that rows and index share."""
+        return []
+
+    def _index_schema(self) -> str:
+        return "start_lsn string, rows bigint, segments array<bigint>"
+
+    def _keep(self, rows: DataFrame, index: DataFrame, earlier: DataFrame, complete: Column, batch_id: int) -> None:
+        """Append the open rows of the batch, and write the index that names them."""
+        spark = rows.sparkSession
+        # Segments are numbers of batches, a few of them.
+        used = [r[0] for r in index.select(F.explode("segments")).distinct().collect()]
+        if len(used) > self.most_segments:
+            held = self._held(spark, earlier.where(~complete), rows.schema)
+            rows = rows if held is None else rows.unionByName(held)
+            index = index.withColumn("segments", F.array(F.lit(batch_id).cast("bigint")))
+        rows.write.mode("overwrite").parquet(f"{self.path}/segments/batch_id={batch_id}")
+        index.write.mode("overwrite").parquet(f"{self.path}/open/batch_id={batch_id}")
+
+    def open_transactions(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The index that a batch has left."""
         if batch_id < 0:
+            return spark.createDataFrame([], self._index_schema())
+        return spark.read.schema(self._index_schema()).parquet(f"{self.path}/open/batch_id={batch_id}")
+
+    def _held(self, spark: SparkSession, transactions: DataFrame, schema: T.StructType) -> DataFrame | None:
+        """The held rows of some open transactions, from the segments that have them; None if there are none."""
+        segments = [r[0] for r in transactions.select(F.explode("segments")).distinct().collect()]
+        if not segments:
             return None
-        return spark.read.schema(schema).parquet(f"{self.path}/held/batch_id={batch_id}")
+        low, high = transactions.agg(F.min("start_lsn"), F.max("start_lsn")).first()
+        rows = spark.read.schema(schema).parquet(*[f"{self.path}/segments/batch_id={n}" for n in sorted(segments)])
+        wanted = small_side(transactions.select("start_lsn"), "wanted-transactions")
+        return rows.where(F.col("start_lsn").between(low, high)).join(wanted, "start_lsn", "left_semi").select(*schema.names)
+
+    def _remove_unused(self, spark: SparkSession, batch_id: int) -> None:
+        """Drop segments and indexes that neither the next batch nor a repetition of this one reads."""
+        needed = set()
+        for n in (batch_id - 1, batch_id):
+            needed |= {r[0] for r in self.open_transactions(spark, n).select(F.explode("segments")).distinct().collect()}
+        for name, keep in (("segments", needed | {batch_id}), ("open", {batch_id - 1, batch_id})):
+            for n in numbers(spark, f"{self.path}/{name}"):
+                if n < batch_id and n not in keep:
+                    remove(spark, f"{self.path}/{name}/batch_id={n}")
 
     def flush(self, spark: SparkSession, schema: T.StructType, last_batch: int, ceiling: str) -> None:
         """After a stream has stopped for good: handle what is still held, up to a ceiling.
