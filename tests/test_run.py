@@ -11,7 +11,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tideline.errors import LogGap, MissingPosition, MissingRows, MissingTable, OrderingNotReady
+from tideline.errors import BookmarkConflict, LogGap, MissingPosition, MissingRows, MissingTable, OrderingNotReady
 from tideline.model import CapturedTable, Origin
 from tideline.operators.resume import freeze_ceiling
 from tideline.plans.events import change_events, paired_lines
@@ -167,7 +167,7 @@ def test_failed_run_is_cleaned_and_may_be_repeated(spark, fixtures, folders):
 
 
 def test_failed_bookmark_save_hides_the_run(spark, fixtures, folders, monkeypatch):
-    def broken(*_):
+    def broken(*_, **__):
         raise OSError("no space")
 
     with monkeypatch.context() as patched:
@@ -179,6 +179,36 @@ def test_failed_bookmark_save_hides_the_run(spark, fixtures, folders, monkeypatc
     assert json_lines.read_complete_lines(spark, folders[0]).count() == result.total_records
 
 
+def test_runs_that_overlap_do_not_both_win(spark, fixtures, folders, monkeypatch):
+    """Two runs plan from the same bookmarks: of the same tables one is taken back, of different tables both count."""
+    names = ["dbo_events", "dbo_orders"]
+    options = [replace(QUIET, include=(n,)) for n in names]
+    plain = store.save_bookmarks
+
+    def second_first(rows, path, base):
+        with monkeypatch.context() as again:
+            again.setattr("tideline.sources.bookmarks.save_bookmarks", plain)
+            for n, other in enumerate(others):
+                run(spark, fixtures, folders, options=other, run_id=f"inner{n}", lsn_time=fixtures.log)
+        return plain(rows, path, base)
+
+    with monkeypatch.context() as patched:
+        patched.setattr("tideline.sources.bookmarks.save_bookmarks", second_first)
+        others = [options[1]]
+        first = run(spark, fixtures, folders, options=options[0], run_id="outer", lsn_time=fixtures.log)
+    assert {r["capture_instance"] for r in store.load_bookmarks(spark, folders[1]).collect()} == set(names)
+    ids = {r["run_id"] for r in json_lines.read_complete_lines(spark, folders[0]).collect()}
+    assert ids == {"outer", "inner0"} and first.total_records == 1100
+    other = (folders[0] + "2", folders[1] + "2")
+    folders = other
+    with monkeypatch.context() as patched:
+        patched.setattr("tideline.sources.bookmarks.save_bookmarks", second_first)
+        others = [options[0]]
+        with pytest.raises(BookmarkConflict, match="dbo_events"):
+            run(spark, fixtures, other, options=options[0], run_id="outer", lsn_time=fixtures.log)
+    assert {r["run_id"] for r in json_lines.read_complete_lines(spark, other[0]).collect()} == {"inner0"}
+
+
 def test_run_ids_stay_text_and_prune_the_scan(spark, fixtures, folders):
     result = run(spark, fixtures, folders, run_id="007", lsn_time=fixtures.log)
     lines = json_lines.read_complete_lines(spark, folders[0])

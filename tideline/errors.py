@@ -25,6 +25,10 @@ class ReservedColumn(ChangeDataError):
     """A captured column carries the name of a metadata field."""
 
 
+class BookmarkConflict(ChangeDataError):
+    """Another run has moved the same bookmarks, or holds the next version without finishing it."""
+
+
 class MissingRows(ChangeDataError):
     """A snapshot is due, but the run was given no current rows of the table."""
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideline.functions.lsn import following
 from tideline.operators.extents import lsn_extent
 from tideline.operators.skew import number_rows
+from tideline.session import numbers, stage
 
 # Fixed value: default number of transactions per window.
 WINDOW_SIZE = 5000
@@ -30,6 +31,51 @@ def window_plan(rows: DataFrame, size: int = WINDOW_SIZE) -> DataFrame:
     return numbered.select("capture_instance", "start_lsn", window.alias("window_id"))
 
 
+class WindowLedger:
+    """WN1, WN2 over runs: a window plan that goes on where the last run left it.
+
+    ``plan/batch=n`` has the positions that batch ``n`` numbered, ``ends/batch=n`` the last position of each table and how
+    many were numbered up to it. A batch reads only the ends of those before it, and sorts only positions above them; positions at
+    or below an end are known or late, and late ones no run reads (see ``late_rows``). A repeated batch replaces itself.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, size: int = WINDOW_SIZE) -> None:
+        self.spark, self.path, self.size = spark, path, size
+
+    def ends(self, before: int) -> DataFrame:
+        """The last numbered position of every table and its number, as the batches before one have left them."""
+        schema = "capture_instance string, last_lsn string, numbered bigint, batch bigint"
+        if not [n for n in numbers(self.spark, f"{self.path}/ends") if n < before]:
+            return self.spark.createDataFrame([], "capture_instance string, last_lsn string, numbered bigint")
+        rows = self.spark.read.schema(schema).parquet(f"{self.path}/ends").where(F.col("batch") < before)
+        last = F.max(F.struct("numbered", "last_lsn"))
+        return rows.groupBy("capture_instance").agg(last.alias("e")).select("capture_instance", "e.last_lsn", "e.numbered")
+
+    def extend(self, rows: DataFrame, batch: int) -> DataFrame:
+        """Number the positions of ``rows`` that are above the stored ends; returns the plan of this batch."""
+        known = stage(self.ends(batch), "window-ends")  # one row per table
+        fresh = distinct_positions(rows).join(F.broadcast(known), "capture_instance", "left")
+        fresh = fresh.where("last_lsn IS NULL OR start_lsn > last_lsn").select(
+            "capture_instance", "start_lsn", F.coalesce("numbered", F.lit(0)).alias("__before")
+        )
+        numbered = number_rows(fresh, ["capture_instance"], ["start_lsn"], "__n", unique=True)
+        n = F.col("__before") + F.col("__n")
+        window = F.call_function("div", n - 1, F.lit(self.size).cast("bigint"))
+        plan = numbered.select("capture_instance", "start_lsn", window.alias("window_id"), n.alias("number"))
+        plan.write.mode("overwrite").parquet(f"{self.path}/plan/batch={batch}")
+        written = self.spark.read.schema(plan.schema).parquet(f"{self.path}/plan/batch={batch}")
+        ends = lsn_extent(written, ["capture_instance"], added=F.lit(1).cast("bigint")).join(F.broadcast(known), "capture_instance", "left")
+        ends.select(
+            "capture_instance", F.col("max_lsn").alias("last_lsn"), (F.coalesce("numbered", F.lit(0)) + F.col("added")).alias("numbered")
+        ).write.mode("overwrite").parquet(f"{self.path}/ends/batch={batch}")
+        return written.drop("number")
+
+    def plan(self) -> DataFrame:
+        """The window of every position numbered so far."""
+        schema = "capture_instance string, start_lsn string, window_id bigint"
+        return self.spark.read.schema(schema).parquet(f"{self.path}/plan").drop("batch")
+
+
 def sized_plan(rows: DataFrame, size: int = WINDOW_SIZE) -> DataFrame:
     """WN1 with the change rows of every transaction, in ``rows``."""
     sizes = rows.groupBy("capture_instance", "start_lsn").agg(F.count(F.lit(1)).alias("rows"))

@@ -187,7 +187,8 @@ class _Run:
     def execute(self, bookmark_path: str, ceiling: str | None, low_watermarks: DataFrame | None, mode: str) -> Row:
         options = self.options
         ceiling = ceiling or resume.freeze_ceiling(self.lsn_time)
-        old = bookmark_store.load_bookmarks(self.spark, bookmark_path)
+        base = bookmark_store.newest_version(self.spark, bookmark_path)
+        old = bookmark_store.load_bookmarks(self.spark, bookmark_path, base)
         plan = self._plan(old, ceiling, low_watermarks)
         if self._published():
             raise ValueError(f"run {self.run_id} was published before; give a new run id")
@@ -214,7 +215,7 @@ class _Run:
         ).first()
         if options.commit_bookmarks:
             try:
-                bookmark_store.save_bookmarks(new, bookmark_path)
+                bookmark_store.save_bookmarks(new, bookmark_path, base)
             except Exception:
                 # The next run would read the same changes again: this one must not stay visible beside it.
                 if options.cleanup_failed:

@@ -475,6 +475,15 @@ def window_plan(f: Fixtures) -> DataFrame:
     return windows.window_plan(f.both, WINDOW)
 
 
+@query("SELECT * FROM windowed")
+def window_plan_continued(f: Fixtures) -> DataFrame:
+    """WN1 over two runs: the second numbers only the positions above those of the first."""
+    ledger = windows.WindowLedger(f.spark, new_path(f.spark, "windows"), WINDOW)
+    ledger.extend(f.both.where(F.col("start_lsn") <= BOOKMARK), 0)
+    ledger.extend(f.both, 1)
+    return ledger.plan()
+
+
 def _bounds(f: Fixtures, plan: DataFrame | None = None) -> DataFrame:
     starts = resume.low_watermarks(f.both).withColumnRenamed("min_lsn", "resume_lsn")
     return windows.window_bounds(windows.window_plan(f.both, WINDOW) if plan is None else plan, starts)
