@@ -9,7 +9,8 @@ classes of their own and the remainder one class. The probability of a token is
 own, and scores a class by the product with the class's vector, plus its bias. Training is noise-contrastive: each
 pair of context and class, as often as the whole training text has it, is to be told from ``NOISE`` pairs whose class
 comes from the class frequencies. Nothing is drawn: each pass takes every counted pair with its count and every noise pair
-with its expected number, and passes go on until one no longer lowers the loss by a share of ``ENOUGH``. Counts of all
+with its expected number. The loss may rise for a pass; passes go on until ``PATIENCE`` of them have not lowered the least loss by
+a share of ``ENOUGH``, and the parameters of the least loss count. Counts of all
 pairs are summed up by Spark and are at most ``CLASSES`` ** (``CONTEXT`` + 1) numbers, whatever the input, so the fit is
 one numpy program over all training tokens. The number of classes is fixed and does not grow with the text; words in a
 class share its context scores. Scores are normalised
@@ -55,8 +56,8 @@ RATE = 0.05
 PART = 1024
 #: Contexts whose scores are held at once.
 
-ENOUGH = 1e-5
-#: Training ends when a pass over all pairs lowers the loss by less than this share.
+ENOUGH, PATIENCE = 2e-4, 8
+#: Training ends when so many passes over all pairs together lower the least loss by less than this share.
 
 END = b""
 #: The end mark; no word is empty.
@@ -162,8 +163,8 @@ def fitted(gram: np.ndarray, n: np.ndarray, seed: int = 1) -> np.ndarray:
     seen, row = np.unique(gram // CLASSES, return_inverse=True)
     column, weight = gram % CLASSES, np.bincount(row, weights=share, minlength=len(seen))
     parts = [(begin, min(begin + PART, len(seen))) for begin in range(0, len(seen), PART)]
-    last = np.inf
-    while parts:
+    least, mark, waited, best = np.inf, np.inf, 0, [p.copy() for p in params]
+    while parts and waited < PATIENCE:
         loss, steps = 0.0, [np.zeros_like(p) for p in params]
         for begin, end in parts:
             context = [seen[begin:end] // CLASSES**k % CLASSES for k in range(CONTEXT)]
@@ -174,21 +175,26 @@ def fitted(gram: np.ndarray, n: np.ndarray, seed: int = 1) -> np.ndarray:
             low, high = np.searchsorted(row, [begin, end])
             true[row[low:high] - begin, column[low:high]] = share[low:high]
             false = weight[begin:end, None] * (NOISE * noise)
-            loss += float((true * np.log1p(np.exp(-score)) + false * np.log1p(np.exp(score))).sum())
+            away = np.exp(-score)
+            soft = np.log1p(away)
+            loss += float((true * soft + false * (score + soft)).sum())
             # The gradient of the two-way decision: pairs of the text by their count, noise pairs by what is expected of them.
-            slope = true - (true + false) / (1 + np.exp(-score))
+            slope = true - (true + false) / (1 + away)
             to_guess = slope @ wanted
             steps[1] += slope.T @ guess
             steps[3] += slope.sum(axis=0)
             for k in range(CONTEXT):
                 steps[2][k] += vectors[k].T @ to_guess
                 np.add.at(steps[0], context[k], to_guess @ through[k].T)
-        if not loss < last * (1 - ENOUGH):
-            break
-        last = loss
+        if loss < least:
+            least, best = loss, [p.copy() for p in params]
+        waited += 1
+        if least < mark * (1 - ENOUGH):
+            mark, waited = least, 0
         for param, square, step in zip(params, squares, steps, strict=True):
             square += step * step
             param += RATE * step / np.sqrt(square)
+    told, wanted, through, bias = best
     contexts = np.arange(CLASSES**CONTEXT)
     guess = sum(told[contexts // CLASSES**k % CLASSES] @ through[k] for k in range(CONTEXT))
     score = guess @ wanted.T + bias
