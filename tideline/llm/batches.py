@@ -13,6 +13,9 @@ from pyspark.sql.types import StructType
 # Text worked on at once inside a task; one longer text is a piece of its own.
 PIECE_BYTES = 4_000_000
 
+# The same in a stage of a pipeline, whose workers keep some memory of the stages before.
+STAGE_BYTES = 1_000_000
+
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SPACE = np.zeros(256, bool)

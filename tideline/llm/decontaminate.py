@@ -1,15 +1,20 @@
-"""Passages of a benchmark in documents, whole or with a few edits, by q-gram filtering and banded alignment.
+"""Passages of a benchmark in documents, with or without edits, by q-gram filtering and banded alignment.
 
-The q-gram lemma: if an item of ``n`` bytes is found in a text with at most ``e`` edits, then of any ``g`` of its
+Items are cut into overlapping windows of ``WINDOW`` bytes, one every ``STRIDE`` bytes; the last reaches to the end of the
+item, and a shorter item is one window. A document holds an item if it holds one of its windows, so any passage of
+``WINDOW + STRIDE`` bytes of an item is found, wherever it was cut out.
+
+The q-gram lemma: if a window of ``n`` bytes is found in a text with at most ``e`` edits, then of any ``g`` of its
 q-grams at least ``g - q * e`` are in the text unchanged, and all of them lie on diagonals (place in the text minus
 place in the item) at most ``e`` apart. So the q-grams of the items are looked up at every byte of every text, hits
-are counted per item in overlapping bands of diagonals, and only bands that reach the bound go to alignment, which
-finds the least number of edits between the whole item and any stretch of the region. Nothing within the edit budget
+are counted per item and window in overlapping bands of diagonals, and only bands that reach the bound go to alignment, which
+finds the least number of edits between the whole window and any stretch of the region. Nothing within the edit budget
 is missed, and nothing beyond it is reported.
 
-Bytes are folded first: A-Z to a-z, every white-space byte to a space. The budget is ``EDITS`` of the item's bytes,
-and never more than the lemma can filter. Grams that many items share are left out of the count where enough others
-remain; the bound of these items is lowered by as much. Items shorter than a q-gram are looked for as they are.
+Bytes are folded first: A-Z to a-z, every run of white space to one space, a run of any other byte to ``REPEAT`` of it. The budget is ``EDITS`` of the
+window's bytes, and never more than the lemma can filter. Grams that many items share, and grams of one repeated byte, are left
+out of the count where enough others remain; the bound of these items is lowered by as much. Items shorter than a q-gram are
+looked for as they are.
 
 Null or empty texts and items match nothing. Null ids are returned as they are. Repeated documents are each reported;
 items with equal texts, too. Empty tables give an empty result; other columns are ignored.
@@ -23,13 +28,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tideline.llm.batches import joined, lowered, map_batches, mix, pieces, texts
+from tideline.llm.batches import PIECE_BYTES, STAGE_BYTES, joined, lowered, map_batches, mix, pieces, texts
 
 Q = 8
 EDITS = 0.08
 #: Edits allowed for each byte of the item. Must stay below 1 / Q.
 
+WINDOW, STRIDE = 160, 40
+#: Bytes of a window, and from one to the next. A window holds a stride and a gram at least.
+
+REPEAT = 16
+#: As much of a run of one byte counts, so that rulers and padding cost no more hits than words. A power of two.
+
 COMMON = 4
 #: Grams in more items than this are left out where the lemma allows it.
 
@@ -39,9 +51,30 @@ BLOCK_BYTES = 16_000_000
 _FILTER_BITS = 22
 
 
-def _folded(data: np.ndarray) -> np.ndarray:
-    data = lowered(data)
-    return np.where((data >= 9) & (data <= 13), np.uint8(32), data)
+# a-z for A-Z, a space for white space, every other byte for itself.
+_FOLD = lowered(np.arange(256, dtype=np.uint8))
+_FOLD[9:14] = 32
+
+
+def _folded(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All folded texts in one array, a space after each, where each begins, and which bytes were dropped."""
+    data, begins = joined(rows)
+    data = _FOLD[data]
+    same = data[1:] == data[:-1]
+    drop = np.zeros(len(data), bool)
+    drop[1:] = same & (data[1:] == 32)
+    # A byte goes if as many as REPEAT before it are the same: each step doubles what it has seen.
+    seen = 1
+    while seen < REPEAT and len(same) > seen:
+        same, seen = same[seen:] & same[:-seen], 2 * seen
+    if seen >= REPEAT:
+        drop[REPEAT:] |= same
+    drop[begins[1:] - 1] = False
+    kept = len(data) - np.count_nonzero(drop)
+    if kept == len(data):
+        return data, begins, drop
+    gone = np.concatenate(([0], np.cumsum(np.add.reduceat(drop, begins[:-1], dtype=np.int64)))) if len(rows) else begins
+    return data[~drop], begins - gone, drop
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -53,26 +86,44 @@ def _grams(data: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """The folded items of one block and where their q-grams are."""
+    """The folded items of one block, their windows, and where their q-grams are."""
 
     def __init__(self, ids: list, rows: list[bytes]):
-        kept = [(i, _folded(np.frombuffer(r, np.uint8))) for i, r in zip(ids, rows, strict=True) if r]
+        folded, begins, _ = _folded(rows)
+        kept = [(i, folded[a : b - 1]) for i, a, b in zip(ids, begins[:-1], begins[1:], strict=True)]
+        kept = [(i, b[b[:1].tobytes() == b" " : len(b) - (b[-1:].tobytes() == b" ")]) for i, b in kept]
+        kept = [(i, b) for i, b in kept if len(b)]
         self.ids, self.bytes = [i for i, _ in kept], [b for _, b in kept]
         sizes = np.array([len(b) for b in self.bytes], np.int64)
-        self.budget = np.minimum((sizes * EDITS).astype(np.int64), np.maximum(0, sizes - Q) // Q)
         self.short = [k for k, n in enumerate(sizes) if n < Q]
+        self.windows = np.maximum(0, sizes - WINDOW) // STRIDE + 1
+        self.first = np.cumsum(self.windows) - self.windows
+        owner = np.repeat(np.arange(len(sizes)), self.windows)
+        nth = np.arange(len(owner)) - self.first[owner]
+        self.begin = nth * STRIDE
+        self.end = np.where(nth == self.windows[owner] - 1, sizes[owner], self.begin + WINDOW)
+        size = self.end - self.begin
+        self.budget = np.minimum((size * EDITS).astype(np.int64), np.maximum(0, size - Q) // Q)
         grams = [_grams(b) if len(b) >= Q else np.zeros(0, np.uint64) for b in self.bytes]
+        counts = np.array([len(g) for g in grams], np.int64)
         gram = np.concatenate([np.zeros(0, np.uint64), *grams])
-        item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        at = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(g)) for g in grams]]).astype(np.int64)
+        item = np.repeat(np.arange(len(grams)), counts)
+        at = np.concatenate([np.zeros(0, np.int64), *[np.arange(n) for n in counts]]).astype(np.int64)
         pairs = np.unique(np.stack([gram, item.astype(np.uint64)], axis=1), axis=0)[:, 0]
         values, holders = np.unique(pairs, return_counts=True)
         common = holders[np.searchsorted(values, gram)] > COMMON if len(gram) else np.zeros(0, bool)
-        rare = np.bincount(item[~common], minlength=len(grams))
-        whole = np.bincount(item, minlength=len(grams))
-        # Half of the bound on all grams has to remain, so that few regions pass by chance.
-        fewer = rare - Q * self.budget >= np.maximum(1, (whole - Q * self.budget) / 2)
-        self.bound = np.where(fewer, rare, whole) - Q * self.budget
+        common |= gram == (gram & np.uint64(255)) * np.uint64(0x0101010101010101)
+        # Grams of a window, and those that are not common, from sums up to each gram of its item.
+        offset = np.cumsum(counts) - counts
+        rare_up_to = np.concatenate(([0], np.cumsum(~common)))
+        low, high = offset[owner] + self.begin, offset[owner] + np.maximum(self.begin, self.end - Q + 1)
+        low, high = np.minimum(low, len(gram)), np.minimum(high, len(gram))
+        rare, whole = rare_up_to[high] - rare_up_to[low], high - low
+        # Half of the bound on all grams has to remain in each window, so that few regions pass by chance.
+        enough = rare - Q * self.budget >= np.maximum(1, (whole - Q * self.budget) / 2)
+        fewer = np.ones(len(sizes), bool)
+        np.logical_and.at(fewer, owner, enough)
+        self.bound = np.where(fewer[owner], rare, whole) - Q * self.budget
         take = ~(common & fewer[item])
         order = np.argsort(gram[take], kind="stable")
         self.gram, self.item, self.at = gram[take][order], item[take][order], at[take][order]
@@ -118,15 +169,24 @@ def edits(item: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int]:
     return int(cost[best]), len(item) + best - most
 
 
+def _reaching(keys: np.ndarray, counts: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Which bands have, together with the band after them, as many grams as the bound says."""
+    follows = np.zeros(len(keys), np.int64)
+    near = np.flatnonzero(keys[1:] == keys[:-1] + 1)
+    follows[near] = counts[near + 1]
+    return counts + follows >= bound
+
+
 def matches(items: Items, rows: list[bytes]) -> Iterator[tuple[int, int, int, int]]:
     """(row, item, edits, byte where the stretch ends) for each row and item that match, the best stretch of each."""
-    data, begins = joined(rows)
-    data = _folded(data)
+    data, begins, drop = _folded(rows)
+    starts = np.concatenate(([0], np.cumsum([len(r) + 1 for r in rows])))
     best: dict[tuple[int, int], tuple[int, int]] = {}
 
     def found(row: int, item: int, cost: int, end: int) -> None:
-        if cost <= items.budget[item]:
-            best[row, item] = min(best.get((row, item), (cost, end)), (cost, end))
+        # Ends are told in the text as it was.
+        end = int(np.flatnonzero(~drop[starts[row] : starts[row + 1]])[end - 1]) + 1
+        best[row, item] = min(best.get((row, item), (cost, end)), (cost, end))
 
     for item in items.short:
         word = items.bytes[item].tobytes()
@@ -138,52 +198,63 @@ def matches(items: Items, rows: list[bytes]) -> Iterator[tuple[int, int, int, in
     row = np.searchsorted(begins, place, side="right") - 1
     inside = place + Q < begins[row + 1]
     place, item, at, row = place[inside], item[inside], at[inside], row[inside]
+    # Each hit counts for all windows that have its gram.
+    last = np.minimum(at // STRIDE, items.windows[item] - 1)
+    first = np.minimum(np.maximum(0, -((WINDOW - Q - at) // STRIDE)), items.windows[item] - 1)
+    n = last - first + 1
+    nth = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    place, at, row, item = (np.repeat(x, n) for x in (place, at, row, item))
+    window = items.first[item] + nth
     # Bands are one budget wide and looked at in pairs, so that any stretch lies in one pair.
-    wide = items.budget[item] + 1
+    wide = items.budget[window] + 1
     band = (place - begins[row] - at + len(data)) // wide
     shift = np.int64(2 * len(data) + 2)
-    key = (row.astype(np.int64) * len(items.bytes) + item) * shift + band
-    # A gram at one place of the item counts once in a band.
-    once = np.unique(np.stack([key, at], axis=1), axis=0)[:, 0] if len(key) else key
+    key = (row.astype(np.int64) * len(items.begin) + window) * shift + band
+    # All hits are an upper bound of the count; where they reach the bound, a gram at one place of the item counts once in a band.
+    keys, counts = np.unique(key, return_counts=True)
+    likely = _reaching(keys, counts, items.bound[keys // shift % len(items.begin)]) if len(keys) else np.zeros(0, bool)
+    likely[1:] |= likely[:-1] & (keys[1:] == keys[:-1] + 1)
+    some = likely[np.searchsorted(keys, key)]
+    once = np.unique(np.stack([key[some], at[some]], axis=1), axis=0)[:, 0] if some.any() else key[:0]
     keys, counts = np.unique(once, return_counts=True)
-    follows = np.zeros(len(keys), np.int64)
-    near = np.flatnonzero(keys[1:] == keys[:-1] + 1)
-    follows[near] = counts[near + 1]
     group = keys // shift
-    good = counts + follows >= items.bound[group % len(items.bytes)] if len(keys) else np.zeros(0, bool)
+    good = _reaching(keys, counts, items.bound[group % len(items.begin)]) if len(keys) else np.zeros(0, bool)
+    owner = np.repeat(np.arange(len(items.bytes)), items.windows)
     for k in np.flatnonzero(good):
-        r, which = divmod(int(group[k]), len(items.bytes))
-        budget = int(items.budget[which])
-        word = items.bytes[which]
-        diagonal = int(keys[k] % shift) * (budget + 1) - len(data)
-        begin = max(0, diagonal - budget)
+        r, window = divmod(int(group[k]), len(items.begin))
+        which, budget = int(owner[window]), int(items.budget[window])
+        if best.get((r, which), (1, 0))[0] == 0:
+            continue
+        word = items.bytes[which][items.begin[window] : items.end[window]]
+        # Places on a diagonal are those of the window's own first byte.
+        diagonal = int(keys[k] % shift) * (budget + 1) - len(data) + int(items.begin[window])
         text = data[begins[r] : begins[r + 1] - 1]
+        begin = max(0, diagonal - budget)
         region = text[begin : max(begin, diagonal + 2 * (budget + 1) + len(word) + budget)]
         exact = region.tobytes().find(word.tobytes())
         cost, end = (0, exact + len(word)) if exact >= 0 else edits(word, region, budget) if len(region) >= len(word) - budget else (budget + 1, 0)
-        found(r, which, cost, begin + end)
+        if cost <= budget:
+            found(r, which, cost, begin + end)
     for (r, which), (cost, end) in sorted(best.items()):
         yield r, which, cost, end
 
 
-def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", limit: int = BLOCK_BYTES) -> list[tuple[list, list[bytes]]]:
-    """The benchmark in blocks of about ``limit`` bytes, each small enough to be handed to every task."""
+def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[list, list[bytes]]]:
+    """The benchmark in blocks of about ``limit`` bytes, each small enough to be handed to every task, one at a time."""
     benchmark = benchmark.select(F.col(item_id).alias("id"), F.col(text).alias("text")).where("text IS NOT NULL")
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = size // limit + 1
-    out = []
     for part in range(parts):
         rows = benchmark.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part).collect()
-        out.append(([r["id"] for r in rows], [r["text"].encode() for r in rows]))
-    return out
+        yield [r["id"] for r in rows], [r["text"].encode() for r in rows]
 
 
-def _search(items_of, emit):
+def _search(items_of, emit, text: str = "text", limit: int = PIECE_BYTES):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, rows = items_of.value
         items = Items(ids, rows)
-        for piece in pieces(batches, "text"):
-            found = matches(items, texts(piece.column(piece.schema.get_field_index("text")))) if items.ids else iter(())
+        for piece in pieces(batches, text, limit):
+            found = matches(items, texts(piece.column(piece.schema.get_field_index(text)))) if items.ids else iter(())
             yield emit(piece, items, list(found))
 
     return work
@@ -196,7 +267,7 @@ def contaminated(
     spark = docs.sparkSession
     kinds = [docs.schema[doc_id].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()]
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    arrow = to_arrow_type(benchmark.schema[item_id].dataType)
 
     def emit(piece: pa.RecordBatch, items: Items, found: list) -> pa.RecordBatch:
         at = pa.array([f[0] for f in found], pa.int64())
@@ -204,7 +275,7 @@ def contaminated(
             [
                 piece.column(0).take(at),
                 piece.column(2).take(at),
-                pa.array([items.ids[f[1]] for f in found], arrow.get(kinds[1])),
+                pa.array([items.ids[f[1]] for f in found], arrow),
                 pa.array([f[2] for f in found], pa.int32()),
                 pa.array([f[3] for f in found], pa.int32()),
             ],
@@ -222,7 +293,6 @@ def contaminated(
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, that match no item."""
     spark = docs.sparkSession
-    named = docs if text == "text" else docs.withColumnRenamed(text, "text")
 
     def emit(piece: pa.RecordBatch, items: Items, found: list) -> pa.RecordBatch:
         keep = np.ones(piece.num_rows, bool)
@@ -230,8 +300,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
         return piece.filter(pa.array(keep))
 
     for block in blocks(benchmark, item_id, item):
-        named = map_batches(named, _search(spark.sparkContext.broadcast(block), emit), named.schema)
-    return named.toDF(*docs.columns)
+        docs = map_batches(docs, _search(spark.sparkContext.broadcast(block), emit, text, STAGE_BYTES), docs.schema)
+    return docs
 
 
 def contaminated_documents(spark, sf_dir: str) -> DataFrame:
