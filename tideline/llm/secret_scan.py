@@ -146,17 +146,20 @@ def masked(text: Column, spans: Column) -> Column:
 def without_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", length: str = "n_chars", owners: int = OWNERS) -> DataFrame:
     """The rows of ``docs`` with base spans and live candidates masked in the text, and the length set anew where it changed."""
     names = docs.columns
+    # Longer than any name of the table, so none of them can clash.
+    mark = "_" * (1 + max(len(c) for c in names))
+    id_, hash_, live_, spans_ = (mark + n for n in ("id", "hash", "live", "spans"))
     rows = scanned(docs, doc_id, text, owner)
     known = stage(ownership(rows).where(F.col("owners") > owners).select("hash"), "copied-values")
     more = rows.where(F.size("more") > 0).select("doc_id", "repository", F.explode("more").alias("span")).withColumn("hash", F.col("span.hash"))
     live = more.join(known, "hash", "left_anti").groupBy("doc_id", "repository").agg(F.collect_set("span").alias("live"))
-    live = small_side(live.select(F.col("doc_id").alias("__id"), F.col("repository").alias("__hash"), F.col("live").alias("__live")), "live")
+    live = small_side(live.select(F.col("doc_id").alias(id_), F.col("repository").alias(hash_), F.col("live").alias(live_)), "live")
     body = F.coalesce(docs[text], F.lit(""))
-    with_live = docs.join(live, docs[doc_id].eqNullSafe(live["__id"]) & (F.xxhash64(body) == live["__hash"]), "left")
-    spans = F.concat(base_spans(docs[text]), F.coalesce(live["__live"], F.from_json(F.lit("[]"), _SPAN)))
-    marked = with_live.withColumn("__spans", F.when(docs[text].isNotNull(), spans))
-    changed = F.size("__spans") > 0
-    new = F.when(changed, masked(docs[text], F.col("__spans"))).otherwise(docs[text])
+    with_live = docs.join(live, docs[doc_id].eqNullSafe(live[id_]) & (F.xxhash64(body) == live[hash_]), "left")
+    spans = F.concat(base_spans(docs[text]), F.coalesce(live[live_], F.from_json(F.lit("[]"), _SPAN)))
+    marked = with_live.withColumn(spans_, F.when(docs[text].isNotNull(), spans))
+    changed = F.size(spans_) > 0
+    new = F.when(changed, masked(docs[text], F.col(spans_))).otherwise(docs[text])
     out = [
         new.alias(c) if c == text else F.when(changed, F.length(new)).otherwise(docs[c]).cast(docs.schema[c].dataType).alias(c) if c == length else docs[c]
         for c in names
