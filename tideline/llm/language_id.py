@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.batches import map_batches, pieces, texts
+from tideline.llm.batches import STAGE_BYTES, map_batches, pieces, texts
 
 ORDER = 3
 #: Longest context in bytes. A gram (context and byte) has to fit in 32 bits.
@@ -33,9 +33,6 @@ TRAINING_ROWS = 2_000
 #: About so many texts a language are learned from (chosen by a hash of their text, so that any input gives the
 #: same choice); fewer texts are all taken.
 
-GRAM_LIMIT = 2_000_000
-#: Most distinct grams of the highest order that are kept for all languages together, the most frequent first.
-
 UNKNOWN = "und"
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -137,9 +134,9 @@ def freeze(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray)
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRAINING_ROWS) -> Model:
-    """Learn from about ``rows`` texts of each language, fewer if there are fewer.
+    """Learn from about ``rows`` texts of each language, fewer if there are fewer; copies of a text count once.
 
-    Only gram counts come to the driver: at most ``GRAM_LIMIT`` grams for all languages together.
+    Only the gram counts of those texts come to the driver. Without any gram there is nothing to learn from.
     """
     labelled = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
@@ -149,15 +146,16 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int
         return Model([], [], [], [], [])
     share = F.coalesce(*[F.when(F.col("lang") == name, F.lit(min(1.0, part))) for name, part in shares.items()])
     place = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = labelled.where(place < share)
+    chosen = labelled.where(place < share).distinct()
     counted = (
         map_batches(chosen, _gram_counts, "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "lang", "gram")
-        .limit(GRAM_LIMIT)
+        .orderBy("lang", "gram")
         .toArrow()
     )
+    if not counted.num_rows:
+        return Model([], [], [], [], [])
     langs = sorted(shares)
     number = {name: k for k, name in enumerate(langs)}
     lang_at = np.array([number[x] for x in counted.column("lang").to_pylist()], np.int64)
@@ -214,7 +212,7 @@ def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0
     at = docs.columns.index(text)
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, text):
+        for piece in pieces(batches, text, STAGE_BYTES):
             lang, score, _ = predictions(frozen.value, texts(piece.column(at)))
             yield piece.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score, strict=True)], pa.bool_()))
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tideline.llm.batches import map_batches, pieces, texts
+from tideline.llm.batches import STAGE_BYTES, map_batches, pieces, texts
 from tideline.session import stage
 
 VOCABULARY = "word_bpe_49k.json"
@@ -317,14 +317,15 @@ def _encoder(path: str, told: dict[str, np.ndarray]) -> Encoder:
 
 
 def encoded(docs: DataFrame, path: str | None = None, text: str = "text", told: dict | None = None) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, with ``ids`` (array<int>) after them."""
+    """The rows of ``docs``, all columns as they are, with ``ids`` (array<int>) after them; an earlier ``ids`` is replaced."""
+    docs = docs.drop("ids")
     path = path or public_tokenizers.path(VOCABULARY)
     sent = docs.sparkSession.sparkContext.broadcast(told or lexicon(docs, path, text))
     at = docs.columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, sent.value)
-        for piece in pieces(batches, text):
+        for piece in pieces(batches, text, STAGE_BYTES):
             ids, begins = encoder.encode(texts(piece.column(at)))
             lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids.view(np.int32)))
             yield pa.RecordBatch.from_arrays([*piece.columns, lists], [*piece.schema.names, "ids"])
@@ -334,7 +335,8 @@ def encoded(docs: DataFrame, path: str | None = None, text: str = "text", told:
 
 
 def decoded(rows: DataFrame, path: str | None = None, ids: str = "ids") -> DataFrame:
-    """``rows`` with ``decoded``: the text of their ids; null ids count as none."""
+    """``rows`` with ``decoded``: the text of their ids; null ids count as none, an earlier ``decoded`` is replaced."""
+    rows = rows.drop("decoded")
     path = path or public_tokenizers.path(VOCABULARY)
     at = rows.columns.index(ids)
 
