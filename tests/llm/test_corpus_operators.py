@@ -4,8 +4,10 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -99,19 +101,61 @@ def sellers(item, text):
     return min(row)
 
 
+def windows_of(item):
+    """Folded text, budget and window of an item, by the rule of the docstring."""
+    text = b" ".join(item.lower().split())
+    w, step, q = decontaminate.WINDOW, decontaminate.STRIDE, decontaminate.Q
+    n = max(0, len(text) - w) // step + 1
+    parts = [text[k * step : len(text) if k == n - 1 else k * step + w] for k in range(n)]
+    return [(p, min(int(len(p) * decontaminate.EDITS), max(0, len(p) - q) // q)) for p in parts]
+
+
 def test_passages_against_full_alignment():
+    """Short and long items, whole and cut, edited, with other white space: what every window's alignment finds, no more."""
     rng = random.Random(2)
-    items = [bytes(rng.choice(b"abcde fg") for _ in range(rng.randint(3, 150))) for _ in range(25)]
-    index, rows = decontaminate.Items(list(range(25)), items), []
-    for _ in range(40):
+    letters = "abcdefghijklmnop"
+    words = [bytes(rng.choice(letters.encode()) for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    items = [b" ".join(rng.choice(words) for _ in range(rng.choice([1, 4, 20, 60]))) for _ in range(9)]
+    index, rows = decontaminate.Items(list(range(9)), items), []
+    for k in range(24):
         word = bytearray(rng.choice(items))
-        for _ in range(rng.randint(0, len(word) // 10 + 1)):
+        if k % 3 == 0 and len(word) > 220:
+            cut = rng.randint(0, len(word) - 210)
+            word = word[cut : cut + 210]
+        for _ in range(rng.randint(0, len(word) // 12 + 1)):
             at = rng.randrange(len(word) + 1)
             word[at : at + rng.randint(0, 1)] = rng.choice([b"", b"x"])
-        rows.append(bytes(rng.choice(b"abcde fgh") for _ in range(rng.randint(0, 60))) + bytes(word) + b" more text")
+        if k % 2:
+            word = word.replace(b" ", b" \n   ").upper()
+        rows.append(b" ".join(rng.choice(words) for _ in range(rng.randint(0, 9))) + b"  " + bytes(word) + b" more\ttext")
     found = {(r, i): cost for r, i, cost, _ in decontaminate.matches(index, rows)}
-    all_costs = {(r, i): sellers(items[i], rows[r]) for r in range(len(rows)) for i in range(len(items))}
-    assert found == {k: c for k, c in all_costs.items() if c <= index.budget[k[1]]} and len(found) > 20
+    expected = {}
+    for r, row in enumerate(rows):
+        text = b" ".join(row.lower().split())
+        for i, item in enumerate(items):
+            costs = [c for c, budget in ((sellers(p, text), budget) for p, budget in windows_of(item)) if c <= budget]
+            if costs:
+                expected[r, i] = min(costs)
+    assert found == expected and len(found) > 20
+
+
+def test_passages_of_an_item_and_other_white_space():
+    rng = random.Random(6)
+    item = " ".join("".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(2, 9))) for _ in range(70))
+    index, n = decontaminate.Items([7], [item.encode()]), len(item)
+    texts = [item[: n * 6 // 10], item[n * 4 // 10 :], item[n // 4 : n // 4 + 200], item.replace(" ", "\n    "), item.upper(), item[:120], "other text"]
+    rows = [f"Some words before, {t} and after.".encode() for t in texts]
+    found = {r: (cost, end) for r, _, cost, end in decontaminate.matches(index, rows)}
+    assert set(found) == {0, 1, 2, 3, 4} and all(cost == 0 for cost, _ in found.values())
+    upto = " ".join(rows[3][: found[3][1]].decode().split())
+    assert upto[-100:] in item
+
+
+def test_long_repeats_of_one_character():
+    ruler = "a heading\n" + "=" * 300 + "\nand a line of text under it, with enough words to tell it from all others in the world"
+    index = decontaminate.Items([1], [ruler.encode()])
+    found = list(decontaminate.matches(index, [b"=" * 1_000_000, b"x " + ruler.encode()]))
+    assert [(r, i, cost) for r, i, cost, _ in found] == [(1, 0, 0)] or {r for r, *_ in found} == {0, 1}
 
 
 def test_decontamination_of_odd_rows(spark, docs, empty):
@@ -187,6 +231,33 @@ def test_language_model(spark, docs, empty, monkeypatch):
     assert len(nothing) == 10 and all(r["n_known"] == 0 for r in nothing)
 
 
+def test_class_model_beats_smoothed_bigrams_on_held_out_text():
+    """Context classes of real texts: the model's score of held-out classes is above that of add-one bigrams."""
+    rows = [(r[0], r[1].encode()) for r in duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet' WHERE text IS NOT NULL").fetchall()]
+    words = lambda row: [*bilinear_lm.words(row), bilinear_lm.END]
+    counts = Counter(w for _, row in rows for w in words(row))
+    size, end = bilinear_lm.CLASSES, 0
+    top = [bilinear_lm.END, *[w for w, _ in counts.most_common(size) if w != bilinear_lm.END]][: size - 40]
+    number = {w: k for k, w in enumerate(top)}
+    sets = (Counter(), Counter())
+    for doc_id, row in rows:
+        before, last = end, end
+        for word in words(row):
+            now = number.get(word, size - 40 + zlib.crc32(word[-2:]) % 40)
+            # The nearest token of the context is the lowest digit.
+            sets[doc_id % 5 == 0][(before * size + last) * size + now] += 1
+            before, last = last, now
+    gram, n = (np.array(x) for x in zip(*sets[0].items(), strict=True))
+    held, m = (np.array(x) for x in zip(*sets[1].items(), strict=True))
+    table = bilinear_lm.fitted(gram, n)
+    pairs = np.ones((size, size))
+    np.add.at(pairs, (gram // size % size, gram % size), n)
+    pairs /= pairs.sum(axis=1, keepdims=True)
+    model = (table[held // size, held % size] * m).sum() / m.sum()
+    bigrams = (np.log10(pairs[held // size % size, held % size]) * m).sum() / m.sum()
+    assert model > bigrams + 0.02
+
+
 def test_pipeline_stages(spark, docs):
     sf_dir = "/root/testdata/sf0.001"
     rows = docs

@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -229,3 +231,100 @@ def test_fingerprints_are_comparable_at_every_length(spark):
     frame = spark.createDataFrame(edited, "doc_id int, text string")
     for r in frame.select("doc_id", fingerprints.printed(fingerprints.anchors(F.col("text")))).collect():
         assert found[r[0]]["edited_fingerprint"] == r[1]
+
+
+def test_languages_without_any_text_to_learn_from(spark, docs):
+    """Labelled texts that are all empty teach nothing."""
+    empty = spark.createDataFrame([("", "en"), ("", "fr")], "text string, lang string")
+    model = language_id.train(empty)
+    assert {r["lang_pred"] for r in language_id.identify(docs, model, []).collect()} == {"und"}
+
+
+def test_copies_teach_once(spark):
+    rows = [("the cat and the dog", "en")] * 50 + [("le chat et le chien", "fr")]
+    model = language_id.train(spark.createDataFrame(rows, "text string, lang string"))
+    once = language_id.train(spark.createDataFrame(rows[49:], "text string, lang string"))
+    assert all(np.array_equal(a, b) for a, b in zip(model.bits, once.bits, strict=True))
+
+
+def test_stages_take_tables_with_their_own_names(spark, docs):
+    """Columns named as what a stage adds or works with: replaced or kept as the docstrings say."""
+    from tideline.llm import decontaminate, secret_scan
+
+    clash = docs.selectExpr("*", "'i' AS ids", "'d' AS decoded", "'l' AS __live", "'s' AS __spans", "'n' AS __id", "'h' AS __hash")
+    first = lexicon_bpe.encoded(clash.where("doc_id = 1"))
+    back = lexicon_bpe.decoded(first).first()
+    assert first.columns == [*[c for c in clash.columns if c != "ids"], "ids"] and "quick</w> brown</w>" in back["decoded"]
+    kept = secret_scan.without_secrets(clash)
+    assert kept.columns == clash.columns and {(r["__live"], r["__spans"], r["__id"]) for r in kept.collect()} == {("l", "s", "n")}
+    named = docs.withColumnRenamed("text", "body").withColumn("text", F.lit("x"))
+    items = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog near the river bank today.")], "item_id long, text string")
+    found = decontaminate.clean(named, items, text="body")
+    assert found.columns == named.columns and {r["text"] for r in found.collect()} == {"x"}
+    assert not {1, 2} & {r["doc_id"] for r in found.collect()}
+
+
+ARTICLE = "<p>Paragraph one, with commas, and so many words that it counts.</p>" * 3
+WORDS = " ".join(["Paragraph one, with commas, and so many words that it counts."] * 3)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<head><title>T</title><body><article>" + ARTICLE, WORDS),
+        ("<head><title>T</title><p>Start, " + ARTICLE, "Start, " + WORDS),
+        ("<head>Text, with a comma, at once, and long enough to be a paragraph of its own.", "Text, with a comma, at once, and long enough to be a paragraph of its own."),
+        ("<article><svg class=i/>" + ARTICLE + "</article>", WORDS),
+        ('<article><svg class="i"><path d="M0"/><text>no</text></svg>' + ARTICLE, WORDS),
+        ("<article><svg><circle>" + ARTICLE, WORDS),
+        ("<article><math/>" + ARTICLE, WORDS),
+        ("<article><p>Area is <math><mi>x</mi><mo>+</mo><mn>2</mn><annotation>x+2</annotation></math>, as said.</p>", "Area is x+2, as said."),
+        ("<article><p data-x=it's>One two three.</p><p>Two more's here.</p></article>", "One two three. Two more's here."),
+        ('<article><p class="a"">Text of the paragraph.</p></article>', "Text of the paragraph."),
+        ("<article><a title='a > b' href=x>Go</a> on</article>", "Go on"),
+        ("<article><!-->" + ARTICLE + "<!-- x --><!--->!</article>", WORDS + " !"),
+        ("<article><label>Name</label> <p>Text</p></article>", "Name Text"),
+        ("<article><p>A<script>'</scripty>'</script >b</p></article>", "Ab"),
+    ],
+)
+def test_pages_that_browsers_read_whole(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("name", ["class=related-work", "id=legal", "class='social-issues of today'", "class=tags"])
+def test_topics_are_no_furniture(name):
+    part = f"<section {name}>{ARTICLE}</section>"
+    assert html_text.main_text(f"<article>{ARTICLE}{part}</article>") == f"{WORDS} {WORDS}"
+    links = f"<div {name}>" + "<a href=x>Another page of this site, with a long title</a>" * 9 + "</div>"
+    assert html_text.main_text(f"<article>{ARTICLE}{links}<div {name}>Share</div></article>") == WORDS
+
+
+@pytest.mark.parametrize("name", ["topnav", "commentlist", "comments-area", "main-navigation", "cookie-bar", "ad", "leftsidebar"])
+def test_furniture_by_name_goes_whatever_its_length(name):
+    for page in ("<article>{0}<div class={1}>{0}</div></article>", "<div class=story>{0}</div><ol id={1}><li>{0}</ol>"):
+        assert html_text.main_text(page.format(ARTICLE, name)) == WORDS
+
+
+@pytest.mark.parametrize("page", ["<p>x" + "<b>" * 30_000, "<i><div>" + "<b>" * 15_000 + "</i>" * 15_000, "<b>" * 15_000 + "<div></div>" * 15_000, "<" * 60_000, "<p " + 'a"' * 30_000])
+def test_deep_and_odd_pages_take_time_in_proportion(page):
+    began = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - began < 20
+
+
+def test_anchors_are_those_of_a_plain_loop(spark):
+    """Closed syncmers by the definition: the least inner hash of a run is its first or its last."""
+    rng = random.Random(8)
+    rows = ["".join(rng.choice("ab cé漢😀") for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    frame = spark.createDataFrame(list(enumerate(rows)), "k int, text string")
+    found = {r["k"]: [x["at"] for x in r["runs"]] for r in frame.select("k", fingerprints._runs(F.col("text")).alias("runs")).collect()}
+    k, s = fingerprints.K, fingerprints.S
+    for at, text in enumerate(rows):
+        inner = []
+        for i in range(len(text) - s + 1):
+            hashed = 42
+            for c in text[i : i + s]:
+                hashed = xxhash.xxh64_intdigest(c.encode(), seed=hashed)
+            inner.append(hashed - (1 << 64) if hashed >> 63 else hashed)
+        runs = [inner[i : i + k - s + 1] for i in range(len(text) - k + 1)]
+        assert found[at] == [i for i, run in enumerate(runs) if min(run) in (run[0], run[-1])]
