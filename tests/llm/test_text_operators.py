@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import time
 import zlib
 
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tideline.llm import fingerprints, html_text, language_id, lexicon_bpe, shards, token_files
+from tideline.llm import fingerprints, html_text, language_id, lexicon_bpe, secret_scan, shards, token_files
 from tideline.session import new_path
 
 ODD = "abcXYZéÉßıİŉǅƓ ²½٣_'-.,!\t\n\x0b\x1c\x85\xa0<|>s't're0123456789ñÑÿŸΣςσ́漢😀Ⅷ"
@@ -249,7 +250,7 @@ def test_copies_teach_once(spark):
 
 def test_stages_take_tables_with_their_own_names(spark, docs):
     """Columns named as what a stage adds or works with: replaced or kept as the docstrings say."""
-    from tideline.llm import decontaminate, secret_scan
+    from tideline.llm import decontaminate
 
     clash = docs.selectExpr("*", "'i' AS ids", "'d' AS decoded", "'l' AS __live", "'s' AS __spans", "'n' AS __id", "'h' AS __hash")
     first = lexicon_bpe.encoded(clash.where("doc_id = 1"))
@@ -264,6 +265,61 @@ def test_stages_take_tables_with_their_own_names(spark, docs):
     assert not {1, 2} & {r["doc_id"] for r in found.collect()}
 
 
+def plain_spans(text):
+    """Base and candidate spans by the patterns, one after the other."""
+    base = []
+    for kind, pattern, least in (("assign", secret_scan.ASSIGN, secret_scan.VALUE), ("access", secret_scan.ACCESS, 0), ("hex", secret_scan.HEX, 0)):
+        for m in re.finditer(pattern, text):
+            if len(m.group(m.lastindex or 0)) >= least:
+                base.append((m.start(), secret_scan.KINDS.index(kind), m.end()))
+    more = []
+    for m in re.finditer(rf"[A-Za-z0-9_-]{{{secret_scan.RUN},}}", text):
+        mixed = re.search("[0-9]", m.group()) and re.search("[A-Za-z]", m.group())
+        if mixed and not any(b[0] < m.end() and m.start() < b[2] for b in base):
+            more.append((m.start(), secret_scan.KINDS.index("owned"), m.end()))
+    return sorted(base), more
+
+
+def plain_mask(text, spans):
+    out, at = [], 0
+    for begin, _, end in sorted(spans):
+        if begin >= at:
+            out += [text[at:begin], secret_scan.MASK]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_spans_that_meet_each_other(spark):
+    rng = random.Random(4)
+    parts = ["password=", 'Token: "', "api_key", "=", " ", '"', "AKIA" + "AB12" * 5, "0123456789abcdef" * 2, "x-y_z", "é", "😀", "a1b2c3d4e5" * 2, "Q7", "\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(400)]
+    texts += ["", "😀" * 3000 + " password=abcdefgh " + "é" * 2500 + "0123456789abcdef" * 2]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    text = F.col("text")
+    found = rows.select("text", secret_scan.base_spans(text).alias("base"))
+    found = found.withColumn("more", secret_scan.candidate_spans(text, F.col("base")))
+    found = found.withColumn("masked", secret_scan.masked(text, F.concat("base", "more")))
+    for r in found.collect():
+        base, more = plain_spans(r["text"])
+        assert [(s["start"], s["kind"], s["end"]) for s in r["base"]] == base
+        assert [(s["start"], s["kind"], s["end"]) for s in r["more"]] == more
+        assert r["masked"] == plain_mask(r["text"], base + more)
+
+
+def test_a_text_of_very_many_spans(spark):
+    rng = random.Random(6)
+    many = " ".join(f"{rng.getrandbits(128):032x}" for _ in range(40_000))
+    long_run = "-" * 2_000_000
+    rows = spark.createDataFrame([(1, many), (2, long_run)], "doc_id long, text string")
+    text = F.col("text")
+    found = rows.select("doc_id", secret_scan.base_spans(text).alias("base"), "text")
+    found = found.withColumn("more", secret_scan.candidate_spans(text, F.col("base")))
+    found = found.select("doc_id", F.size("base").alias("n"), F.size("more").alias("m"), secret_scan.masked(text, F.concat("base", "more")).alias("masked"))
+    first, second = found.orderBy("doc_id").collect()
+    assert (first["n"], first["m"], first["masked"]) == (40_000, 0, " ".join([secret_scan.MASK] * 40_000))
+    assert (second["n"], second["m"], second["masked"]) == (0, 0, long_run)
+
+
 ARTICLE = "<p>Paragraph one, with commas, and so many words that it counts.</p>" * 3
 WORDS = " ".join(["Paragraph one, with commas, and so many words that it counts."] * 3)
 

@@ -32,29 +32,63 @@ VALUE = 6
 RUN = 20
 OWNERS = 3
 
+PIECE = 1024
+#: Code points of a piece of a text that is masked.
+
 KINDS = ("assign", "access", "hex", "owned")
 MASK = "[secret]"
 
 _SPAN = "array<struct<start:bigint,kind:int,end:bigint,hash:bigint>>"
 
 
-def _found(text: Column, pattern: str, kind: int, value_from: int = 0, least: int = 0) -> Column:
-    """Spans of all matches: what lies between the matches gives their places."""
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, though the body names it often."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(values: Column, combine) -> Column:
+    """``combine`` (a sum, a maximum) of each value of an array of at least one and all before it.
+
+    An array that grows by one element is copied each time, so the array is cut into as many blocks as a block has
+    elements; what a block hands on is added to the next ones afterwards.
+    """
+    none = F.array().cast("array<bigint>")
+    last = lambda found: F.element_at(found, -1)
+    grown = lambda found, x: F.array_append(found, F.when(F.size(found) > 0, combine(last(found), x)).otherwise(x))
+    within = lambda block: F.aggregate(block, none, grown)
+
+    def blocks(values: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(values))).cast("int")
+        return F.transform(F.sequence(F.lit(1), F.size(values), size), lambda i: within(F.slice(values, i, size)))
+
+    def joined(found: Column) -> Column:
+        handed = within(F.transform(found, last))
+        moved = lambda handed: F.transform(
+            found, lambda block, i: F.when(i == 0, block).otherwise(F.transform(block, lambda x: combine(F.get(handed, i - 1), x)))
+        )
+        return F.flatten(_let(handed, moved))
+
+    return _let(_let(values, blocks), joined)
+
+
+def _found(text: Column, pattern: str, kind: int, value_from: int = 0, kept=None) -> Column:
+    """Spans of all matches whose value is ``kept``: what lies between the matches gives their places."""
     zipped = F.arrays_zip(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(value_from)).alias("value"),
         F.split(text, pattern, -1).alias("gap"),
     )
 
-    def step(state: Column, item: Column) -> Column:
-        start = state["at"] + F.length(item["gap"])
-        end = start + F.length(item["hit"])
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"), F.xxhash64(item["value"]).alias("hash"))
-        kept = F.when(F.length(item["value"]) >= least, F.array_append(state["spans"], span)).otherwise(state["spans"])
-        return F.struct(F.coalesce(end, state["at"]).alias("at"), F.coalesce(kept, state["spans"]).alias("spans"))
+    def placed(matches: Column) -> Column:
+        steps = F.transform(matches, lambda m: (F.length(m["gap"]) + F.length(m["hit"])).cast("bigint"))
+        span = lambda m, end: F.struct(
+            (end - F.length(m["hit"])).alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"), F.xxhash64(m["value"]).alias("hash")
+        )
+        chosen = lambda m, end: F.when(kept(m["value"]), span(m, end)) if kept else span(m, end)
+        return F.filter(F.zip_with(matches, _running(steps, lambda a, b: a + b), chosen), lambda s: s.isNotNull())
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.from_json(F.lit("[]"), _SPAN).alias("spans"))
-    spans = F.aggregate(F.filter(zipped, lambda x: x["hit"].isNotNull()), start, step)["spans"]
+    # The text after the last match is a gap without a match.
+    spans = _let(F.filter(zipped, lambda m: m["hit"].isNotNull()), placed)
     return F.when(text.rlike(pattern), spans).otherwise(F.from_json(F.lit("[]"), _SPAN))
 
 
@@ -62,7 +96,7 @@ def base_spans(text: Column) -> Column:
     """All base spans by start, then kind."""
     return F.array_sort(
         F.concat(
-            _found(text, ASSIGN, "assign", 2, VALUE),
+            _found(text, ASSIGN, "assign", 2, lambda value: F.length(value) >= VALUE),
             _found(text, ACCESS, "access"),
             _found(text, HEX, "hex"),
         )
@@ -71,13 +105,20 @@ def base_spans(text: Column) -> Column:
 
 def candidate_spans(text: Column, base: Column) -> Column:
     """Runs of token characters with letters and digits that overlap no base span."""
-    run = rf"[A-Za-z0-9_-]{{{RUN},}}"
-    # Most texts have no such run, which one look ahead at each digit tells.
-    likely = text.rlike(rf"(?=[A-Za-z0-9_-]{{{RUN}}})[A-Za-z_-]*[0-9]")
-    value = lambda s: F.substring(text, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
-    mixed = F.filter(_found(text, run, "owned"), lambda s: value(s).rlike("[0-9]") & value(s).rlike("[A-Za-z]"))
-    free = F.filter(mixed, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return F.when(likely, free).otherwise(F.from_json(F.lit("[]"), _SPAN))
+    token = "[A-Za-z0-9_-]"
+    # Most texts have no such run, which one look at the start of each run tells.
+    likely = text.rlike(rf"(?<!{token})(?={token}{{{RUN}}})[A-Za-z_-]*+[0-9]")
+    mixed = _found(text, rf"{token}{{{RUN},}}", "owned", kept=lambda value: value.rlike("[0-9]") & value.rlike("[A-Za-z]"))
+
+    def free(spans: Column) -> Column:
+        is_base = lambda s: s["kind"] < KINDS.index("owned")
+        reach = _running(F.transform(spans, lambda s: F.when(is_base(s), s["end"]).otherwise(F.lit(0).cast("bigint"))), F.greatest)
+        # Runs never overlap each other, so what begins inside of one is a base span.
+        apart = lambda s, i, reach: (F.get(reach, i) <= s["start"]) & (F.coalesce(F.get(spans, i + 1)["start"], s["end"]) >= s["end"])
+        return _let(reach, lambda reach: F.filter(spans, lambda s, i: ~is_base(s) & apart(s, i, reach)))
+
+    both = _let(F.array_sort(F.concat(base, mixed)), lambda spans: F.when(F.size(spans) > 0, free(spans)).otherwise(spans))
+    return F.when(likely, both).otherwise(F.from_json(F.lit("[]"), _SPAN))
 
 
 def _printed(spans: Column) -> Column:
@@ -131,16 +172,26 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner:
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with every span, or chain of overlapping spans, replaced by ``MASK``."""
-    cut = lambda begin, end: F.substring(text, (begin + 1).cast("int"), (end - begin).cast("int"))
-
-    def step(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["at"]
-        out = F.when(fresh, F.concat(state["out"], cut(state["at"], s["start"]), F.lit(MASK))).otherwise(state["out"])
-        return F.struct(out.alias("out"), F.greatest(state["at"], s["end"]).alias("at"))
 
-    begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
-    done = F.aggregate(F.array_sort(spans), begin, step, lambda s: F.concat(s["out"], cut(s["at"], F.length(text).cast("bigint"))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    def rebuilt(spans: Column, pieces: Column, reach: Column) -> Column:
+        def cut(begin: Column, end: Column) -> Column:
+            first = F.floor(begin / PIECE).cast("int")
+            some = F.slice(pieces, first + 1, F.floor((end - 1) / PIECE).cast("int") - first + 1)
+            return F.when(begin < end, F.substring(F.array_join(some, ""), (begin - first * PIECE + 1).cast("int"), (end - begin).cast("int"))).otherwise("")
+
+        before = lambda i: F.when(i > 0, F.get(reach, i - 1)).otherwise(F.lit(0).cast("bigint"))
+        part = lambda s, at: F.when(s["start"] >= at, F.concat(cut(at, s["start"]), F.lit(MASK))).otherwise("")
+        parts = F.transform(spans, lambda s, i: _let(before(i), lambda at: part(s, at)))
+        tail = cut(F.element_at(reach, -1), F.length(text).cast("bigint"))
+        return F.concat(F.array_join(parts, ""), tail)
+
+    def done(spans: Column) -> Column:
+        # A cut from a text is counted from its start, so cuts are made from pieces of the text.
+        pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+        reach = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+        return _let(F.struct(pieces.alias("pieces"), reach.alias("reach")), lambda x: rebuilt(spans, x["pieces"], x["reach"]))
+
+    return F.when(F.size(spans) > 0, _let(F.array_sort(spans), done)).otherwise(text)
 
 
 def without_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", length: str = "n_chars", owners: int = OWNERS) -> DataFrame:
