@@ -227,3 +227,43 @@ def test_watermark_sink_without_rows(spark, tmp_path):
     sink(empty, 0)
     sink.flush(spark, empty.schema, 0)
     assert sink.events(spark).count() == sink.late_rows(spark).count() == 0
+
+
+def spread(spark, files):
+    """The smallest tables with their events in several tasks."""
+    from tests.conftest import SMALL
+    from tideline.sources.fixtures import Fixtures
+
+    class Spread(Fixtures):
+        def table(self, name):
+            found = super().table(name)
+            return found.repartition(files) if name == "events" else found
+
+    return Spread(spark, SMALL)
+
+
+def landed_parts(spark, monkeypatch, run):
+    """The files that a stream query lands, and how many rows each has."""
+    from tideline.plans import queries
+
+    made = {}
+    new_path = queries.new_path
+    monkeypatch.setattr(queries, "new_path", lambda s, label: made.setdefault(label, new_path(s, label)))
+    result = run(queries)
+    rows = spark.read.parquet(made["landing"]).groupBy(F.input_file_name()).count().collect()
+    return made, result, [r["count"] for r in rows]
+
+
+def test_a_part_of_a_watermarked_stream_is_landed_by_many_tasks(spark, monkeypatch):
+    f = spread(spark, 6)
+    made, _, sizes = landed_parts(spark, monkeypatch, lambda q: q.stream_late_rows(f).count())
+    assert len(sizes) > 12 and max(sizes) < sum(sizes) / 8
+    marks = spark.read.parquet(f"{made['stream']}/marks")
+    assert sorted(r["batch_id"] for r in marks.collect()) == [0, 1, 2, 3]
+
+
+def test_a_part_of_a_paired_stream_is_landed_by_many_tasks(spark, monkeypatch):
+    f = spread(spark, 6)
+    _, events, sizes = landed_parts(spark, monkeypatch, lambda q: q.stream_pairs_flushed(f).count())
+    assert len(sizes) > 12 and max(sizes) < sum(sizes) / 8
+    assert events == changes.events(changes.classify(f.ct, ("id",))).count()

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tideline.functions import lsn, times
 from tideline.functions.json_values import json_columns, json_line
@@ -1139,32 +1139,44 @@ def stream_pairs_flushed(f: Fixtures) -> DataFrame:
 
 
 def _watermarked_stream(f: Fixtures, delay: timedelta, strict: bool) -> tuple[watermark.WatermarkSink, StructType, int]:
-    landing, schema = _halves_apart(f.ct.join(f.lsn_time, "start_lsn", "left"))
+    timed, arrival = _halves_apart(f.ct.join(f.lsn_time, "start_lsn", "left"))
     pair = lambda rows: changes.events(changes.classify(rows.drop("commit_time"), ("id",)), strict)
-    sink = watermark.WatermarkSink(new_path(f.spark, "stream"), pair, delay)
-    stream = incremental.read_change_stream(f.spark, landing, schema, files_per_batch=1)
-    done = incremental.run_available(stream, sink, new_path(f.spark, "stream-checkpoint"))
-    return sink, schema, done.lastProgress["batchId"]
+    path = new_path(f.spark, "stream")
+    sink, last_batch = _run_as_landed(timed, arrival, lambda landed: watermark.WatermarkSink(path, pair, delay))
+    return sink, timed.schema, last_batch
 
 
-def _halves_apart(timed: DataFrame) -> tuple[str, StructType]:
-    """Land change rows as four files; the second half of every change comes one file (ten days) after the first."""
+def _halves_apart(timed: DataFrame) -> tuple[DataFrame, Column]:
+    """Change rows and the part they arrive in; the second half of every change comes one part (ten days) after the first."""
     timed = timed.withColumn("commit_time", F.col("commit_time").cast("timestamp"))
     first = timed.agg(F.min("commit_time")).first()[0]
     age = F.coalesce(F.datediff("commit_time", F.lit(first)), F.lit(0))
-    arrival = F.least(F.floor(age / 10), F.lit(2)) + F.col("operation").isin(2, 4).cast("int")
-    landing = new_path(timed.sparkSession, "landing")
-    for part in range(4):
-        timed.where(arrival == part).coalesce(1).write.mode("append").parquet(landing)
-    return landing, timed.schema
+    return timed, F.least(F.floor(age / 10), F.lit(2)) + F.col("operation").isin(2, 4).cast("int")
+
+
+def _run_as_landed(rows: DataFrame, part: Column, sink_of: Callable, transform: incremental.Transform = lambda stream: stream) -> tuple:
+    """Land four parts one after the other and run the stream after each; returns the sink and the number of the last batch.
+
+    A part is one batch and as many files as there were tasks with rows of it, so no task holds a whole part. The rows are
+    worked out once, into one folder for each part. ``sink_of`` gets what has landed so far.
+    """
+    spark, schema = rows.sparkSession, rows.schema
+    apart, landing, checkpoint = (new_path(spark, label) for label in ("arrivals", "landing", "stream-checkpoint"))
+    rows.withColumn("__part", part.cast("int")).write.partitionBy("__part").parquet(apart)
+    arrived = spark.read.schema(StructType([*schema.fields, StructField("__part", IntegerType())])).parquet(apart)
+    for number in range(4):
+        arrived.where(F.col("__part") == number).drop("__part").write.mode("append").parquet(landing)
+        sink = sink_of(spark.read.schema(schema).parquet(landing))
+        done = incremental.run_available(transform(incremental.read_change_stream(spark, landing, schema)), sink, checkpoint)
+    return sink, done.lastProgress["batchId"]
 
 
 def _paired_stream(f: Fixtures, timed: DataFrame) -> tuple[pairing.PairingSink, int]:
-    landing, schema = _halves_apart(timed)
-    landed = f.spark.read.schema(schema).parquet(landing)
-    sink = pairing.PairingSink(new_path(f.spark, "stream"), landed, ("id",))
-    stream = incremental.read_change_stream(f.spark, landing, schema, files_per_batch=1)
-    done = incremental.run_available(
-        pairing.open_changes(stream, ("id",), "11 days"), sink, new_path(f.spark, "stream-checkpoint")
+    timed, arrival = _halves_apart(timed)
+    path = new_path(f.spark, "stream")
+    return _run_as_landed(
+        timed,
+        arrival,
+        lambda landed: pairing.PairingSink(path, landed, ("id",)),
+        lambda stream: pairing.open_changes(stream, ("id",), "11 days"),
     )
-    return sink, done.lastProgress["batchId"]
