@@ -348,3 +348,29 @@ def test_staged_tables_are_removed(spark, fixtures, folders):
     before = set(area.iterdir()) if area.exists() else set()
     run(spark, fixtures, folders, lsn_time=fixtures.log)
     assert set(area.iterdir()) - before == set()
+
+
+def test_lines_are_listed_once_and_written_without_a_staged_copy(spark, fixtures, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    from tideline.plans import queries
+
+    calls, staged = [], []
+    text, stage = DataFrameReader.text, queries.stage
+    monkeypatch.setattr(DataFrameReader, "text", lambda self, *a, **k: calls.append(a) or text(self, *a, **k))
+    monkeypatch.setattr(queries, "stage", lambda rows, label: staged.append(label) or stage(rows, label))
+    found = queries.events_json(fixtures)
+    assert found.count() > 0
+    assert len(calls) == 1 and "lines" not in staged
+
+
+def test_levels_are_read_off_one_file(spark, tmp_path):
+    from tideline.session import levels_of_first_file
+
+    assert levels_of_first_file(spark, str(tmp_path / "none")) is None
+    (tmp_path / "a=1" / "b=2").mkdir(parents=True)
+    assert levels_of_first_file(spark, str(tmp_path)) == []
+    (tmp_path / "a=2" / "b=1").mkdir(parents=True)
+    (tmp_path / "a=2" / "_SUCCESS").touch()
+    (tmp_path / "a=2" / "b=1" / "part-0.txt").touch()
+    assert levels_of_first_file(spark, str(tmp_path)) == ["a", "b"]

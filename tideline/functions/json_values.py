@@ -44,7 +44,8 @@ def json_line(columns: list[Column]) -> Column:
 def extend_object(text: Column, extra: Column) -> Column:
     """Append the fields of JSON object ``extra`` to JSON object ``text`` (neither may be empty)."""
     opened = F.substring(text, F.lit(1), F.length(text) - 1)
-    fields = F.substring(extra, F.lit(2), F.length(extra) - 1)
+    # Up to the end, whatever its length: ``extra`` is worked out once, also where it stands in a branch.
+    fields = F.substring(extra, 2, 2**31 - 1)
     return F.concat(opened, F.lit(","), fields)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tideline.errors import ReservedColumn
 from tideline.functions import lsn, times
-from tideline.functions.json_values import extend_object, json_columns, json_line
+from tideline.functions.json_values import json_columns, json_line
 from tideline.model import EVENT_FIELDS, WORKING_COLUMNS, CapturedTable, ColumnInfo, Origin
 
 # Columns that carry the order of events until they are written.
@@ -179,16 +179,16 @@ def full_line(
     source = json_line(source_fields(events, origin, F.col("source_schema"), F.col("source_table")))
     rest = json_line([(F.col("__op") if op is None else op).alias("op"), *processed_fields(processed_at)])
     none = F.lit("null")
-    head = F.concat(
+    return F.concat(
         F.lit('{"before":'),
         F.coalesce(before, none),
         F.lit(',"after":'),
         F.coalesce(after, none),
         F.lit(',"source":'),
         source,
-        F.lit("}"),
+        F.lit(","),
+        F.substring(rest, 2, 2**31 - 1),
     )
-    return extend_object(head, rest)
 
 
 def full_envelopes(events: DataFrame, table: CapturedTable, origin: Origin, processed_at: datetime) -> DataFrame:

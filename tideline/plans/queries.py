@@ -14,7 +14,7 @@ from tideline.functions.json_values import json_columns, json_line
 from tideline.model import CHANGE_KEY, ColumnInfo, CapturedTable
 from tideline.operators import changes, envelope, filters, reports, resume, snapshot, windows
 from tideline.plans.events import change_events as typed_events
-from tideline.plans.events import event_lines, paired_landed, paired_lines, with_commit_time
+from tideline.plans.events import commit_times, event_lines, paired_landed, paired_lines, with_commit_time
 from tideline.plans.incremental import RunOptions, run_incremental
 from tideline.plans.oracle import with_steps
 from tideline.session import new_path, stage
@@ -844,17 +844,26 @@ def manifest_run(f: Fixtures) -> DataFrame:
     )
 
 
-def _lines(f: Fixtures, tombstones: bool) -> DataFrame:
-    """Events of both tables as text, in folders by topic and window."""
+def _write_events(f: Fixtures, path: str, tombstones: bool) -> None:
+    """Events of both tables as text, in folders by topic and window.
+
+    The counts of the window plan say which task writes a transaction, so lines go to their files as they are made. Only windows
+    in which one transaction is more than a file are staged, for ranges that sample them.
+    """
     facts = table_facts(f.spark, [s.table for s in f.sources], ORIGIN)
-    plan = stage(windows.window_plan(f.both, WINDOW), "window-plan")
+    sized = windows.sized_plan(f.both, WINDOW)
+    plan, parts, any_large = windows.file_parts(sized, RunOptions.rows_per_file, f.spark.sparkContext.defaultParallelism)
     events = (
-        with_commit_time(paired_lines(f.sources), f.lsn_time)
-        .join(plan, ["capture_instance", "start_lsn"])
+        paired_lines(f.sources)
+        .join(stage(plan.join(commit_times(f.lsn_time), "start_lsn", "left"), "window-plan"), ["capture_instance", "start_lsn"])
         .join(F.broadcast(facts), "capture_instance")
+        .withColumn("window", F.col("window_id").cast("string"))
     )
     lines = event_lines(events, ORIGIN, PROCESSED_AT, tombstones, key_schemas=False)
-    return lines.withColumn("window", F.col("window_id").cast("string"))
+    if any_large:
+        lines = stage(lines, "lines")
+        json_lines.write_lines(lines.where("large"), path, RUN_ID, ["topic", "window"])
+    json_lines.write_lines(lines.where("NOT large"), path, RUN_ID, ["topic", "window"], parts=parts)
 
 
 _ORDER_EVENTS = (
@@ -880,8 +889,7 @@ _JSON_SCHEMA = (
 def events_json(f: Fixtures) -> DataFrame:
     """SK1, SK2, JS2: written as compressed JSON lines, then read back from their folders."""
     path = new_path(f.spark, "output")
-    staged = stage(_lines(f, tombstones=False), "lines")
-    json_lines.write_lines(staged, path, RUN_ID, ["topic", "window"])
+    _write_events(f, path, tombstones=False)
     found = json_lines.read_all_lines(f.spark, path)
     return found.select("topic", "window", F.from_json("value", _JSON_SCHEMA).alias("e")).select("topic", "window", "e.*")
 
@@ -896,7 +904,7 @@ def events_json(f: Fixtures) -> DataFrame:
 def tombstones_json(f: Fixtures) -> DataFrame:
     """SK1, EN3: events and tombstones share their files."""
     path = new_path(f.spark, "output")
-    json_lines.write_lines(stage(_lines(f, tombstones=True), "lines"), path, RUN_ID, ["topic", "window"])
+    _write_events(f, path, tombstones=True)
     parsed = F.from_json("value", "id bigint, key struct<id:bigint>")
     found = json_lines.read_all_lines(f.spark, path).select("topic", "window", parsed.alias("e"))
     shape = F.when(F.col("e.key").isNull(), "event").otherwise("tombstone")

@@ -81,6 +81,31 @@ def numbers(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.split("=", 1)[1]) for n in names if n.split("=", 1)[-1].isdigit() and "=" in n)
 
 
+def levels_of_first_file(spark: SparkSession, path: str) -> list[str] | None:
+    """The ``name`` of all folders ``name=…`` above one data file below a folder; None if the folder does not exist.
+
+    Lists one folder of each level, not the whole tree, unless folders without files come first.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return None
+
+    def first(folder, names: list[str]) -> list[str] | None:
+        for status in system.listStatus(folder):
+            name = status.getPath().getName()
+            if name.startswith(("_", ".")) and "=" not in name:
+                continue
+            if not status.isDirectory():
+                return names
+            found = first(status.getPath(), [*names, name.split("=", 1)[0]] if "=" in name else names)
+            if found is not None:
+                return found
+        return None
+
+    return first(root, []) or []
+
+
 def small_side(rows: DataFrame, label: str, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Stage a helper table and broadcast it only when its counted rows are within ``limit``."""
     table = stage(rows, label)

@@ -11,8 +11,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from tideline.session import levels_of_first_file
 from tideline.sinks.manifest import read_runs
 
 LINE_ORDER = ("start_lsn", "command_key", "seqval", "serial", "tombstone")
@@ -63,15 +63,12 @@ def read_all_lines(spark: SparkSession, path: str) -> DataFrame:
 
     Levels are declared as text, so a run id ``007`` or a day ``01`` comes back as it was written.
     """
-    schema = ", ".join(f"`{name}` string" for name in ("value", *_LEVELS))
-    try:
-        rows = spark.read.text(f"{path}/events", wholetext=False)
-        there = [name for name in _LEVELS if name in rows.columns]
-        return spark.read.schema(", ".join(f"`{name}` string" for name in ("value", *there))).text(f"{path}/events")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame([], schema)
-        raise
+    found = levels_of_first_file(spark, f"{path}/events")
+    if found is None:
+        return spark.createDataFrame([], ", ".join(f"`{name}` string" for name in ("value", *_LEVELS)))
+    there = [name for name in _LEVELS if name in found]
+    # Spark lists the folders once; it refuses runs whose levels differ.
+    return spark.read.schema(", ".join(f"`{name}` string" for name in ("value", *there))).text(f"{path}/events")
 
 
 def read_complete_lines(spark: SparkSession, path: str) -> DataFrame:
