@@ -144,6 +144,41 @@ def test_pieces_encode_as_the_whole_text():
         assert np.frombuffer(ids, "<u4").tolist() == known.encode(text, add_special_tokens=False).ids
 
 
+def test_units_are_learned_once_whatever_stands_beside_them(monkeypatch):
+    """The library gets each word once, not again for every mark, line or doubled blank beside it."""
+    encoder, known = token_files.Encoder(public_tokenizers.path(token_files.VOCABULARY)), library(token_files.VOCABULARY)
+    words, marks = [f"w{chr(97 + k % 26)}rd{chr(97 + k // 26)}n" for k in range(200)], [".", ",", "!?", "\n", ".\n", "  ", " \n", " - "]
+    texts = [" " + mark.join(words) + mark for mark in [" ", *marks]] + [f" {w}{m} {w}" for w in words for m in marks]
+    asked, alone = [], encoder.alone
+    monkeypatch.setattr(encoder, "alone", lambda text: asked.append(len(text)) or alone(text))
+    for again in (texts, texts[::-1]):
+        for text, ids in zip(again, encoder.encode([t.encode() for t in again]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == known.encode(text, add_special_tokens=False).ids, text
+    assert sum(asked) < 2.5 * sum(len(f" {w}") for w in words)
+
+
+def test_units_of_mixed_texts_encode_as_the_whole_text(monkeypatch):
+    """White space, apostrophes, other scripts and texts that begin or end anywhere; a table that is full again and again."""
+    monkeypatch.setattr(token_files, "REMEMBERED", 50)
+    encoder, known = token_files.Encoder(public_tokenizers.path(token_files.VOCABULARY)), library(token_files.VOCABULARY)
+    rng = random.Random(6)
+    letters = list(" \n\t'sSretvlldma09é×ñª.,!— \u00a0\u3000\u2009\u180e\u200b\x85\x1c\x00漢字я\u0301😀 \n' a")
+    for _ in range(5):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(500)]
+        for text, ids in zip(texts, encoder.encode([t.encode() for t in texts]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == known.encode(text, add_special_tokens=False).ids, text
+
+
+def test_rows_of_blocks_are_those_of_one_row_each():
+    ids = np.arange(300)
+    code = token_files.Code(ids, token_files.code_lengths((1e9 / (ids + 1) ** 3).astype(np.int64) + 1))
+    rng = np.random.default_rng(3)
+    rows = [rng.integers(0, 300, n).astype(np.uint32) for n in (1, 5, 3000, 2, 1024, 1, 64)]
+    blocks = code.encode_rows(rows)
+    assert [b[0] for b in blocks] == [code.encode(r)[0] for r in rows]
+    assert np.array_equal(code.decode([b[0] for b in blocks], [b[1] for b in blocks], [len(r) for r in rows]), np.concatenate(rows))
+
+
 def test_token_files(spark, docs, empty):
     path, known = new_path(spark, "test-ids"), library(token_files.VOCABULARY)
     token_files.write_ids(docs, path)

@@ -1,8 +1,8 @@
 """Token ids in files: canonical Huffman codes of limited length, each document a block that decodes on its own.
 
-Texts are encoded with the tokenizers library; a table of pieces between blanks spares it the same work again (a
-blank before a character that is no white space always begins a new piece of the library's own split, so pieces can
-be encoded alone). Texts where that doesn't hold, or that may hold special tokens, are encoded whole.
+Texts are encoded with the tokenizers library; a table of units met before spares it the same work again. Units are
+stretches of text between places where the library's own split (that of byte-level vocabularies) ends a piece whatever
+stands around: see ``cuts``. So units can be encoded alone. Texts that hold special tokens are encoded whole.
 
 Ids of all documents are counted, package-merge gives the best code lengths of at most ``LONGEST`` bits, and equal
 lengths are numbered in order of id, so the lengths are all a reader needs. A block has the codes of a document
@@ -18,7 +18,6 @@ order. Each row gets a row; an empty table gives empty files. Columns besides id
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tideline.llm.batches import map_batches, pieces, texts
+from tideline.llm.batches import STAGE_BYTES, map_batches, pieces, texts
 from tideline.session import new_path, small_side, stage
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -39,58 +38,134 @@ END = 0
 LONGEST = 20
 EVERY = 1024
 
-REMEMBERED = 400_000
-#: Pieces of text a worker remembers at most, but for those of the text at hand.
+REMEMBERED = 1_000_000
+#: Units of text a worker remembers at most, but for those of the texts at hand.
+
+OTHER, LETTER, DIGIT, MARK, LINE, BLANK, BORDER = range(7)
+#: Kinds of bytes. White space besides blank and line feed, and characters beyond Latin-1 letters, are of the first.
+
+_KIND = np.zeros(256, np.uint8)
+_KIND[33:127] = MARK
+_KIND[[k for k in range(128) if chr(k).isalpha()]] = LETTER
+_KIND[48:58] = DIGIT
+_KIND[10], _KIND[32], _KIND[255] = LINE, BLANK, BORDER
+_IS_WORD, _IS_SPACE = np.isin(np.arange(7), (LETTER, DIGIT, MARK)), np.isin(np.arange(7), (LINE, BLANK))
+_LATIN = np.zeros(256, bool)
+_LATIN[[k for k in range(0x80, 0xC0) if chr(k + 0x40).isalpha()]] = True
+# The last two are white space by older tables; a place less to cut does no harm.
+_WHITE = [chr(k).encode() for k in (*(k for k in range(1 << 16) if chr(k).isspace()), 0x180E, 0x200B)]
+_WHITE_OF = [np.array([int.from_bytes(w, "little") for w in _WHITE if len(w) == n], np.int64) for n in (1, 2, 3)]
+
+
+def _before_white(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character behind each place is white space."""
+    code = sum(data[np.minimum(at + n, len(data) - 1)].astype(np.int64) << (8 * n - 8) for n in (1, 2, 3))
+    return np.any([np.isin(code & ((1 << 8 * n) - 1), white) for n, white in enumerate(_WHITE_OF, 1)], axis=0)
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Begins of units in texts that each end with a byte 255.
+
+    The library's split takes runs of letters, of digits and of marks, each with one blank before it, English endings
+    after an apostrophe, and white space, of which the last one before anything else stands apart. It looks at nothing
+    behind it, so a unit may begin wherever a piece of it always does: at white space after a word, at the last white
+    space before one, after a line feed, and where the kind changes, but not after an apostrophe.
+    """
+    kind = _KIND[data]
+    lead = np.flatnonzero(data == 0xC3)
+    lead = lead[_LATIN[data[lead + 1]]]
+    kind[lead] = kind[lead + 1] = LETTER
+    word, space = _IS_WORD[kind], _IS_SPACE[kind]
+    cut = np.ones(len(data), bool)
+    after, at = kind[:-1], kind[1:]
+    changes = word[1:] & (after != at) & (data[:-1] != 39)
+    cut[1:] = (word[:-1] & (changes | space[1:])) | ((after == LINE) & word[1:]) | (after == BORDER) | (at == BORDER)
+    cut[1:-1] |= space[1:-1] & word[2:]
+    blanks = np.flatnonzero((at[:-1] == BLANK) & (kind[2:] == OTHER)) + 1
+    cut[blanks] |= ~_before_white(data, blanks)
+    return np.flatnonzero(cut)
+
+
+def _strung(ids: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Stretches of ids one after the other."""
+    ends = np.cumsum(count)
+    return ids[np.repeat(begin - (ends - count), count) + np.arange(int(count.sum()))]
 
 
 class Encoder:
-    """The library, and a table of the ids of pieces met before (32-bit, little-endian), without their leading blank."""
+    """The library, and a table of the ids of units met before."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r" (?:\s|\Z)", *special]))
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         vocabulary = self.library.get_vocab()
         # A token of a byte-level vocabulary is written with one letter a byte.
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
-        self.known: dict[str, bytes] = {}
+        self._remember([], np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def _remember(self, units: list[bytes], ids: np.ndarray, begin: np.ndarray, count: np.ndarray) -> None:
+        """These units and nothing else; the border of texts has no ids."""
+        self.known = {unit: k for k, unit in enumerate([b"\xff", *units])}
+        self.ids, self.begin, self.count = ids, np.append(0, begin), np.append(0, count)
 
     def alone(self, text: str) -> np.ndarray:
         # The fast form leaves out offsets, which nothing here reads.
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _learn(self, unknown: list[str]) -> None:
-        """Encode pieces in one go; the ends of pieces are those of tokens."""
-        # No piece has a blank in it, so the blanks are where the pieces begin.
-        text = " " + " ".join(unknown)
-        ids = self.alone(text)
-        data = np.frombuffer(text.encode(), np.uint8)
-        ends = np.append(np.flatnonzero(data == 32)[1:], len(data))
-        ends = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1
-        raw, begin = ids.tobytes(), 0
-        for piece, end in zip(unknown, (4 * ends).tolist(), strict=True):
-            self.known[piece] = raw[begin:end]
-            begin = end
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _learn(self, units: list[bytes]) -> None:
+        """Encode units in one go, those without a leading blank after a line feed; their ends are those of tokens."""
+        blank, bare, odd = [], [], []
+        for unit in units:
+            text = unit.decode()
+            inner = text.strip()
+            # A line feed beside other white space would be one piece with it.
+            (odd if not inner else bare if text == inner else blank if text == " " + inner else odd).append(unit)
+        text = b"".join(blank) + b"".join([b"\n" + unit for unit in bare])
+        ids = self.alone(text.decode())
+        size = np.array([len(unit) for unit in blank + bare], np.int64)
+        ends = np.cumsum(size + (np.arange(len(size)) >= len(blank)))
+        token_ends = np.cumsum(self.bytes[ids])
+        begin = np.searchsorted(token_ends, ends - size, side="right")
+        count = np.searchsorted(token_ends, ends, side="right") - begin
+        others = [self.alone(unit.decode()) for unit in odd]
+        more = np.array([len(i) for i in others], np.int64)
+        begin = np.concatenate((begin, len(ids) + np.cumsum(more) - more)) + len(self.ids)
+        self.known.update(zip(blank + bare + odd, range(len(self.begin), len(self.begin) + len(begin)), strict=True))
+        self.ids = np.concatenate((self.ids, ids, *others))
+        self.begin, self.count = np.concatenate((self.begin, begin)), np.concatenate((self.count, count, more))
+
+    def _places(self, units: list[bytes]) -> np.ndarray:
+        """Places of units in the table, after those not met before have been learned."""
+        found = [*map(self.known.get, units)]
+        unknown = [unit for unit, k in zip(units, found, strict=True) if k is None]
+        if not unknown:
+            return np.array(found, np.int64)
+        if len(self.known) + len(unknown) > REMEMBERED:
+            kept = [(unit, k) for unit, k in zip(units, found, strict=True) if k]
+            at = np.array([k for _, k in kept], np.int64)
+            count = self.count[at]
+            self._remember([unit for unit, _ in kept], _strung(self.ids, self.begin[at], count), np.cumsum(count) - count, count)
+        self._learn(unknown)
+        return np.array([*map(self.known.__getitem__, units)], np.int64)
 
     def encode(self, rows: list[bytes]) -> list[bytes]:
-        """Ids of each text as bytes."""
-        texts_of = [row.decode() for row in rows]
-        split = [None if self.whole.search(text) else text.split(" ") for text in texts_of]
-        first = [None if parts is None else self.alone(parts.pop(0)).tobytes() for parts in split]
-        seen = set().union(*[parts for parts in split if parts])
-        unknown = list(seen.difference(self.known))
-        if len(self.known) + len(unknown) > REMEMBERED:
-            self.known = {p: ids for p, ids in self.known.items() if p in seen}
-        if unknown:
-            self._learn(unknown)
-        ids = self.known.__getitem__
-        return [
-            self.alone(text).tobytes() if parts is None else begin + b"".join(map(ids, parts))
-            for text, begin, parts in zip(texts_of, first, split, strict=True)
-        ]
+        """Ids of each text as bytes (32-bit, little-endian)."""
+        whole = {k: row for k, row in enumerate(rows) if any(token in row for token in self.special)}
+        data = np.frombuffer(b"".join([b"\xff" if k in whole else row + b"\xff" for k, row in enumerate(rows)]), np.uint8)
+        begins = cuts(data)
+        offsets = np.append(begins, len(data)).astype(np.int32)
+        units = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        at = self._places(units.dictionary.to_numpy(zero_copy_only=False).tolist())[units.indices.to_numpy()]
+        count = self.count[at]
+        raw = _strung(self.ids, self.begin[at], count).astype("<u4").tobytes()
+        ends = 4 * np.cumsum(count)[data[begins] == 255]
+        out = [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        for k, row in whole.items():
+            out[k] = self.alone(row.decode()).astype("<u4").tobytes()
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -119,12 +194,11 @@ def _wide(ids: bytes) -> np.ndarray:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
-    for batch in batches:
-        for ids in batch.column(0).to_pylist():
-            seen = np.bincount(_wide(ids))
-            if len(seen) > len(total):
-                total = np.concatenate((total, np.zeros(len(seen) - len(total), np.int64)))
-            total[: len(seen)] += seen
+    for piece in pieces(batches, "ids", STAGE_BYTES):
+        seen = np.bincount(np.concatenate([_wide(ids) for ids in piece.column(0).to_pylist()]))
+        if len(seen) > len(total):
+            total = np.concatenate((total, np.zeros(len(seen) - len(total), np.int64)))
+        total[: len(seen)] += seen
     there = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there], pa.int64())], ["id", "n"])
 
@@ -166,26 +240,39 @@ class Code:
         self.code, self.length = np.zeros(size, np.uint64), np.zeros(size, np.int64)
         self.code[self.ids] = (first >> (LONGEST - lengths)).astype(np.uint64)
         self.length[self.ids] = lengths
-        # Bits beyond the codes, which only broken input has, stay id 0 of one bit.
-        self.found = np.zeros(1 << LONGEST, np.uint32)
-        self.bits = np.ones(1 << LONGEST, np.int64)
-        self.found[: room.sum()] = np.repeat(self.ids, room)
-        self.bits[: room.sum()] = np.repeat(lengths, room)
+        # Each entry has an id and, in its last five bits, the length. Bits beyond the codes, which only broken input
+        # has, stay id 0 of one bit.
+        self.found = np.ones(1 << LONGEST, np.uint64 if size > 1 << 27 else np.uint32)
+        self.found[: room.sum()] = np.repeat((self.ids.astype(np.uint64) << np.uint64(5)) | lengths.astype(np.uint64), room)
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Payload of a block and the bit offsets of its stretches."""
+        return self.encode_rows([ids])[0]
+
+    def encode_rows(self, rows: list[np.ndarray]) -> list[tuple[bytes, np.ndarray]]:
+        """The same for a block of each row, all in one go; a block begins at a whole word."""
+        ids = np.concatenate(rows)
+        size = np.array([len(row) for row in rows])
+        last = np.cumsum(size)
         length = self.length[ids]
         start = np.cumsum(length) - length
+        begin = start[last - size]
+        bits = start[last - 1] + length[last - 1] - begin
+        word_of = np.cumsum((bits + 63) >> 6) - ((bits + 63) >> 6)
+        start += np.repeat((word_of << 6) - begin, size)
         code = self.code[ids]
-        words = np.zeros((int(start[-1] + length[-1]) >> 6) + 2, np.uint64)
+        words = np.zeros(int(((bits + 63) >> 6).sum()) + 1, np.uint64)
         word, shift = start >> 6, 64 - (start & 63) - length
         high = np.where(shift >= 0, code << np.maximum(shift, 0).astype(np.uint64), code >> np.maximum(-shift, 0).astype(np.uint64))
-        cuts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-        words[word[cuts]] = np.bitwise_or.reduceat(high, cuts)
+        cut = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        words[word[cut]] = np.bitwise_or.reduceat(high, cut)
         over = np.flatnonzero(shift < 0)
         words[word[over] + 1] |= code[over] << (64 + shift[over]).astype(np.uint64)
-        payload = words.astype(">u8").tobytes()[: (int(start[-1] + length[-1]) + 7) // 8]
-        return payload, start[::EVERY]
+        raw = words.astype(">u8").tobytes()
+        return [
+            (raw[8 * w : 8 * w + (n + 7) // 8], start[a:b:EVERY] - 64 * w)
+            for w, n, a, b in zip(word_of.tolist(), bits.tolist(), (last - size).tolist(), last.tolist(), strict=True)
+        ]
 
     def decode(self, payloads: list[bytes], offsets: list[np.ndarray], sizes: list[int]) -> np.ndarray:
         """Ids of all blocks one after the other: every stretch takes one step at a time, all of them together."""
@@ -195,7 +282,7 @@ class Code:
         at = np.concatenate([o + b for o, b in zip(offsets, begin, strict=True)])
         left = np.concatenate([np.minimum(EVERY, n - EVERY * np.arange(len(o))) for o, n in zip(offsets, sizes, strict=True)])
         to = np.cumsum(left) - left
-        out = np.zeros(int(left.sum()), np.uint32)
+        out = np.zeros(int(left.sum()), self.found.dtype)
         lanes = np.argsort(-left, kind="stable")
         at, to, left = at[lanes], to[lanes], left[lanes]
         for turn in range(int(left[0]) if len(left) else 0):
@@ -204,9 +291,10 @@ class Code:
             word, bit = at >> 6, (at & 63).astype(np.uint64)
             window = words[word] << bit | words[word + 1] >> np.uint64(1) >> (np.uint64(63) - bit)
             key = (window >> np.uint64(64 - LONGEST)).astype(np.int64)
-            out[to + turn] = self.found[key]
-            at = at + self.bits[key]
-        return out
+            entry = self.found[key]
+            out[to + turn] = entry
+            at = at + (entry & 31).astype(np.int64)
+        return (out >> 5).astype(np.uint32)
 
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, doc_id: str = "doc_id", text: str = "text") -> None:
@@ -226,12 +314,12 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, doc_id:
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(*sent.value)
-        for batch in batches:
-            rows = [_wide(x) for x in batch.column(1).to_pylist()]
-            blocks = [code.encode(r) for r in rows]
+        for piece in pieces(batches, "ids", STAGE_BYTES):
+            rows = [_wide(x) for x in piece.column(1).to_pylist()]
+            blocks = code.encode_rows(rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    piece.column(0),
                     pa.array([len(r) for r in rows], pa.int64()),
                     pa.array([b[1] for b in blocks], pa.list_(pa.int64())),
                     pa.array([b[0] for b in blocks], pa.binary()),
