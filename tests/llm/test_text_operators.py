@@ -269,6 +269,39 @@ def test_fingerprints_are_comparable_at_every_length(spark):
         assert found[r[0]]["edited_fingerprint"] == r[1]
 
 
+def test_anchors_of_a_text_are_worked_out_once(docs):
+    """Texts are split into units in two places of the plan: whole texts, and the seams of edited ones."""
+    plan = fingerprints.fingerprinted(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 2
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 5, 33])
+def test_fingerprints_of_stretches_are_those_of_plain_rows(spark, monkeypatch, n):
+    """Every document meets its next one, also across stretches and around the end; repeated rows each get their row."""
+    monkeypatch.setattr(fingerprints, "TOGETHER", 4)
+    rng = random.Random(n)
+    words = lambda k: " ".join(f"w{rng.randrange(40)}" for _ in range(k))
+    rows = [(3 * k, rng.choice([words(rng.randrange(30)), words(2)[:7], "", None])) for k in range(n)]
+    rows += [(None, "null id")] * 2 + rows[:1] * 2 if n > 4 else []
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    texts = {d: t or "" for d, t in rows}
+    order = sorted(texts, key=lambda d: -1 if d is None else d, reverse=True)
+    after = dict(zip(order, [*order[1:], order[0]], strict=True))
+    edited = {d: t[: len(t) - len(t) // 3] + texts[after[d]][: len(t) // 3] for d, t in texts.items()}
+    plain = spark.createDataFrame([(t,) for t in {*texts.values(), *edited.values()}], "text string")
+    anchors = {r["text"]: r["a"] for r in plain.select("text", fingerprints.anchors(F.col("text")).alias("a")).collect()}
+    shown = lambda t: "".join(f"{a & 0xFFFFFFFF:08X}" for a in anchors[t])
+    alike = lambda a, b: len({*anchors[a]} & {*anchors[b]}) / (len({*anchors[a]} | {*anchors[b]}) or 1) if anchors[a] or anchors[b] else 1
+    found = fingerprints.fingerprinted(frame).collect()
+    assert sorted(str(r["doc_id"]) for r in found) == sorted(str(d) for d, _ in rows)
+    for r in found:
+        d, text = r["doc_id"], texts[r["doc_id"]]
+        assert r["next_doc_id"] == after[d] and r["n_chars"] == len(text)
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (shown(text), shown(edited[d]))
+        assert r["edited_sha256"] == hashlib.sha256(edited[d].encode()).hexdigest()
+        assert (r["near_edited"], r["near_next"]) == (alike(text, edited[d]), alike(text, texts[after[d]]))
+
+
 def test_languages_without_any_text_to_learn_from(spark, docs):
     """Labelled texts that are all empty teach nothing."""
     empty = spark.createDataFrame([("", "en"), ("", "fr")], "text string, lang string")

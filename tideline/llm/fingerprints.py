@@ -17,6 +17,7 @@ and text are ignored.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideline.operators.skew import number_rows
@@ -24,6 +25,9 @@ from tideline.session import stage
 
 K, S = 8, 2
 
+TOGETHER = 32
+#: Documents that follow each other and are dealt to one task; each such stretch has one text more sent to it.
+
 
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is worked out once, though the body names it often."""
@@ -71,28 +75,15 @@ def printed(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda a: F.lpad(F.hex(a.cast("bigint").bitwiseAND(0xFFFFFFFF)), 8, "0")), "")
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of the distinct anchors of both that both have, 0 to 1."""
-    shared = F.size(F.array_intersect(a, b))
-    either = F.size(F.array_distinct(a)) + F.size(F.array_distinct(b)) - shared
-    return F.when(either == 0, 1.0).otherwise(shared / either)
-
+def likeness(shared: Column, a: Column, b: Column) -> Column:
+    """Share of the distinct anchors of both that both have, 0 to 1, by the counts of the shared ones and of those of either."""
+    return F.when(a + b == 0, 1.0).otherwise(shared / (a + b - shared))
 
-def neighbours(rows: DataFrame) -> DataFrame:
-    """``(key, copies, n_chars, before, cut)`` for distinct ``rows (key, doc_id, text_hash, n_chars)``, written once.
 
-    ``before`` is the key of the document that this one comes after in descending order of id (for the first: the
-    last), ``cut`` the code points that that document takes from this one.
-    """
-    distinct = rows.groupBy("key", "doc_id", "text_hash", "n_chars").agg(F.count(F.lit(1)).alias("copies"))
-    placed = stage(number_rows(distinct, [], ["doc_id", "text_hash"], "place", unique=True), "placed")
-    most = placed.agg(F.max("place")).first()[0] or 0
-    nexts = placed.select(
-        F.when(F.col("place") > 1, F.col("place") - 1).otherwise(F.lit(most)).alias("place"),
-        F.col("key").alias("before"),
-        F.floor(F.col("n_chars") / 3).cast("int").alias("cut"),
-    )
-    return stage(placed.join(nexts, "place").select("key", "copies", "before", "cut"), "neighbours")
+def places(rows: DataFrame) -> DataFrame:
+    """``(key, copies, place)`` for distinct ``rows (key, doc_id, text_hash)``, written once; places count from 1 in order of id."""
+    distinct = rows.groupBy("key", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    return stage(number_rows(distinct, [], ["doc_id", "text_hash"], "place", unique=True).select("key", "copies", "place"), "places")
 
 
 def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -100,55 +91,86 @@ def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("text_hash"))
     rows = rows.withColumn("key", F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.hex("text_hash")))
-    order = neighbours(rows.select("key", "doc_id", "text_hash", F.length("text").cast("bigint").alias("n_chars")))
-    full = rows.select("doc_id", "key", "text")
-    # The text is shuffled once: both uses ask the same columns of it, so both read the same exchange.
-    heads = full.join(order.hint("merge"), "key").select(
-        F.col("before").alias("key"),
-        F.col("cut"),
-        F.col("text").alias("next_text"),
-        F.col("doc_id").alias("next_id"),
-    )
-    if order.where("copies > 1").head(1):
-        heads = heads.dropDuplicates(["key"])
-    both = full.join(heads.hint("merge"), "key")
-    n = F.length("text")
-    both = both.select(
+    order = places(rows.select("key", "doc_id", "text_hash"))
+    most = order.agg(F.max("place")).first()[0] or 0
+    full = rows.select("doc_id", "key", "text").join(order.hint("merge"), "key")
+    repeated = bool(order.where("copies > 1").head(1))
+    if repeated:
+        full = full.dropDuplicates(["key"])
+    # The next document in descending order of id is the one a place below. Neighbours are dealt together; the last of
+    # a stretch is also sent to the stretch after it, and the last of all to the first, for their next document only.
+    place = F.col("place")
+    put = lambda stretch, at, own: F.struct(stretch.cast("long").alias("stretch"), at.cast("long").alias("at"), F.lit(own).alias("own"))
+    after = F.when(place == most, put(F.lit(0), F.lit(0), False)).when(place % TOGETHER == 0, put(place / TOGETHER, place, False))
+    dealt = F.filter(F.array(put(F.floor((place - 1) / TOGETHER), place, True), after), lambda x: x.isNotNull())
+    dealt = full.select("doc_id", "text", "copies", F.explode(dealt).alias("put")).select("doc_id", "text", "copies", "put.*")
+    # Sorted before the anchors are worked out, so that the sort moves texts only.
+    dealt = dealt.repartition("stretch").sortWithinPartitions("stretch", "at").withColumn("runs", _runs(F.col("text")))
+    dealt = dealt.select(
         "doc_id",
         "text",
-        "next_text",
-        "next_id",
-        F.substring(F.col("text"), F.lit(1), n - F.floor(n / 3).cast("int")).alias("kept"),
-        F.substring(F.col("next_text"), F.lit(1), F.col("cut")).alias("head"),
-        _runs(F.col("text")).alias("runs"),
-        _runs(F.col("next_text")).alias("next_runs"),
+        "copies",
+        "stretch",
+        "at",
+        "own",
+        F.transform("runs", lambda r: r["at"]).alias("begins"),
+        _whole(F.col("text"), F.transform("runs", lambda r: r["anchor"])).alias("anchors"),
+    ).withColumn("size", F.size(F.array_distinct("anchors")))
+    below = W.partitionBy("stretch").orderBy("at")
+    both = dealt.select("*", *[F.lag(name).over(below).alias(f"next_{name}") for name in ("doc_id", "text", "begins", "anchors", "size")])
+    n = F.length("text")
+    third = F.floor(n / 3).cast("int")
+    both = both.where("own").select(
+        "*",
+        F.substring(F.col("text"), F.lit(1), n - third).alias("kept"),
+        F.substring(F.col("next_text"), F.lit(1), third).alias("head"),
     )
     # The runs inside either part are known from the two texts; only those across the seam are new.
     kept, head = F.length("kept"), F.length("head")
     seam = F.concat(F.substring(F.col("kept"), F.greatest(kept - (K - 2), F.lit(1)), F.lit(K - 1)), F.substring("head", 1, K - 1))
-    inside = lambda found, size: _let(size - K, lambda last: F.filter(found, lambda r: r["at"] <= last))
-    edited_runs = F.concat(inside(F.col("runs"), kept), _runs(seam), inside(F.col("next_runs"), head))
-    hashes = lambda found: F.transform(found, lambda r: r["anchor"])
-    edited = F.concat("kept", "head")
+    inside = lambda begins, size: _let(size - K, lambda last: F.size(F.filter(begins, lambda at: at <= last)))
+    # Counts and prints that are named more than once are columns first, so that each is worked out once.
     both = both.select(
+        "*",
+        F.concat("kept", "head").alias("edited"),
+        printed(F.col("anchors")).alias("fingerprint"),
+        inside(F.col("begins"), kept).alias("n_kept"),
+        F.concat(
+            F.transform(_runs(seam), lambda r: r["anchor"]),
+            F.slice("next_anchors", 1, inside(F.col("next_begins"), head)),
+        ).alias("more"),
+    )
+    # An edited text of fewer than K units keeps no run.
+    both = both.withColumn("more", _whole(F.col("edited"), F.col("more")))
+    both = both.withColumn("edited_anchors", F.concat(F.slice("anchors", 1, F.col("n_kept")), F.col("more")))
+    found = both.select(
         "doc_id",
         n.cast("bigint").alias("n_chars"),
-        "next_id",
-        edited.alias("edited"),
-        _whole(F.col("text"), hashes(F.col("runs"))).alias("anchors"),
-        _whole(F.col("next_text"), hashes(F.col("next_runs"))).alias("next_anchors"),
-        _whole(edited, hashes(edited_runs)).alias("edited_anchors"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        F.concat(F.substring(F.col("fingerprint"), F.lit(1), 8 * F.col("n_kept")), printed(F.col("more"))).alias("edited_fingerprint"),
+        F.size(F.array_intersect("anchors", "edited_anchors")).alias("shared_edited"),
+        F.size(F.array_distinct("edited_anchors")).alias("edited_size"),
+        F.size(F.array_intersect("anchors", "next_anchors")).alias("shared_next"),
+        "size",
+        "next_size",
+        "next_doc_id",
+        "copies",
     )
-    return both.select(
+    found = found.select(
         "doc_id",
         "n_chars",
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        printed(F.col("anchors")).alias("fingerprint"),
-        printed(F.col("edited_anchors")).alias("edited_fingerprint"),
-        likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
-        likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
-        F.col("next_id").alias("next_doc_id"),
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        likeness(F.col("shared_edited"), F.col("size"), F.col("edited_size")).alias("near_edited"),
+        likeness(F.col("shared_next"), F.col("size"), F.col("next_size")).alias("near_next"),
+        "next_doc_id",
+        "copies",
     )
+    if repeated:
+        found = found.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return found.drop("copies")
 
 
 def fingerprints_of_documents(spark, sf_dir: str) -> DataFrame:
